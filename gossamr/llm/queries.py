@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from gossamr.llm.byte_bpe import op7_byte_bpe
 from gossamr.llm.line_dedup import OP9_SQL, op9_line_dedup
+from gossamr.llm.pii import op1_pii
+from gossamr.llm.quality_rules import op8_quality_rules
 
 QUERIES = {
+    "op1_pii": op1_pii,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
 }
 ORACLES = {
