@@ -5,6 +5,7 @@ from __future__ import annotations
 from gossamr.llm.byte_bpe import op7_byte_bpe
 from gossamr.llm.line_dedup import OP9_SQL, op9_line_dedup
 from gossamr.llm.packing import op3_packing
+from gossamr.llm.parity_join import op6_jaccard_join
 from gossamr.llm.pii import op1_pii
 from gossamr.llm.quality_rules import op8_quality_rules
 from gossamr.llm.warc import OP4_SQL, op4_warc
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op3_packing": op3_packing,
     "op4_warc": op4_warc,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
