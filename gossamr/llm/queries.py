@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from gossamr.llm.byte_bpe import op7_byte_bpe
 from gossamr.llm.line_dedup import OP9_SQL, op9_line_dedup
+from gossamr.llm.order_minhash import op5_fingerprints
 from gossamr.llm.packing import op3_packing
 from gossamr.llm.parity_join import op6_jaccard_join
 from gossamr.llm.pii import op1_pii
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op3_packing": op3_packing,
     "op4_warc": op4_warc,
+    "op5_fingerprints": op5_fingerprints,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
