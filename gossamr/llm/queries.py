@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from gossamr.llm.byte_bpe import op7_byte_bpe
+from gossamr.llm.licenses import op2_licenses
 from gossamr.llm.line_dedup import OP9_SQL, op9_line_dedup
+from gossamr.llm.lm_scoring import op10_lm_scoring
 from gossamr.llm.order_minhash import op5_fingerprints
 from gossamr.llm.packing import op3_packing
 from gossamr.llm.parity_join import op6_jaccard_join
@@ -13,6 +15,7 @@ from gossamr.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_licenses": op2_licenses,
     "op3_packing": op3_packing,
     "op4_warc": op4_warc,
     "op5_fingerprints": op5_fingerprints,
@@ -20,6 +23,7 @@ QUERIES = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLES = {
     "op4_warc": OP4_SQL,
