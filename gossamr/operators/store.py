@@ -46,36 +46,47 @@ def gzip_wanted(size: Column, accepts: Column, options: Options = Options()) ->
     return (size >= options.compress_threshold) & (size <= options.no_compress_threshold) & F.coalesce(F.contains(accepts, F.lit("gzip")), F.lit(False))
 
 
-def pack(pages: DataFrame, threshold: int, first_volume: int = 1, block: int = 100_000) -> DataFrame:
+def _cut(sizes: list[int], carry: int, threshold: int) -> list[int]:
+    """For each page in turn, how many volumes were closed before it."""
+    out, total, closed = [], carry, 0
+    for size in sizes:
+        out.append(closed)
+        total += size
+        if total > threshold:
+            total, closed = 0, closed + 1
+    return out
+
+
+def pack(pages: DataFrame, threshold: int, first_volume: int = 1, block: int = 1_000_000) -> DataFrame:
     """(url_id, volume_id) of pages (url_id, siz) in order of id: a volume is closed by the page that takes it over the threshold.
 
-    Sequential by nature: the volume of a page depends on all before it. Pages are cut into blocks of ids; a block's
-    outcome is a function of the bytes open at its start, so the carry is followed over blocks, with each block's own
-    pages packed in parallel by the carry it gets.
+    Sequential by nature: where a volume ends depends on all pages before it. Pages are cut into blocks of ids. What
+    follows from one block to the next (bytes still open, volumes closed) is two numbers, found by one fold per block;
+    then all blocks are packed in parallel.
     """
     sizes = pages.select("url_id", F.coalesce("siz", F.lit(0)).cast("long").alias("siz"), F.floor(F.col("url_id") / block).alias("_block"))
 
     def step(acc: Column, x: Column) -> Column:
-        total = acc["open"] + x["siz"]
-        over = total > threshold
-        return F.struct(F.when(over, F.lit(0)).otherwise(total).cast("long").alias("open"), F.when(over, acc["closed"] + 1).otherwise(acc["closed"]).cast("long").alias("closed"), F.array_append(acc["of"], acc["closed"]).alias("of"))
+        over = acc["open"] + x["siz"] > threshold
+        return F.struct(F.when(over, F.lit(0)).otherwise(acc["open"] + x["siz"]).cast("long").alias("open"), (acc["closed"] + F.when(over, 1).otherwise(0)).cast("long").alias("closed"))
 
     spark = pages.sparkSession
-    blocks = sizes.groupBy("_block").agg(F.array_sort(F.collect_list(F.struct("url_id", "siz"))).alias("own"))
-    start = lambda carry: F.struct(carry.cast("long").alias("open"), F.lit(0).cast("long").alias("closed"), F.array().cast("array<long>").alias("of"))
     order = sorted(r[0] for r in sizes.select("_block").distinct().toLocalIterator())
-    carry, closed, done = 0, first_volume, []
-    if len(order) == 1:
-        done = [(order[0], 0, first_volume)]
-    else:
-        for b in order:
-            done.append((b, carry, closed))
-            one = blocks.filter(F.col("_block") == b).select(F.aggregate("own", start(F.lit(carry)), step).alias("end")).select("end.open", "end.closed").first()
-            carry, closed = one.open, closed + one.closed
-    known = spark.createDataFrame(done, "_block long, _carry long, _volume long") if done else spark.createDataFrame([], "_block long, _carry long, _volume long")
-    placed = blocks.join(F.broadcast(known), "_block").withColumn("_of", F.aggregate("own", start(F.col("_carry")), step)["of"])
-    zipped = placed.select("_volume", F.explode(F.arrays_zip(F.col("own.url_id").alias("url_id"), F.col("_of").alias("of"))).alias("x"))
-    return zipped.select("x.url_id", (F.col("_volume") + F.col("x.of")).alias("volume_id"))
+    carry, closed, known = 0, first_volume, {}
+    for i, b in enumerate(order):
+        known[b] = carry, closed
+        if i + 1 < len(order):
+            own = sizes.filter(F.col("_block") == b).agg(F.array_sort(F.collect_list(F.struct("url_id", "siz"))).alias("own"))
+            end = own.select(F.aggregate("own", F.struct(F.lit(carry).cast("long").alias("open"), F.lit(closed).cast("long").alias("closed")), step).alias("end")).first().end
+            carry, closed = end.open, end.closed
+    starts = spark.createDataFrame([(b, *x) for b, x in known.items()], "_block long, _carry long, _volume long")
+
+    def place(pdf):
+        pdf = pdf.sort_values("url_id")
+        closed = _cut(pdf["siz"].tolist(), int(pdf["_carry"].iloc[0]), threshold)
+        return pdf[["url_id"]].assign(volume_id=[int(pdf["_volume"].iloc[0]) + c for c in closed])
+
+    return sizes.join(F.broadcast(starts), "_block").groupBy("_block").applyInPandas(place, "url_id long, volume_id long")
 
 
 def close_volumes(content: DataFrame, pages: DataFrame, threshold: int) -> DataFrame:
