@@ -11,8 +11,11 @@ only sets with more do, and find each other by them. The join's pairs are never
 
 1. equal sets are one node; nodes that share segment values form a bucket;
 2. each node is verified against the pivot (least node) of a bucket with which it shares most segments: components;
-3. within buckets that hold several components, pairs of nodes of different components whose sizes and sketches allow
-   a link are verified; large buckets are dealt out in blocks. Pairs of one component need no verification.
+3. within buckets that hold several components, all pairs of nodes of different components are compared by size and
+   sketch; large buckets are dealt out in blocks. Of the pairs that may be linked a block emits a spanning forest of
+   its components, nearest pairs first; they are verified, components merge, pairs found unlinked are set aside, and
+   the step is repeated until no pair is left. Should pairs remain after ROUNDS rounds, all of them are verified.
+   Pairs of one component need no verification.
 
 Verification compares the shingle sets of the two texts. The result is exact but for collisions of 64-bit hashes.
 """
@@ -38,6 +41,8 @@ BAND = 1.4
 BLOCK = 2048
 #: Set hashes a task keeps to emit the segments of copies only once.
 SEEN = 500_000
+#: Rounds in which blocks emit forests, and unlinked pairs that are sent to the blocks, before all pairs are verified.
+ROUNDS, UNLINKED = 5, 500_000
 
 
 def bands(upto: int) -> list[int]:
@@ -100,10 +105,13 @@ class Sketcher:
                 out.append(mixed(mixed(np.uint64(b << 32) + empty + np.uint64(1)) ^ np.uint64(0x5851F42D4C957F2D)))
         return np.concatenate(out)
 
-    def parity(self, h: np.ndarray, b: int) -> bytes:
-        """The set's parity sketch at the width of a band: about four bits for each shingle of the largest difference."""
-        words = max(1, math.ceil(self.furthest(2 * (self.lows[b + 1] - 1)) * 4 / 64))
-        bits = np.bincount((mixed(h) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    def parity(self, h: np.ndarray) -> bytes:
+        """The set's parity sketch. Its width, a power of 2, is at least 16 bits for each shingle of its band's largest D;
+        a sketch folds to half its width by XOR of its halves.
+        """
+        far = self.furthest(2 * (self.lows[self.band(len(h)) + 1] - 1))
+        width = 64 << max(0, math.ceil(math.log2(max(1, far) / 4)))
+        bits = np.bincount((mixed(h) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
         return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
@@ -112,9 +120,9 @@ def _signed(h: int) -> int:
 
 
 def features(docs: DataFrame, k: int, p: int, q: int) -> DataFrame:
-    """Of each document (row): doc_id, text_key, n (set size), node (hash of the set; null: empty), keys, b, sketches.
+    """Of each document (row): doc_id, text_key, n (set size), node (hash of the set; null: empty), keys, sketch.
 
-    keys are null for a set that the task has met already. sketches: of the bands b and b + 1.
+    keys and sketch are null for a set that the task has met already.
     """
 
     def start():
@@ -125,22 +133,21 @@ def features(docs: DataFrame, k: int, p: int, q: int) -> DataFrame:
             for doc_id, text_key, text in zip(ids, text_keys, texts, strict=True):
                 h = sk.shingles(text)
                 if not len(h):
-                    out.append((doc_id, text_key, 0, None, None, None, None, None))
+                    out.append((doc_id, text_key, 0, None, None, None))
                     continue
                 node = _signed(xxhash.xxh3_64_intdigest(h.tobytes()))
                 if node in seen:
-                    out.append((doc_id, text_key, len(h), node, None, None, None, None))
+                    out.append((doc_id, text_key, len(h), node, None, None))
                     continue
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(node)
-                b = sk.band(len(h))
-                out.append((doc_id, text_key, len(h), node, sk.keys(h).view(np.int64), b, sk.parity(h, b), sk.parity(h, b + 1)))
-            return [list(x) for x in zip(*out, strict=True)] if out else [[] for _ in range(8)]
+                out.append((doc_id, text_key, len(h), node, sk.keys(h).view(np.int64), sk.parity(h)))
+            return [list(x) for x in zip(*out, strict=True)] if out else [[] for _ in range(6)]
 
         return work
 
-    fields = [field("doc_id", "long"), field("text_key", "long"), field("n", "long"), field("node", "long"), field("keys", "long[]"), field("b", "int"), field("sketch", "binary"), field("sketch_up", "binary")]
+    fields = [field("doc_id", "long"), field("text_key", "long"), field("n", "long"), field("node", "long"), field("keys", "long[]"), field("sketch", "binary")]
     return emit(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), ["doc_id", "text_key", "text"], fields, start)
 
 
@@ -180,27 +187,57 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, p: int, q: int) -> Data
     return emit(both, ["a", "b", "text_a", "text_b"], [field("a", "long"), field("b", "long")], start)
 
 
-def _block_pairs(rows: DataFrame, k: int, p: int, q: int) -> DataFrame:
-    """Pairs (a, b) of one block, of different components, that sizes and sketches allow to be linked.
-
-    rows: block, across (pairs must be of different halves), half, node, component, n, b, sketch, sketch_up; those of
-    a block follow one another. All pairs of a block are compared, offset by offset for all blocks at once.
+def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mixed(a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mixed(b.view(np.uint64)))
+
+
+def _forest(comp_a: np.ndarray, comp_b: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Of edges between components, in the order given, those that a spanning forest takes."""
+    names, flat = np.unique(np.concatenate([comp_a, comp_b]), return_inverse=True)
+    u, v, parent, taken = flat[: len(comp_a)], flat[len(comp_a) :], np.arange(len(names)), []
+    left = order
+    while len(left):
+        for e in left[:1000].tolist():
+            x, y = u[e], v[e]
+            while parent[x] != x:
+                x = parent[x]
+            while parent[y] != y:
+                y = parent[y]
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                taken.append(e)
+        while (up := parent[parent]).tolist() != parent.tolist():
+            parent = up
+        left = left[1000:]
+        left = left[parent[u[left]] != parent[v[left]]]
+    return np.array(taken, np.int64)
+
+
+def _block_pairs(rows: DataFrame, p: int, q: int, unlinked, exhaustive: bool) -> DataFrame:
+    """Pairs (a, b) of one block, of different components, that sizes and sketches allow to be linked: all of them if
+    exhaustive, else a spanning forest of each block without the pairs in unlinked (a broadcast array of keys).
+
+    rows: block, across (pairs must be of different halves), half, node, component, n, sketch; those of a block
+    follow one another. All pairs of a block are compared, offset by offset for all blocks at once.
     """
     schema = T.StructType([field("a", "long"), field("b", "long")])
 
-    def compare(t: pa.Table, sk: Sketcher) -> pa.RecordBatch:
-        block, half, node, comp, n, b = (t.column(c).to_numpy() for c in ("block", "half", "node", "component", "n", "b"))
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        block, half, node, comp, n = (t.column(c).to_numpy() for c in ("block", "half", "node", "component", "n"))
         across = t.column("across").to_numpy(zero_copy_only=False)
-        sketch, up = t.column("sketch").to_pylist(), t.column("sketch_up").to_pylist()
-        wide = {}  # sketches by band, as matrices
-        for level in np.unique(np.r_[b, b + 1]):
-            rows_at = np.nonzero((b == level) | (b + 1 == level))[0]
-            raw = [sketch[i] if b[i] == level else up[i] for i in rows_at]
-            place = np.full(len(b), -1)
-            place[rows_at] = np.arange(len(rows_at))
-            wide[int(level)] = place, np.frombuffer(b"".join(raw), np.uint64).reshape(len(raw), -1)
-        left, right, offset = [], [], 1
-        live = np.arange(len(block))
+        sketch = t.column("sketch").to_pylist()
+        width = np.fromiter(map(len, sketch), np.int64, len(sketch))
+        wide = {}  # matrices of sketches of one width, those of twice the width folded
+        for level in np.unique(width):
+            place, parts = np.full(len(width), -1), []
+            for own in (level, 2 * level):
+                at = np.nonzero(width == own)[0]
+                if len(at):
+                    place[at] = np.arange(len(at)) + sum(map(len, parts))
+                    raw = np.frombuffer(b"".join([sketch[i] for i in at]), np.uint64).reshape(len(at), -1)
+                    parts.append(raw if own == level else raw[:, : raw.shape[1] // 2] ^ raw[:, raw.shape[1] // 2 :])
+            wide[int(level)] = place, np.concatenate(parts)
+        found, offset, live = [], 1, np.arange(len(block))
         while True:
             live = live[live + offset < len(block)]
             live = live[block[live] == block[live + offset]]
@@ -208,50 +245,61 @@ def _block_pairs(rows: DataFrame, k: int, p: int, q: int) -> DataFrame:
                 break
             i, j = live, live + offset
             small, big = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-            ok = (comp[i] != comp[j]) & (small * q >= big * p) & (~across[i] | (half[i] != half[j])) & (np.abs(b[i] - b[j]) <= 1)
-            i, j = i[ok], j[ok]
-            level = np.maximum(b[i], b[j])
-            for v in np.unique(level):
-                some = level == v
-                place, matrix = wide[int(v)]
-                x, y = i[some], j[some]
+            low, high = np.minimum(width[i], width[j]), np.maximum(width[i], width[j])
+            ok = (comp[i] != comp[j]) & (small * q >= big * p) & (~across[i] | (half[i] != half[j])) & (high <= 2 * low)
+            i, j, low = i[ok], j[ok], low[ok]
+            for level in np.unique(low):
+                place, matrix = wide[int(level)]
+                x, y = i[low == level], j[low == level]
                 distance = np.bitwise_count(matrix[place[x]] ^ matrix[place[y]]).sum(axis=1, dtype=np.int64)
                 near = distance * (q + p) <= (q - p) * (n[x] + n[y])
-                left.append(np.minimum(node[x[near]], node[y[near]]))
-                right.append(np.maximum(node[x[near]], node[y[near]]))
+                found.append(np.stack([x[near], y[near], distance[near]]))
             offset += 1
-        made = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], 1), axis=0) if left else np.empty((0, 2), np.int64)
+        x, y, distance = np.concatenate(found, 1) if found else np.empty((3, 0), np.int64)
+        a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+        if not exhaustive and len(a):
+            new = ~np.isin(_pair_key(a, b), unlinked.value)
+            a, b, x, y, distance = a[new], b[new], x[new], y[new], distance[new]
+            tag = mixed(block[x].view(np.uint64))
+            keys = [mixed(comp[z].view(np.uint64) + tag) for z in (x, y)]
+            taken = _forest(*keys, np.lexsort((b, a, distance)))
+            a, b = a[taken], b[taken]
+        made = np.unique(np.stack([a, b], 1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(made[:, 0], pa.int64()), pa.array(made[:, 1], pa.int64())], names=["a", "b"])
 
     def run(batches):
-        sk, held = Sketcher(k, p, q), None
+        held = None
         for batch in batches:
             t = pa.Table.from_batches([batch])
             t = pa.concat_tables([held, t]) if held is not None else t
             block = t.column("block").to_numpy()
             cut = int(np.nonzero(block != block[-1])[0][-1]) + 1 if len(block) and block[0] != block[-1] else 0
             if cut:
-                yield compare(t.slice(0, cut).combine_chunks(), sk)
+                yield compare(t.slice(0, cut).combine_chunks())
             held = t.slice(cut).combine_chunks()
         if held is not None and held.num_rows:
-            yield compare(held, sk)
+            yield compare(held)
 
     return rows.mapInArrow(run, schema)
 
 
-def _crossing(members: DataFrame, labels: DataFrame, feats: DataFrame, k: int, p: int, q: int) -> DataFrame:
-    """Pairs of nodes that share a bucket, are of different components and may be linked."""
+def _crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, p: int, q: int, unlinked, exhaustive: bool) -> DataFrame:
+    """Pairs of nodes that share a bucket, are of different components and may be linked; see _block_pairs."""
     known = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_buckets = known.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    open_rows = known.join(mixed_buckets, "bucket", "left_semi")
-    sketches = feats.filter("keys is not null").select("node", "n", "b", "sketch", "sketch_up").dropDuplicates(["node"])
-    rows = open_rows.join(sketches, "node")
+    several = known.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
+    rows = known.join(several, "bucket", "left_semi").join(sketches, "node")
     chunks = F.ceil(F.col("size") / F.lit(BLOCK // 2)).cast("int")
     small = rows.filter(F.col("size") <= BLOCK).select("*", F.col("bucket").alias("block"), F.lit(False).alias("across"), F.lit(0).alias("half"))
     large = rows.filter(F.col("size") > BLOCK).withColumn("half", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     large = large.select("*", F.xxhash64("bucket", F.least("half", "other"), F.greatest("half", "other")).alias("block"), (F.col("half") != F.col("other")).alias("across")).drop("other")
-    placed = small.unionByName(large).select("block", "across", "half", "node", "component", "n", "b", "sketch", "sketch_up")
-    return _block_pairs(placed.repartition("block").sortWithinPartitions("block"), k, p, q)
+    placed = small.unionByName(large).select("block", "across", "half", "node", "component", "n", "sketch")
+    return _block_pairs(placed.repartition("block").sortWithinPartitions("block"), p, q, unlinked, exhaustive).distinct()
+
+
+def _refused_keys(refused: DataFrame) -> np.ndarray:
+    """Keys of pairs verified as unlinked; at most UNLINKED are counted before."""
+    t = refused.toArrow()
+    return np.sort(_pair_key(t.column("a").to_numpy(), t.column("b").to_numpy())) if t.num_rows else np.empty(0, np.uint64)
 
 
 def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> DataFrame:
@@ -270,11 +318,24 @@ def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> Data
     texts = docs.join(sized(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")))
     texts = materialize(texts.select("node", "text"), "parity-texts").dropDuplicates(["node"])
     best = members.filter("node <> pivot").groupBy("node", "pivot").agg(F.sum("shared").alias("shared")).groupBy("node").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot"))
-    edges = materialize(verified(best.select(F.col("node").alias("a"), F.col("pivot").alias("b")), texts, k, p, q), "parity-links")
+    best = materialize(best.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "parity-pivots")
+    sketches = materialize(feats.filter("keys is not null").select("node", "n", "sketch").join(sized(chosen.select("node")), "node", "left_semi").dropDuplicates(["node"]), "parity-sketches")
+    edges, tried = materialize(verified(best, texts, k, p, q), "parity-links"), best
     labels = materialize(components(edges, "a", "b"), "parity-labels")
-    pairs = materialize(_crossing(members, labels, feats, k, p, q).distinct(), "parity-pairs")
-    more = materialize(verified(pairs, texts, k, p, q), "parity-links")
-    labels = materialize(components(edges.unionByName(more), "a", "b"), "parity-labels")
+    for turn in range(ROUNDS + 1):
+        refused = tried.join(edges, ["a", "b"], "left_anti")
+        exhaustive = turn == ROUNDS or refused.count() > UNLINKED
+        keys = None if exhaustive else docs.sparkSession.sparkContext.broadcast(_refused_keys(refused))
+        pairs = _crossing(members, labels, sketches, p, q, keys, exhaustive)
+        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "parity-pairs")
+        if pairs.isEmpty():
+            break
+        links = materialize(verified(pairs, texts, k, p, q), "parity-links")
+        edges, tried = edges.unionByName(links), tried.unionByName(pairs)
+        if not links.isEmpty():
+            labels = materialize(components(edges, "a", "b"), "parity-labels")
+        if exhaustive:
+            break
     rows = feats.select("doc_id", F.col("n").alias("n_shingles"), "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
     out = rows.join(sized(materialize(names, "parity-names")), "component", "left")
