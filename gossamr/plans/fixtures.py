@@ -34,7 +34,7 @@ def tops(spark: SparkSession, sf_dir: str, only_allowed: bool = False) -> DataFr
 
 def field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages (fetched, id: page_id) and the clean targets of their links (not fetched, id: first place of the link)."""
-    pages = table(spark, sf_dir, "pages").select(urls.clean(F.col("url")).alias("url"), F.col("page_id").alias("id"), F.lit(NOW).alias("checkd"))
+    pages = table(spark, sf_dir, "pages").groupBy(urls.clean(F.col("url")).alias("url")).agg(F.min("page_id").alias("id")).withColumn("checkd", F.lit(NOW))
     found = page_links(spark, sf_dir).select(urls.clean(F.col("link")).alias("url"), (1_000_000 + F.col("page_id") * 1000 + F.col("pos")).alias("id"))
     targets = found.groupBy("url").agg(F.min("id").alias("id")).join(pages.select("url"), "url", "left_anti")
     return pages.unionByName(targets.withColumn("checkd", F.lit(None).cast("int")))

@@ -67,7 +67,7 @@ LINKS = f"{HREFS}, lk AS (SELECT page_id, url, pos, href, {_origin('url')} || hr
 CLEAN = f"{LINKS}, cl AS (SELECT page_id, pos, link, {_clean('link')} AS clean_url, {_host('link')} AS host FROM lk)"
 TOPS = f"tops AS (SELECT {_host('url')} AS hostname, min(page_id) + 1 AS id FROM pages GROUP BY 1)"
 ALLOWED = "allowed AS (SELECT * FROM tops WHERE regexp_matches(hostname, '[.](com|org)$'))"
-FIELD = f"pg AS (SELECT {_clean('url')} AS url, page_id AS id, {NOW} AS checkd FROM pages), field AS (SELECT * FROM pg UNION ALL SELECT clean_url, min(1000000 + page_id * 1000 + pos), NULL FROM cl WHERE clean_url NOT IN (SELECT url FROM pg) GROUP BY clean_url)"
+FIELD = f"pg AS (SELECT {_clean('url')} AS url, min(page_id) AS id, {NOW} AS checkd FROM pages GROUP BY 1), field AS (SELECT * FROM pg UNION ALL SELECT clean_url, min(1000000 + page_id * 1000 + pos), NULL FROM cl WHERE clean_url NOT IN (SELECT url FROM pg) GROUP BY clean_url)"
 EDGES = f"""edges AS (SELECT DISTINCT CAST(a AS BIGINT) AS from_id, CAST(b AS BIGINT) AS to_id FROM (
 SELECT n_regionkey AS a, n_nationkey + {fx.NATION} AS b FROM nation UNION ALL SELECT c_nationkey + {fx.NATION}, c_custkey + {fx.CUSTOMER} FROM customer
 UNION ALL SELECT s_nationkey + {fx.NATION}, s_suppkey + {fx.SUPPLIER} FROM supplier UNION ALL SELECT o_custkey + {fx.CUSTOMER}, o_orderkey + {fx.ORDER} FROM orders
@@ -329,12 +329,12 @@ def page_rename(spark, d):
 # Graph.
 
 
-@query(f"WITH {CLEAN}, {FIELD}, {TOPS}, {ALLOWED} SELECT DISTINCT page_id AS from_id, f.id AS to_id FROM cl JOIN allowed ON hostname = host JOIN field f ON f.url = clean_url WHERE page_id <> f.id")
+@query(f"WITH {CLEAN}, {FIELD}, {TOPS}, {ALLOWED} SELECT DISTINCT page_id AS from_id, f.id AS to_id FROM cl JOIN allowed ON hostname = host JOIN field f ON f.url = clean_url WHERE page_id <> f.id AND page_id IN (SELECT id FROM pg)")
 def edge_build(spark, d):
     return graph.build(fx.field(spark, d), fx.page_links(spark, d), fx.tops(spark, d, True))[1]
 
 
-@query(f"WITH {CLEAN}, {FIELD}, {TOPS}, {ALLOWED} SELECT DISTINCT f.id AS url_id FROM cl JOIN allowed ON hostname = host JOIN field f ON f.url = clean_url")
+@query(f"WITH {CLEAN}, {FIELD}, {TOPS}, {ALLOWED} SELECT DISTINCT f.id AS url_id FROM cl JOIN allowed ON hostname = host JOIN field f ON f.url = clean_url WHERE page_id IN (SELECT id FROM pg)")
 def node_build(spark, d):
     return graph.build(fx.field(spark, d), fx.page_links(spark, d), fx.tops(spark, d, True))[0]
 
