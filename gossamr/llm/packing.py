@@ -1,6 +1,6 @@
 """Best-fit packing by a grouping genetic algorithm.
 
-Documents become items of at most `capacity` tokens. Items are dealt at random to shards of some thousands, each large
+Documents become items of at most `capacity` tokens. Items are dealt at random to shards of some ten thousand, each large
 enough that packing it alone costs a fraction of one sequence. A shard is evolved on several islands: a genome is an
 assignment of items to sequences; crossover injects whole well-filled sequences of one parent into the other, removes
 the sequences that hold an injected item, and puts the displaced items back by best fit, largest first. After each
@@ -198,7 +198,7 @@ def _epoch(state: DataFrame, capacity: int, members: int, generations: int, epoc
     return emit(state, ["shard", "island", "sizes", "genomes"], fields, start)
 
 
-def pack(items: DataFrame, capacity: int = 2048, shard_items: int = 4096, islands: int = 2, epochs: int = 2, members: int = 4, generations: int = 6) -> DataFrame:
+def pack(items: DataFrame, capacity: int = 2048, shard_items: int = 16384, islands: int = 2, epochs: int = 2, members: int = 4, generations: int = 6) -> DataFrame:
     """(item, sequence_id, offset) for items (item: unique long, length: 1 to capacity)."""
     shards = max(1, math.ceil(items.count() / shard_items))
     dealt = items.select("item", "length", F.pmod(F.xxhash64("item"), F.lit(shards)).alias("shard"))
