@@ -37,15 +37,36 @@ def _hold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
     for batch in batches:
         until = max(until, int(batch["until"].max()))
     state.update((until,))
-    state.setTimeoutDuration(max(1, until) * 1000 if until < 1000 else 1000)
+    state.setTimeoutDuration(max(1000, until * 1000 - state.getCurrentProcessingTimeMs()))
     yield pd.DataFrame({"host_id": [key[0]], "until": [until]})
 
 
 def hold_stream(responses: DataFrame) -> DataFrame:
-    """(host_id, until), the latest hold of each host, from a stream of (host_id, until); state expires by processing time."""
+    """(host_id, until), the latest hold of each host, from a stream of (host_id, until in seconds); a hold's state goes when it ends.
+
+    With timers Spark plans batches without data for ever; run_available() turns those off, so that it ends.
+    """
     return responses.groupBy("host_id").applyInPandasWithState(_hold, "host_id long, until long", "until long", "update", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> None:
     """Process what is there, once, and stop."""
-    stream.writeStream.outputMode(mode).format(fmt).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink).awaitTermination()
+    conf, key = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        stream.writeStream.outputMode(mode).format(fmt).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink).awaitTermination()
+    finally:
+        conf.set(key, before)
+
+
+def collect_available(stream: DataFrame, name: str, mode: str = "update") -> DataFrame:
+    """The rows that a stream makes of what is there, as a table in memory: for tests and small reports."""
+    conf, key = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        conf.set(key, before)
+    return stream.sparkSession.table(name)
