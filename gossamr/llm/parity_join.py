@@ -14,7 +14,7 @@ only sets with more do, and find each other by them. The join's pairs are never
 3. within buckets that hold several components, all pairs of nodes of different components are compared by size and
    sketch; large buckets are dealt out in blocks. Of the pairs that may be linked a block emits a spanning forest of
    its components, nearest pairs first; they are verified, components merge, pairs found unlinked are set aside, and
-   the step is repeated until no pair is left. Should pairs remain after ROUNDS rounds, all of them are verified.
+   the step is repeated with the buckets that had pairs, until no pair is left. Should pairs remain after ROUNDS rounds, all of them are verified.
    Pairs of one component need no verification.
 
 Verification compares the shingle sets of the two texts. The result is exact but for collisions of 64-bit hashes.
@@ -106,11 +106,11 @@ class Sketcher:
         return np.concatenate(out)
 
     def parity(self, h: np.ndarray) -> bytes:
-        """The set's parity sketch. Its width, a power of 2, is at least 16 bits for each shingle of its band's largest D;
+        """The set's parity sketch. Its width, a power of 2, is at least 8 bits for each shingle of its band's largest D;
         a sketch folds to half its width by XOR of its halves.
         """
         far = self.furthest(2 * (self.lows[self.band(len(h)) + 1] - 1))
-        width = 64 << max(0, math.ceil(math.log2(max(1, far) / 4)))
+        width = 64 << max(0, math.ceil(math.log2(max(1, far) / 8)))
         bits = np.bincount((mixed(h) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
         return np.packbits(bits.astype(np.uint8)).tobytes()
 
@@ -165,8 +165,11 @@ def _over_keys(each: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, p: int, q: int) -> DataFrame:
     """The pairs (a, b) of nodes that are linked, by the shingle sets of their texts (node, text)."""
-    first = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = first.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    def of(side: str) -> DataFrame:
+        needed = texts.join(sized(pairs.select(F.col(side).alias("node")).distinct()), "node", "left_semi")
+        return needed.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
+
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
 
     def start():
         sk, last = Sketcher(k, p, q), [None, None]
@@ -214,13 +217,13 @@ def _forest(comp_a: np.ndarray, comp_b: np.ndarray, order: np.ndarray) -> np.nda
 
 
 def _block_pairs(rows: DataFrame, p: int, q: int, unlinked, exhaustive: bool) -> DataFrame:
-    """Pairs (a, b) of one block, of different components, that sizes and sketches allow to be linked: all of them if
-    exhaustive, else a spanning forest of each block without the pairs in unlinked (a broadcast array of keys).
+    """Pairs (a, b, bucket) of one block, of different components, that sizes and sketches allow to be linked: all of
+    them if exhaustive, else a spanning forest of each block without the pairs in unlinked (a broadcast array of keys).
 
-    rows: block, across (pairs must be of different halves), half, node, component, n, sketch; those of a block
+    rows: block, bucket, across (pairs must be of different halves), half, node, component, n, sketch; those of a block
     follow one another. All pairs of a block are compared, offset by offset for all blocks at once.
     """
-    schema = T.StructType([field("a", "long"), field("b", "long")])
+    schema = T.StructType([field("a", "long"), field("b", "long"), field("bucket", "long")])
 
     def compare(t: pa.Table) -> pa.RecordBatch:
         block, half, node, comp, n = (t.column(c).to_numpy() for c in ("block", "half", "node", "component", "n"))
@@ -256,16 +259,15 @@ def _block_pairs(rows: DataFrame, p: int, q: int, unlinked, exhaustive: bool) ->
                 found.append(np.stack([x[near], y[near], distance[near]]))
             offset += 1
         x, y, distance = np.concatenate(found, 1) if found else np.empty((3, 0), np.int64)
-        a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+        a, b, of = np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), t.column("bucket").to_numpy()[x]
         if not exhaustive and len(a):
             new = ~np.isin(_pair_key(a, b), unlinked.value)
-            a, b, x, y, distance = a[new], b[new], x[new], y[new], distance[new]
+            a, b, of, x, y, distance = a[new], b[new], of[new], x[new], y[new], distance[new]
             tag = mixed(block[x].view(np.uint64))
             keys = [mixed(comp[z].view(np.uint64) + tag) for z in (x, y)]
             taken = _forest(*keys, np.lexsort((b, a, distance)))
-            a, b = a[taken], b[taken]
-        made = np.unique(np.stack([a, b], 1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(made[:, 0], pa.int64()), pa.array(made[:, 1], pa.int64())], names=["a", "b"])
+            a, b, of = a[taken], b[taken], of[taken]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, of)], names=schema.names)
 
     def run(batches):
         held = None
@@ -284,7 +286,7 @@ def _block_pairs(rows: DataFrame, p: int, q: int, unlinked, exhaustive: bool) ->
 
 
 def _crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, p: int, q: int, unlinked, exhaustive: bool) -> DataFrame:
-    """Pairs of nodes that share a bucket, are of different components and may be linked; see _block_pairs."""
+    """Pairs of nodes that share a bucket, are of different components and may be linked, with the bucket; see _block_pairs."""
     known = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = known.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
     rows = known.join(several, "bucket", "left_semi").join(sketches, "node")
@@ -292,8 +294,8 @@ def _crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, p: int
     small = rows.filter(F.col("size") <= BLOCK).select("*", F.col("bucket").alias("block"), F.lit(False).alias("across"), F.lit(0).alias("half"))
     large = rows.filter(F.col("size") > BLOCK).withColumn("half", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     large = large.select("*", F.xxhash64("bucket", F.least("half", "other"), F.greatest("half", "other")).alias("block"), (F.col("half") != F.col("other")).alias("across")).drop("other")
-    placed = small.unionByName(large).select("block", "across", "half", "node", "component", "n", "sketch")
-    return _block_pairs(placed.repartition("block").sortWithinPartitions("block"), p, q, unlinked, exhaustive).distinct()
+    placed = small.unionByName(large).select("block", "bucket", "across", "half", "node", "component", "n", "sketch")
+    return _block_pairs(placed.repartition("block").sortWithinPartitions("block"), p, q, unlinked, exhaustive)
 
 
 def _refused_keys(refused: DataFrame) -> np.ndarray:
@@ -326,10 +328,12 @@ def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> Data
         refused = tried.join(edges, ["a", "b"], "left_anti")
         exhaustive = turn == ROUNDS or refused.count() > UNLINKED
         keys = None if exhaustive else docs.sparkSession.sparkContext.broadcast(_refused_keys(refused))
-        pairs = _crossing(members, labels, sketches, p, q, keys, exhaustive)
-        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "parity-pairs")
+        found = materialize(_crossing(members, labels, sketches, p, q, keys, exhaustive), "parity-found")
+        pairs = materialize(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "parity-pairs")
         if pairs.isEmpty():
             break
+        # a bucket without such pairs will have none later
+        members = members.join(sized(found.select("bucket").distinct()), "bucket", "left_semi")
         links = materialize(verified(pairs, texts, k, p, q), "parity-links")
         edges, tried = edges.unionByName(links), tried.unionByName(pairs)
         if not links.isEmpty():
