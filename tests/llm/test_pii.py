@@ -1,0 +1,82 @@
+import random
+import re
+
+import pytest
+
+from gossamr.llm import pii
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(number):
+    total = 0
+    for i, c in enumerate(number[::-1]):
+        d = int(c) * (1 + i % 2)
+        total += d // 10 + d % 10
+    return total % 10 == 0
+
+
+def brute(text):
+    text, out = text or "", []
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    for kind, rx, ok in (("email", EMAIL, lambda m: True), ("ip", IP, lambda m: all(int(x) <= 255 for x in m[0].split("."))), ("card", CARD, lambda m: 14 <= len(digits(m)) <= 19 and luhn(digits(m))), ("phone", PHONE, lambda m: 10 <= len(digits(m)) <= 15)):
+        out += [(m.start(), m.end(), kind) for m in rx.finditer(text) if ok(m)]
+    return sorted(out, key=lambda x: (x[0], pii.KINDS.index(x[2])))
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(3)
+    fixed = ["a@b.co@c.de x@y", "1.2.3.4.5 1.2.3.256 001.002.003.004", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (555) 123-4567 +12", "é a@b.c", "@@a.b", "a@b..c", None, ""]
+    for text in fixed + ["".join(rng.choice("ab1234.@+- ()%_é0") for _ in range(rng.randint(0, 60))) for _ in range(20_000)]:
+        assert pii.base_spans(text) == brute(text), text
+
+
+def test_long_runs_cost_little():
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" * 150_000, "a." * 150_000 + "@", "(" * 300_000):
+        pii.base_spans(text)
+
+
+def docs_with_secret(spark, n=60):
+    """The word 'zanzibar' occurs only near one address; 'common' everywhere."""
+    rows = [(i, f"common words number{i} and zanzibar ask bob@corp.example now", "en") for i in range(8)]
+    rows += [(100 + i, f"common words of another kind {i} here", "en") for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, spans string").repartition(3)
+
+
+def test_revealing_terms(spark):
+    docs = docs_with_secret(spark)
+    terms = {r.term: (r.action, r.disclosure) for r in pii.risky_terms(docs.select("text")).collect()}
+    assert terms["zanzibar"] == ("removed", pytest.approx(1.0)) and "common" not in terms and "words" not in terms
+    with_half = docs.union(spark.createDataFrame([(500 + i, "a trip to zanzibar", "en") for i in range(4)], docs.schema))
+    other = {r.term: r.action for r in pii.risky_terms(with_half.select("text"), generalise_at=0.7).collect()}
+    assert other["zanzibar"] == "generalised"
+
+
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_both_ways_give_the_same_spans(spark, broadcast_rows):
+    docs = docs_with_secret(spark)
+    out = pii.sanitise(docs, lambda t, base, spans: (pii.listed(spans), pii.sanitised(t, spans)), [pii.field("spans", "string"), pii.field("clean", "string")], broadcast_rows=broadcast_rows)
+    assert out.count() == docs.count()
+    for r in out.collect():
+        if r.doc_id < 100:
+            at = r.text.index("zanzibar")
+            assert f"removed:{at}:{at + 8}" in r.spans and "zanzibar" not in r.clean and "[EMAIL]" in r.clean and "bob" not in r.clean
+        else:
+            assert r.spans == "" and r.clean == r.text
+
+
+def test_overlapping_spans_are_masked_once():
+    text = "call +1 4111 1111 1111 1111 x"
+    spans = [(5, 27, "phone"), (6, 27, "card")]
+    assert pii.sanitised(text, spans) == "call [PHONE] x"
+
+
+def test_edges(spark, edge_docs, no_docs):
+    out = pii.redact(edge_docs)
+    assert out.columns == edge_docs.columns and out.count() == 11
+    row = out.filter("doc_id = 6").first()
+    assert "[EMAIL]" in row.text and "[PHONE]" in row.text and row.n_chars == len(row.text)
+    assert pii.redact(no_docs).count() == 0
