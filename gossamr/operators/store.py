@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from gossamr.operators import tables
 from gossamr.sources import headers as headers_
+from gossamr.session import ship
 from gossamr.sources.options import Options
 
 
@@ -86,6 +87,7 @@ def pack(pages: DataFrame, threshold: int, first_volume: int = 1, block: int = 1
         closed = _cut(pdf["siz"].tolist(), int(pdf["_carry"].iloc[0]), threshold)
         return pdf[["url_id"]].assign(volume_id=[int(pdf["_volume"].iloc[0]) + c for c in closed])
 
+    ship(spark)
     return sizes.join(F.broadcast(starts), "_block").groupBy("_block").applyInPandas(place, "url_id long, volume_id long")
 
 

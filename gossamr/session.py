@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import atexit
 import shutil
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,24 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once for each application; it need not be installed there."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top, folder = Path(__file__).parent, tempfile.mkdtemp(prefix="gossamr-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # the driver serves the file as long as it runs
+    archive = f"{folder}/{top.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(top.rglob("*.py")):
+            z.write(source, source.relative_to(top.parent))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine), one of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

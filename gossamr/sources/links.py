@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gossamr.functions import urls
+from gossamr.session import ship
 
 #: The anchor tags that the quick extraction finds.
 ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
@@ -64,6 +65,7 @@ def extract_html(pages: DataFrame, honor_base: bool = False) -> DataFrame:
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string()), strict=True)], names=schema.names)
 
+    ship(pages.sparkSession)
     found = pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, schema)
     base = F.when(F.col("base").isNotNull(), urls.resolve(F.col("url"), F.col("base"))).otherwise(F.col("url"))
     return found.withColumn("link", urls.resolve(base, F.col("href"))).drop("base")

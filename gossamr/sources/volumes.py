@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gossamr.session import ship
+
 _MEMBERS = T.StructType([T.StructField("volume_id", T.LongType()), T.StructField("url_id", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("body", T.BinaryType()), T.StructField("siz", T.LongType())])
 
 
@@ -34,6 +36,7 @@ def read_volumes(spark: SparkSession, root: str, schema: str | None = None) -> D
                         stem, kind = info.filename.removesuffix("h"), "h" if info.filename.endswith("h") else ""
                         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((volume, pa.int64()), (int(stem), pa.int64()), (kind, pa.string()), (archive.read(info), pa.binary()), (info.file_size, pa.int64()))], names=_MEMBERS.names)
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _MEMBERS)
 
 
@@ -49,6 +52,7 @@ def zip_volumes(members: DataFrame) -> DataFrame:
         return pa.table({"volume_id": [table.column("volume_id")[0].as_py()], "archive": pa.array([held.getvalue()], pa.binary())})
 
     rows = members.select(F.col("volume_id").cast("long"), "url_id", "kind", F.col("body").cast("binary").alias("body"))
+    ship(members.sparkSession)
     return rows.groupBy("volume_id").applyInArrow(run, "volume_id long, archive binary")
 
 
@@ -63,4 +67,5 @@ def members_of(archives: DataFrame) -> DataFrame:
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64()), strict=True)], names=_MEMBERS.names)
 
+    ship(archives.sparkSession)
     return archives.select("volume_id", "archive").mapInArrow(run, _MEMBERS)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gossamr.functions import urls
 from gossamr.operators.frontier import check_hosts, skip_reason
+from gossamr.session import ship
 from gossamr.sources import links
 from gossamr.sources.options import Options
 
@@ -46,6 +47,7 @@ def hold_stream(responses: DataFrame) -> DataFrame:
 
     With timers Spark plans batches without data for ever; run_available() turns those off, so that it ends.
     """
+    ship(responses.sparkSession)
     return responses.groupBy("host_id").applyInPandasWithState(_hold, "host_id long, until long", "until long", "update", GroupStateTimeout.ProcessingTimeTimeout)
 
 
