@@ -1,4 +1,4 @@
-"""What the operators share: passes over texts, word hashes, hash columns."""
+"""What the operators share: passes over texts, and word hashes."""
 
 from __future__ import annotations
 
@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from gossamr.session import ship
+
 #: Rows that a pass turns into Python objects at a time.
 SLICE = 512
 #: Entries that a worker's word cache holds before it is emptied; a word is some 60 bytes.
@@ -38,6 +39,7 @@ def append(df: DataFrame, inputs: list[str], fields: list[T.StructField], start:
                 arrays = [pa.array(x, type=t) for x, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + arrays, names=kept + names)
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -64,6 +66,7 @@ def emit(df: DataFrame, inputs: list[str], fields: list[T.StructField], start: C
             for made in last():
                 yield pack(made)
 
+    ship(df.sparkSession)
     return df.select(*used).mapInArrow(run, schema)
 
 
@@ -118,13 +121,3 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     for i in range(n):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - n + 1 + i])
     return out
-
-
-def row_key(*columns: str) -> Column:
-    """A key for rows that are equal in all the columns (nulls included): the values and not the place decide."""
-    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in columns])
-
-
-def pick(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns: whatever else the table has cannot clash with an operator's own names."""
-    return df.select(*[F.col(c) for c in columns])

@@ -41,6 +41,7 @@ class Encoder:
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        # fixed by the file format: the characters that stand for bytes
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}

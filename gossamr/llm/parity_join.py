@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from gossamr.llm.common import WordHashes, emit, field, lowered_words_of, mixed, ngram_hashes
 from gossamr.operators.components import components
-from gossamr.session import materialize, sized
+from gossamr.session import materialize, ship, sized
 
 #: Ratio of a band's upper to its lower bound of sizes.
 BAND = 1.4
@@ -282,6 +282,7 @@ def _block_pairs(rows: DataFrame, p: int, q: int, unlinked, exhaustive: bool) ->
         if held is not None and held.num_rows:
             yield compare(held)
 
+    ship(rows.sparkSession)
     return rows.mapInArrow(run, schema)
 
 

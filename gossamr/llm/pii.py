@@ -140,7 +140,7 @@ def term_counts(docs: DataFrame, candidates: DataFrame, n_candidates: int, broad
     return summed if known else summed.join(candidates, "term", "left_semi")
 
 
-def risky_terms(docs: DataFrame, window: int = 60, support: int = 5, generalise_at: float = 0.95, remove_at: float = 0.99, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def risky_terms(docs: DataFrame, window: int = 60, support: int = 5, generalise_at: float = 0.97, remove_at: float = 0.99, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(term, action, disclosure) of terms whose disclosure of some entity reaches a threshold.
 
     support: distinct texts in which term and entity must meet. The counts cover all documents.
@@ -189,7 +189,7 @@ def sanitised(text: str | None, spans: list[tuple[int, int, str]]) -> str | None
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, result, fields: list, window: int = 60, support: int = 5, generalise_at: float = 0.95, remove_at: float = 0.99, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def sanitise(docs: DataFrame, result, fields: list, window: int = 60, support: int = 5, generalise_at: float = 0.97, remove_at: float = 0.99, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """docs (text and any other columns) with fields appended: result(text, base spans, all spans) of each row.
 
     Risky terms are broadcast if at most broadcast_rows are counted; beyond, each row gets its own by a join. Null
