@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from gossamr.functions import urls
 from gossamr.operators.components import components
 from gossamr.operators.frontier import check_hosts
-from gossamr.session import materialize
+from gossamr.session import bucketed, materialize, sized
 from gossamr.sources.options import Options
 
 
@@ -39,19 +39,21 @@ def build(field: DataFrame, links: DataFrame, tops: DataFrame, redirect: DataFra
 
 def bfs(nodes: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(url_id, depth) of all nodes: steps from the nodes (url_id, depth) of depth 0; null where no path leads."""
-    reached = materialize(nodes.filter("depth = 0").select("url_id", "depth").distinct(), "bfs")
-    frontier, level = reached, 0
-    if frontier.isEmpty():
+    every = materialize(nodes.groupBy("url_id").agg(F.min(F.when(F.col("depth") == 0, 0)).alias("depth")), "bfs-nodes")
+    reached = every.filter("depth = 0")
+    frontier, level, size = reached, 0, reached.count()
+    if not size:
         raise ValueError("no node of depth 0")
-    every = nodes.select("url_id").distinct()
-    while max_depth is None or level < max_depth:
+    edges = bucketed(edges.select("from_id", "to_id"), "bfs-edges", "from_id")
+    while size and (max_depth is None or level < max_depth):
         level += 1
-        found = edges.join(frontier.select(F.col("url_id").alias("from_id")), "from_id", "left_semi").select(F.col("to_id").alias("url_id")).distinct()
-        fresh = found.join(reached.select("url_id"), "url_id", "left_anti").join(every, "url_id", "left_semi").withColumn("depth", F.lit(level))
+        found = edges.join(sized(frontier.select(F.col("url_id").alias("from_id")), size), "from_id", "left_semi").select(F.col("to_id").alias("url_id")).distinct()
+        fresh = found.join(reached.select("url_id"), "url_id", "left_anti").join(every.select("url_id"), "url_id", "left_semi").withColumn("depth", F.lit(level))
         frontier = materialize(fresh, "bfs")
-        if frontier.isEmpty():
-            break
-        reached = reached.unionByName(frontier)
+        size = frontier.count()
+        if size:
+            reached = reached.unionByName(frontier)
+    every = every.select("url_id")
     return every.join(reached, "url_id", "left")
 
 
@@ -69,7 +71,9 @@ def parents(level_set: DataFrame, edges: DataFrame, depths: DataFrame) -> DataFr
 
 def trace(targets: DataFrame, edges: DataFrame, depths: DataFrame) -> DataFrame:
     """(target, depth, url_id): all nodes on shortest paths from depth 0 to the reached targets (url_id), targets included."""
-    level = materialize(targets.join(depths, "url_id").filter("depth is not null").select(F.col("url_id").alias("target"), "url_id", "depth").distinct(), "trace")
+    depths = materialize(depths.filter("depth is not null"), "trace-depths")
+    edges = bucketed(edges.select("from_id", "to_id"), "trace-edges", "to_id")
+    level = materialize(targets.join(depths, "url_id").select(F.col("url_id").alias("target"), "url_id", "depth").distinct(), "trace")
     out = level
     while not level.filter("depth > 0").isEmpty():
         level = materialize(parents(level.filter("depth > 0"), edges, depths), "trace")

@@ -72,6 +72,20 @@ def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, rows: int | None = None, rows_per_bucket: int = 2_000_000, least: int = 5_000_000) -> DataFrame:
+    """A materialized table for many joins on key. From `least` rows on it is bucketed and sorted by the key, in the
+    shared folder, so that those joins do not shuffle it again; a small one is written plainly.
+    """
+    if rows is None:
+        df = materialize(df, name)
+        rows = df.count()
+    if rows < least:
+        return df
+    spark, table, n = df.sparkSession, f"gossamr_{name.replace('-', '_')}_{uuid.uuid4().hex}", min(20_000, max(1, rows // rows_per_bucket) + 1)
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", scratch_path(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a materialized table that nothing will read any more."""
     spark = df.sparkSession

@@ -90,3 +90,13 @@ def test_redirect_classes_and_neighbors(spark):
 def test_top_paths_is_a_report(spark):
     df = spark.createDataFrame([(1, 0, i) for i in range(5)], "target long, depth int, url_id long")
     assert graph.top_paths(df, 2).agg(F.max("url_id")).first()[0] == 1
+
+
+def test_bucketed_edges_are_not_shuffled_again(spark):
+    from gossamr.session import bucketed
+
+    edges = bucketed(spark.range(0, 1000).selectExpr("id % 50 AS from_id", "id AS to_id"), "edges", "from_id", rows_per_bucket=200, least=10)
+    some = spark.range(20).withColumnRenamed("id", "from_id").hint("merge")
+    joined = edges.join(some, "from_id", "left_semi")
+    assert joined.count() == 400
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
