@@ -16,12 +16,14 @@ def _graph(seed, n=25, m=45):
 def test_components(spark):
     for edges in (_graph(1), [(1, 1)], [(5, 4), (4, 3), (3, 2), (2, 1), (9, 8)], []):
         df = spark.createDataFrame([*edges, (None, 3)], "from_id long, to_id long")
-        assert {r.node: r.component for r in components(df).collect()} == spec.components(edges)
+        for small in (0, 1000):
+            assert {r.node: r.component for r in components(df, small=small).collect()} == spec.components(edges)
 
 
 def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(200)]
-    assert {r.component for r in components(spark.createDataFrame(edges, "from_id long, to_id long")).collect()} == {0}
+    for small in (0, 1000):
+        assert {r.component for r in components(spark.createDataFrame(edges, "from_id long, to_id long"), small=small).collect()} == {0}
 
 
 @pytest.mark.parametrize("seed", range(3))
