@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .getOrCreate()
@@ -59,7 +60,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/gossamr/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/gossamr/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results that were not written yet are lost with them."""
+    _delete(spark, f"{shared_dir(spark)}/gossamr/{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
@@ -88,12 +99,9 @@ def bucketed(df: DataFrame, name: str, key: str, rows: int | None = None, rows_p
 
 def discard(df: DataFrame) -> None:
     """Delete the files of a materialized table that nothing will read any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for top in {f.rpartition("/")[0] for f in df.inputFiles()}:
         if "/gossamr/" in top:
-            path = jvm.org.apache.hadoop.fs.Path(top)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(df.sparkSession, top)
 
 
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
