@@ -16,7 +16,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from gossamr.llm.common import CACHE, append, field
+from gossamr.llm.common import append, field
 
 #: Splits text before the merges (the fixed pattern of the public rank files); white space as the Unicode property.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
@@ -26,6 +26,8 @@ NONE = np.int32(2**31 - 1)
 LONG = 1024
 #: Matrix widths: a piece goes to the first that holds it.
 WIDTHS = (2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256, 512, LONG)
+#: Pieces that a worker's cache holds before it is emptied; a piece and its ids are some 150 bytes.
+CACHE = 400_000
 #: Rows of a matrix times its width, at most.
 CELLS = 1 << 20
 

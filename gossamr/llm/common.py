@@ -15,7 +15,7 @@ from gossamr.session import ship
 #: Rows that a pass turns into Python objects at a time.
 SLICE = 512
 #: Entries that a worker's word cache holds before it is emptied; a word is some 60 bytes.
-CACHE = 400_000
+CACHE = 200_000
 
 
 def append(df: DataFrame, inputs: list[str], fields: list[T.StructField], start: Callable[[], Callable]) -> DataFrame:

@@ -37,7 +37,6 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -49,7 +48,16 @@ class Encoder:
         ranks = {bytes(map(byte_of.__getitem__, token)): i for token, i in spec["model"]["vocab"].items() if token not in special}
         pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
         self.quick = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-        self.exact = Tokenizer.from_file(path)
+        self.path, self._exact = path, None
+
+    @property
+    def exact(self):
+        """The tokenizers library's encoder, loaded when a text needs it."""
+        if self._exact is None:
+            from tokenizers import Tokenizer
+
+            self._exact = Tokenizer.from_file(self.path)
+        return self._exact
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:

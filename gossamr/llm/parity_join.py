@@ -6,8 +6,10 @@ hash by XOR to one of P segments; a shingle of the difference changes at most on
 Hamming distance of the sketches and the number of unequal segments are lower bounds of the symmetric difference.
 
 Per band of sizes P exceeds the band's largest D, so linked sets agree in at least one segment (pigeonhole): segments
-are joined on equality. P has some segments to spare: sets with at most so many empty segments need not emit them;
-only sets with more do, and find each other by them. The join's pairs are never listed:
+are joined on equality. Segments of less than two shingles are weak: many unlinked sets agree in them. P has some
+segments to spare, and a set with at most so many weak ones emits the others only: a set linked with it agrees with it
+in one of those. Sets with more weak segments deal their shingles anew by another hash, and so find each other; after
+SEEDS tries, which next to no set needs, they emit all segments. The join's pairs are never listed:
 
 1. equal sets are one node; nodes that share segment values form a bucket;
 2. each node is verified against the pivot (least node) of a bucket with which it shares most segments: components;
@@ -37,6 +39,8 @@ from gossamr.session import materialize, ship, sized
 
 #: Ratio of a band's upper to its lower bound of sizes.
 BAND = 1.4
+#: Hashes by which a set may deal its shingles to segments.
+SEEDS = 6
 #: Nodes of a bucket that are compared in one block.
 BLOCK = 2048
 #: Set hashes a task keeps to emit the segments of copies only once.
@@ -85,24 +89,32 @@ class Sketcher:
     def segments(self, b: int) -> tuple[int, int]:
         """Number of segments of a band, and how many of them are to spare."""
         far = self.furthest(2 * (self.lows[b + 1] - 1))
-        spare = 1 + far // 16
+        spare = max(1, math.ceil(0.22 * far))
         return far + 1 + spare, spare
 
     def keys(self, h: np.ndarray) -> np.ndarray:
-        """Join keys of a set: one for each segment, in each band it takes part in."""
-        out = []
+        """Join keys of a set: its segments in each band it takes part in. Bands that allow no difference need none."""
+        out = [np.empty(0, np.uint64)]
         for b in self.own_bands(len(h)):
             count, spare = self.segments(b)
-            where = ((h >> np.uint64(32)) % np.uint64(count)).astype(np.int64)
-            order = np.argsort(where, kind="stable")
-            at = where[order]
-            heads = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0]
-            values = mixed(np.bitwise_xor.reduceat(h[order], heads))
-            tag = mixed(np.uint64(b << 32) + at[heads].astype(np.uint64) + np.uint64(1))
-            out.append(mixed(values + tag))
-            if count - len(heads) > spare:
-                empty = np.setdiff1d(np.arange(count), at[heads]).astype(np.uint64)
-                out.append(mixed(mixed(np.uint64(b << 32) + empty + np.uint64(1)) ^ np.uint64(0x5851F42D4C957F2D)))
+            if count == spare + 1:
+                continue
+            for seed in range(SEEDS):
+                dealt = mixed(h + np.uint64(seed)) if seed else h
+                where = ((dealt >> np.uint64(32)) % np.uint64(count)).astype(np.int64)
+                order = np.argsort(where, kind="stable")
+                at = where[order]
+                heads = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0]
+                values = mixed(np.bitwise_xor.reduceat(h[order], heads))
+                tags = mixed(np.uint64(((seed << 16) + b) << 32) + np.arange(count, dtype=np.uint64) + np.uint64(1))
+                strong = np.diff(np.r_[heads, len(h)]) >= 2
+                enough = count - int(strong.sum()) <= spare
+                if not enough and seed == SEEDS - 1:
+                    strong[:] = True
+                    out.append(mixed(tags[np.setdiff1d(np.arange(count), at[heads])] ^ np.uint64(0x5851F42D4C957F2D)))
+                out.append(mixed(values[strong] + tags[at[heads][strong]]))
+                if enough:
+                    break
         return np.concatenate(out)
 
     def parity(self, h: np.ndarray) -> bytes:
@@ -163,10 +175,10 @@ def _over_keys(each: DataFrame) -> DataFrame:
     return each.select("node", F.expr("count(1) over (partition by key)").alias("size"), F.expr("min(node) over (partition by key)").alias("pivot"), F.expr("bit_xor(xxhash64(node)) over (partition by key)").alias("mark"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, k: int, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) of nodes that are linked, by the shingle sets of their texts (node, text)."""
+def verified(pairs: DataFrame, n_pairs: int, texts: DataFrame, k: int, p: int, q: int) -> DataFrame:
+    """Those of the n_pairs pairs (a, b) of nodes that are linked, by the shingle sets of their texts (node, text)."""
     def of(side: str) -> DataFrame:
-        needed = texts.join(sized(pairs.select(F.col(side).alias("node")).distinct()), "node", "left_semi")
+        needed = texts.join(sized(pairs.select(F.col(side).alias("node")).distinct(), n_pairs), "node", "left_semi")
         return needed.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
 
     both = pairs.join(of("a"), "a").join(of("b"), "b")
@@ -288,9 +300,9 @@ def _block_pairs(rows: DataFrame, p: int, q: int, unlinked, exhaustive: bool) ->
 
 def _crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, p: int, q: int, unlinked, exhaustive: bool) -> DataFrame:
     """Pairs of nodes that share a bucket, are of different components and may be linked, with the bucket; see _block_pairs."""
-    known = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = known.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    rows = known.join(several, "bucket", "left_semi").join(sketches, "node")
+    known = members.join(sized(labels), "node", "left").select("node", "bucket", "size", F.coalesce("component", "node").alias("component"))
+    spread = known.repartition("bucket").select("*", F.expr("min(component) over (partition by bucket) <> max(component) over (partition by bucket)").alias("open"))
+    rows = spread.filter("open").drop("open").join(sketches, "node")
     chunks = F.ceil(F.col("size") / F.lit(BLOCK // 2)).cast("int")
     small = rows.filter(F.col("size") <= BLOCK).select("*", F.col("bucket").alias("block"), F.lit(False).alias("across"), F.lit(0).alias("half"))
     large = rows.filter(F.col("size") > BLOCK).withColumn("half", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
@@ -319,11 +331,13 @@ def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> Data
     chosen = feats.join(sized(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
     chosen = materialize(chosen.select("node", F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_key")), "parity-nodes")
     texts = docs.join(sized(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")))
-    texts = materialize(texts.select("node", "text"), "parity-texts").dropDuplicates(["node"])
+    texts = materialize(texts.select("node", "text"), "parity-texts")
+    if texts.count() > chosen.count():  # rows that repeat both id and text
+        texts = materialize(texts.dropDuplicates(["node"]), "parity-texts")
     best = members.filter("node <> pivot").groupBy("node", "pivot").agg(F.sum("shared").alias("shared")).groupBy("node").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot"))
     best = materialize(best.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "parity-pivots")
     sketches = materialize(feats.filter("keys is not null").select("node", "n", "sketch").join(sized(chosen.select("node")), "node", "left_semi").dropDuplicates(["node"]), "parity-sketches")
-    edges, tried = materialize(verified(best, texts, k, p, q), "parity-links"), best
+    edges, tried = materialize(verified(best, best.count(), texts, k, p, q), "parity-links"), best
     labels = materialize(components(edges, "a", "b"), "parity-labels")
     for turn in range(ROUNDS + 1):
         refused = tried.join(edges, ["a", "b"], "left_anti")
@@ -331,11 +345,12 @@ def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> Data
         keys = None if exhaustive else docs.sparkSession.sparkContext.broadcast(_refused_keys(refused))
         found = materialize(_crossing(members, labels, sketches, p, q, keys, exhaustive), "parity-found")
         pairs = materialize(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "parity-pairs")
-        if pairs.isEmpty():
+        n_pairs = pairs.count()
+        if not n_pairs:
             break
         # a bucket without such pairs will have none later
-        members = members.join(sized(found.select("bucket").distinct()), "bucket", "left_semi")
-        links = materialize(verified(pairs, texts, k, p, q), "parity-links")
+        members = members.join(sized(found.select("bucket").distinct(), found.count()), "bucket", "left_semi")
+        links = materialize(verified(pairs, n_pairs, texts, k, p, q), "parity-links")
         edges, tried = edges.unionByName(links), tried.unionByName(pairs)
         if not links.isEmpty():
             labels = materialize(components(edges, "a", "b"), "parity-labels")
