@@ -32,11 +32,18 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 _SHIPPED: set[str] = set()
+#: Rows of a batch that goes to Python, where the session does not say: texts are long.
+BATCH_ROWS = "1000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once for each application; it need not be installed there."""
+    """Send this package to the executors' Python, once for each application; it need not be installed there.
+
+    Also keeps Arrow batches small, unless the session sets their size itself.
+    """
     app = spark.sparkContext.applicationId
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if app in _SHIPPED:
         return
     top, folder = Path(__file__).parent, tempfile.mkdtemp(prefix="gossamr-")
