@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from gossamr.session import ship
 
 #: Rows that a pass turns into Python objects at a time.
-SLICE = 512
+SLICE = 250
 #: Entries that a worker's word cache holds before it is emptied; a word is some 60 bytes.
 CACHE = 200_000
 

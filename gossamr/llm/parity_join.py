@@ -6,13 +6,15 @@ hash by XOR to one of P segments; a shingle of the difference changes at most on
 Hamming distance of the sketches and the number of unequal segments are lower bounds of the symmetric difference.
 
 Per band of sizes P exceeds the band's largest D, so linked sets agree in at least one segment (pigeonhole): segments
-are joined on equality. Segments of less than two shingles are weak: many unlinked sets agree in them. P has some
-segments to spare, and a set with at most so many weak ones emits the others only: a set linked with it agrees with it
-in one of those. Sets with more weak segments deal their shingles anew by another hash, and so find each other; after
-SEEDS tries, which next to no set needs, they emit all segments. The join's pairs are never listed:
+are joined on equality. P has some segments to spare: of two linked sets, if either has at most so many segments with less
+than w shingles, they agree in one with w or more. So a set with few enough segments of less than two shingles, in
+which many unlinked sets agree, leaves those out; else one with few enough empty ones leaves out these; else it deals
+its shingles anew by another hash as well, and meets others that do; after SEEDS tries, which next to no set needs, it
+emits all segments. The join's pairs are never listed:
 
 1. equal sets are one node; nodes that share segment values form a bucket;
-2. each node is verified against the pivot (least node) of a bucket with which it shares most segments: components;
+2. each node is verified against the pivot (least node) of a bucket with which it shares most segments, if their sizes
+   and sketches allow a link: components;
 3. within buckets that hold several components, all pairs of nodes of different components are compared by size and
    sketch; large buckets are dealt out in blocks. Of the pairs that may be linked a block emits a spanning forest of
    its components, nearest pairs first; they are verified, components merge, pairs found unlinked are set aside, and
@@ -37,8 +39,8 @@ from gossamr.llm.common import WordHashes, emit, field, lowered_words_of, mixed,
 from gossamr.operators.components import components
 from gossamr.session import materialize, ship, sized
 
-#: Ratio of a band's upper to its lower bound of sizes.
-BAND = 1.4
+#: Ratio of a band's upper to its lower bound of sizes, and segments to spare as a share of D.
+BAND, SPARE = 1.4, 0.25
 #: Hashes by which a set may deal its shingles to segments.
 SEEDS = 6
 #: Nodes of a bucket that are compared in one block.
@@ -54,14 +56,20 @@ def bands(upto: int) -> list[int]:
     lows = [1]
     while lows[-1] <= upto:
         lows.append(int(lows[-1] * BAND) + 1)
-    return [*lows, int(lows[-1] * BAND) + 1]
+    for _ in range(8):
+        lows.append(int(lows[-1] * BAND) + 1)
+    return lows
 
 
 class Sketcher:
     """Shingle sets, segments and parity sketches for one pass."""
 
     def __init__(self, k: int, p: int, q: int):
-        self.k, self.p, self.q, self.hashes, self.lows = k, p, q, WordHashes(), bands(64)
+        self.k, self.p, self.q, self.hashes = k, p, q, WordHashes()
+        self.lows = bands(64)
+        # the smallest sets of a band have so many shingles in a segment on average; the share of empty ones follows
+        mean = p / q / (2 * BAND * (q - p) / (q + p) * (1 + SPARE))
+        self.spared = (1 + SPARE) * math.exp(-mean) <= 0.9 * SPARE
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct 64-bit hashes of the k-word shingles; fewer than k words are one shingle."""
@@ -77,19 +85,21 @@ class Sketcher:
         return (self.q - self.p) * total // (self.q + self.p)
 
     def band(self, n: int) -> int:
-        if n >= self.lows[-2]:
+        if n >= self.lows[-9]:
             self.lows = bands(2 * n)
         return int(np.searchsorted(self.lows, n, "right")) - 1
 
     def own_bands(self, n: int) -> list[int]:
-        """Bands of the larger sets that a set of size n can be linked with: its own, and the next if in reach."""
-        b = self.band(n)
-        return [b, b + 1] if n * self.q >= self.p * self.lows[b + 1] else [b]
+        """Bands of the larger sets that a set of size n can be linked with: its own, and the next ones in reach."""
+        b, reach = self.band(n), n * self.q // self.p
+        if reach >= self.lows[-2]:
+            self.lows = bands(2 * reach)
+        return list(range(b, int(np.searchsorted(self.lows, reach, "right"))))
 
     def segments(self, b: int) -> tuple[int, int]:
         """Number of segments of a band, and how many of them are to spare."""
         far = self.furthest(2 * (self.lows[b + 1] - 1))
-        spare = max(1, math.ceil(0.22 * far))
+        spare = max(1, math.ceil(SPARE * far)) if self.spared else 0
         return far + 1 + spare, spare
 
     def keys(self, h: np.ndarray) -> np.ndarray:
@@ -107,13 +117,14 @@ class Sketcher:
                 heads = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0]
                 values = mixed(np.bitwise_xor.reduceat(h[order], heads))
                 tags = mixed(np.uint64(((seed << 16) + b) << 32) + np.arange(count, dtype=np.uint64) + np.uint64(1))
-                strong = np.diff(np.r_[heads, len(h)]) >= 2
-                enough = count - int(strong.sum()) <= spare
-                if not enough and seed == SEEDS - 1:
-                    strong[:] = True
+                filled = np.diff(np.r_[heads, len(h)])
+                last = seed == SEEDS - 1 or not self.spared
+                enough = count - len(heads) <= spare
+                strong = filled >= (2 if seed == 0 and count - int((filled >= 2).sum()) <= spare else 1)
+                if not enough and last:
                     out.append(mixed(tags[np.setdiff1d(np.arange(count), at[heads])] ^ np.uint64(0x5851F42D4C957F2D)))
                 out.append(mixed(values[strong] + tags[at[heads][strong]]))
-                if enough:
+                if enough or last:
                     break
         return np.concatenate(out)
 
@@ -175,12 +186,45 @@ def _over_keys(each: DataFrame) -> DataFrame:
     return each.select("node", F.expr("count(1) over (partition by key)").alias("size"), F.expr("min(node) over (partition by key)").alias("pivot"), F.expr("bit_xor(xxhash64(node)) over (partition by key)").alias("mark"))
 
 
-def verified(pairs: DataFrame, n_pairs: int, texts: DataFrame, k: int, p: int, q: int) -> DataFrame:
-    """Those of the n_pairs pairs (a, b) of nodes that are linked, by the shingle sets of their texts (node, text)."""
-    def of(side: str) -> DataFrame:
-        needed = texts.join(sized(pairs.select(F.col(side).alias("node")).distinct(), n_pairs), "node", "left_semi")
-        return needed.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
+def _folded(x: bytes, y: bytes) -> int:
+    """Hamming distance of two sketches, the wider one folded to the width of the other."""
+    if len(x) < len(y):
+        x, y = y, x
+    a, b, width = int.from_bytes(x, "little"), int.from_bytes(y, "little"), 8 * len(x)
+    while width > 8 * len(y):
+        width //= 2
+        a = (a >> width) ^ (a & ((1 << width) - 1))
+    return (a ^ b).bit_count()
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sizes and sketches (node, n, sketch) allow a link."""
+    of = lambda side: sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+    sizes = (F.least("n_a", "n_b") * q >= F.greatest("n_a", "n_b") * p)
+    both = pairs.join(of("a"), "a").join(of("b"), "b").filter(sizes)
+
+    def start():
+        def work(a, b, n_a, n_b, x, y):
+            kept = [i for i in range(len(a)) if _folded(x[i], y[i]) * (q + p) <= (q - p) * (n_a[i] + n_b[i])]
+            return [a[i] for i in kept], [b[i] for i in kept]
+
+        return work
+
+    return emit(both, ["a", "b", "n_a", "n_b", "sketch_a", "sketch_b"], [field("a", "long"), field("b", "long")], start)
 
+
+def verified(pairs: DataFrame, n_pairs: int, docs: DataFrame, chosen: DataFrame, k: int, p: int, q: int) -> DataFrame:
+    """Those of the n_pairs pairs (a, b) of nodes that are linked, by the shingle sets of their texts.
+
+    chosen: node, and _id and _key of a row of docs that has its text.
+    """
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    needed = materialize(chosen.join(sized(nodes, 2 * n_pairs), "node", "left_semi"), "parity-needed")
+    texts = docs.join(sized(needed), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")))
+    texts = materialize(texts.select("node", "text"), "parity-texts")
+    if texts.count() > needed.count():  # rows that repeat both id and text
+        texts = materialize(texts.dropDuplicates(["node"]), "parity-texts")
+    of = lambda side: texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
 
     def start():
@@ -330,14 +374,11 @@ def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> Data
     nodes = members.select("node").distinct()
     chosen = feats.join(sized(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
     chosen = materialize(chosen.select("node", F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_key")), "parity-nodes")
-    texts = docs.join(sized(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")))
-    texts = materialize(texts.select("node", "text"), "parity-texts")
-    if texts.count() > chosen.count():  # rows that repeat both id and text
-        texts = materialize(texts.dropDuplicates(["node"]), "parity-texts")
     best = members.filter("node <> pivot").groupBy("node", "pivot").agg(F.sum("shared").alias("shared")).groupBy("node").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot"))
-    best = materialize(best.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "parity-pivots")
     sketches = materialize(feats.filter("keys is not null").select("node", "n", "sketch").join(sized(chosen.select("node")), "node", "left_semi").dropDuplicates(["node"]), "parity-sketches")
-    edges, tried = materialize(verified(best, best.count(), texts, k, p, q), "parity-links"), best
+    best = best.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    best = materialize(_possible(best, sketches, p, q), "parity-pivots")
+    edges, tried = materialize(verified(best, best.count(), docs, chosen, k, p, q), "parity-links"), best
     labels = materialize(components(edges, "a", "b"), "parity-labels")
     for turn in range(ROUNDS + 1):
         refused = tried.join(edges, ["a", "b"], "left_anti")
@@ -350,7 +391,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> Data
             break
         # a bucket without such pairs will have none later
         members = members.join(sized(found.select("bucket").distinct(), found.count()), "bucket", "left_semi")
-        links = materialize(verified(pairs, n_pairs, texts, k, p, q), "parity-links")
+        links = materialize(verified(pairs, n_pairs, docs, chosen, k, p, q), "parity-links")
         edges, tried = edges.unionByName(links), tried.unionByName(pairs)
         if not links.isEmpty():
             labels = materialize(components(edges, "a", "b"), "parity-labels")
