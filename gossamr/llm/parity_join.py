@@ -342,10 +342,18 @@ def _block_pairs(rows: DataFrame, p: int, q: int, unlinked, exhaustive: bool) ->
     return rows.mapInArrow(run, schema)
 
 
-def _crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, p: int, q: int, unlinked, exhaustive: bool) -> DataFrame:
-    """Pairs of nodes that share a bucket, are of different components and may be linked, with the bucket; see _block_pairs."""
+def _crossing(members: DataFrame, wanted: DataFrame | None, labels: DataFrame, sketches: DataFrame, p: int, q: int, unlinked, exhaustive: bool) -> DataFrame:
+    """Pairs of nodes that share a bucket, are of different components and may be linked, with the bucket; see _block_pairs.
+
+    wanted: the buckets to look at, or None for all. They are marked among the members, and found in the same pass
+    over each bucket that tells whether it holds several components.
+    """
     known = members.join(sized(labels), "node", "left").select("node", "bucket", "size", F.coalesce("component", "node").alias("component"))
-    spread = known.repartition("bucket").select("*", F.expr("min(component) over (partition by bucket) <> max(component) over (partition by bucket)").alias("open"))
+    several = "min(component) over (partition by bucket) <> max(component) over (partition by bucket)"
+    if wanted is not None:
+        known = known.unionByName(wanted.select("bucket").distinct(), allowMissingColumns=True)
+        several += " and count(1) over (partition by bucket) > count(node) over (partition by bucket)"
+    spread = known.repartition("bucket").select("*", F.expr(several).alias("open")).filter("node is not null")
     rows = spread.filter("open").drop("open").join(sketches, "node")
     chunks = F.ceil(F.col("size") / F.lit(BLOCK // 2)).cast("int")
     small = rows.filter(F.col("size") <= BLOCK).select("*", F.col("bucket").alias("block"), F.lit(False).alias("across"), F.lit(0).alias("half"))
@@ -380,17 +388,18 @@ def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> Data
     best = materialize(_possible(best, sketches, p, q), "parity-pivots")
     edges, tried = materialize(verified(best, best.count(), docs, chosen, k, p, q), "parity-links"), best
     labels = materialize(components(edges, "a", "b"), "parity-labels")
+    wanted = None
     for turn in range(ROUNDS + 1):
         refused = tried.join(edges, ["a", "b"], "left_anti")
         exhaustive = turn == ROUNDS or refused.count() > UNLINKED
         keys = None if exhaustive else docs.sparkSession.sparkContext.broadcast(_refused_keys(refused))
-        found = materialize(_crossing(members, labels, sketches, p, q, keys, exhaustive), "parity-found")
+        found = materialize(_crossing(members, wanted, labels, sketches, p, q, keys, exhaustive), "parity-found")
         pairs = materialize(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "parity-pairs")
         n_pairs = pairs.count()
         if not n_pairs:
             break
         # a bucket without such pairs will have none later
-        members = members.join(sized(found.select("bucket").distinct(), found.count()), "bucket", "left_semi")
+        wanted = found
         links = materialize(verified(pairs, n_pairs, docs, chosen, k, p, q), "parity-links")
         edges, tried = edges.unionByName(links), tried.unionByName(pairs)
         if not links.isEmpty():
