@@ -1,128 +1,225 @@
 """LM scoring by cross-entropy difference (Moore and Lewis, 2010).
 
 Two bigram models with the same vocabulary and smoothing: the target's, from documents labelled good, and the
-background's, from all documents. Words and bigrams are hashed to tables of fixed size, that both models share, so
-that what is broadcast is bounded by two parameters and not by the corpus. The counts cover every word of every
-document: a task sums its own, and the sums of all tasks are shuffled by slot. Background counts are scaled to the
-target's size, so that smoothing weighs alike in both. A document's score is the mean difference per token of its
-loss under the target's and under the background's model: the lower, the more it is like the target.
+background's, from all documents. Words and bigrams are counted by 62-bit hash, so the models grow with the corpus and
+no task holds more than a share of them: texts are taken in chunks, a chunk's distinct keys go with its own counts to the
+key's bucket, the bucket sums them over all chunks and answers with the sums, and the chunk's answers meet its texts
+again. Buckets are ranges of keys, in a number that follows from the counted words. A key that is common everywhere is
+one entry a chunk. Background counts are scaled to the target's size, so that smoothing weighs alike in both. A
+document's score is the mean difference per token of its loss under the target's and under the background's model: the
+lower, the more it is like the target.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gossamr.llm.common import WordHashes, append, emit, field, lowered_words_of, mixed
+from gossamr.llm.common import WordHashes, emit, field, lowered_words_of, mixed
 from gossamr.session import materialize, sized
 
-#: log2 of the slots for words and for bigrams.
-WORD_BITS, BIGRAM_BITS = 20, 21
+#: Bits of a key. Keys of words are below 1 << WORD_BITS, those of bigrams follow.
+WORD_BITS = 62
+#: Tokens of a chunk, but for a longer text, and tokens of the corpus for each bucket.
+CHUNK, BUCKET = 1_000_000, 500_000
 
 
-class Slots:
-    """Slots of the words and bigrams of texts."""
+def bigram_keys(words: np.ndarray) -> np.ndarray:
+    """Keys of the bigrams of a sequence of words' keys."""
+    h = words.astype(np.uint64)
+    return ((mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) >> np.uint64(2)) | np.uint64(1 << WORD_BITS)).astype(np.int64)
 
-    def __init__(self, word_bits: int, bigram_bits: int):
-        self.hashes, self.word_bits, self.bigram_bits = WordHashes(), word_bits, bigram_bits
 
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        h = self.hashes.of(lowered_words_of(text))
-        pairs = mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
-        return (h >> np.uint64(64 - self.word_bits)).astype(np.int64), (pairs >> np.uint64(64 - self.bigram_bits)).astype(np.int64)
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 on: their bytes in planes, lowest first and no more than the largest needs, compressed."""
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(x, np.int64).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return bytes([width]) + len(x).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
 
 
-def counts(docs: DataFrame, word_bits: int = WORD_BITS, bigram_bits: int = BIGRAM_BITS) -> DataFrame:
-    """(slot, target, background): occurrences in target documents and in all. docs: text, is_target.
+def unpacked(blob: bytes) -> np.ndarray:
+    width, n = blob[0], int.from_bytes(blob[1:9], "little")
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(pa.decompress(blob[9:], width * n, "zstd", asbytes=True), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view(np.int64)
+
+
+def gaps(keys: np.ndarray) -> np.ndarray:
+    """Of rising keys the first and then the differences; np.cumsum gives the keys again."""
+    return np.diff(keys, prepend=0)
+
+
+class Chunk:
+    """Texts of one task, gathered until they have enough tokens."""
+
+    def __init__(self):
+        self.hashes = WordHashes()
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.targets, self.names, self.tokens = [], [], [], 0
+
+    def add(self, text: str | None, target: bool, name: int) -> None:
+        words = (self.hashes.of(lowered_words_of(text)) >> np.uint64(2)).astype(np.int64)
+        if len(words):
+            self.words.append(words)
+            self.targets.append(bool(target))
+            self.names.append(name)
+            self.tokens += len(words)
+
+    def sums(self, bigrams: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys in order, their counts in targets and in all texts; each token's place in keys; texts' lengths."""
+        lengths = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        all_words = np.concatenate(self.words)
+        chosen = np.repeat(np.array(self.targets), lengths)
+        made = [_summed(all_words, chosen)]
+        if bigrams:
+            inside = _inside(lengths)
+            made.append(_summed(bigram_keys(all_words)[inside], chosen[1:][inside]))
+        keys, target, background = (np.concatenate([m[i] for m in made]) for i in range(3))
+        return keys, target, background, made[0][3], lengths
+
+
+def _inside(lengths: np.ndarray) -> np.ndarray:
+    """Of the pairs of neighbours in texts of these lengths laid end to end, those within a text."""
+    out = np.ones(int(lengths.sum()) - 1, bool)
+    out[np.cumsum(lengths)[:-1] - 1] = False
+    return out
+
+
+def _summed(keys: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    found, at = np.unique(keys, return_inverse=True)
+    return found, np.bincount(at[chosen], minlength=len(found)), np.bincount(at, minlength=len(found)), at
 
-    Slots of bigrams follow those of words.
-    """
+
+def counts(docs: DataFrame, bigrams: bool = True) -> DataFrame:
+    """(slot, target, background): occurrences of each key in target documents and in all. docs: text, is_target."""
 
     def start():
-        slots, words = Slots(word_bits, bigram_bits), 1 << word_bits
-        tables = np.zeros((2, words + (1 << bigram_bits)), np.int64)
+        chunk = Chunk()
+
+        def flush():
+            keys, target, background, _, _ = chunk.sums(bigrams)
+            chunk.clear()
+            return keys, target, background
 
         def work(texts, targets):
-            for chosen in (True, False):
-                found = [slots.of(t) for t, x in zip(texts, targets, strict=True) if t and bool(x) == chosen]
-                if found:
-                    for part, base in ((np.concatenate([a for a, _ in found]), 0), (np.concatenate([b for _, b in found]), words)):
-                        at, n = np.unique(part, return_counts=True)
-                        tables[1, base + at] += n
-                        if chosen:
-                            tables[0, base + at] += n
-
-        def last():
-            used = np.nonzero(tables[1])[0]
-            for i in range(0, len(used), 100_000):
-                at = used[i : i + 100_000]
-                yield at, tables[0, at], tables[1, at]
-
-        return work, last
-
-    fields = [field("slot", "long"), field("target", "long"), field("background", "long")]
-    own = emit(docs, ["text", "is_target"], fields, start, finish=True)
+            for t, x in zip(texts, targets, strict=True):
+                chunk.add(t, x, 0)
+            return flush() if chunk.tokens >= CHUNK else None
+
+        return work, lambda: [flush()] if chunk.tokens else []
+
+    own = emit(docs, ["text", "is_target"], [field("slot", "long"), field("target", "long"), field("background", "long")], start, finish=True)
     return own.groupBy("slot").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
-class Model:
-    """Loss tables of both models; ready to be broadcast."""
-
-    def __init__(self, table, word_bits: int, bigram_bits: int, strength: float):
-        slot = table.column("slot").to_numpy()
-        words = 1 << word_bits
-        full = np.zeros((2, words + (1 << bigram_bits)), np.float64)
-        full[0, slot], full[1, slot] = table.column("target").to_numpy(), table.column("background").to_numpy()
-        totals = full[:, :words].sum(axis=1)
-        if totals.all():
-            full[1] *= totals[0] / totals[1]
-        self.word_bits, self.bigram_bits, self.strength = word_bits, bigram_bits, strength
-        self.total = float(totals[0])
-        self.vocabulary = int((full[:, :words].sum(axis=0) > 0).sum()) + 1
-        self.words, self.bigrams = full[:, :words].astype(np.float32), full[:, words:].astype(np.float32)
-
-    def losses(self, words: np.ndarray, bigrams: np.ndarray) -> tuple[float, float]:
-        """Mean loss in nats per token under the target's and the background's model."""
-        out = []
-        for k in (0, 1):
-            one = (self.words[k, words].astype(np.float64) + 1.0) / (self.total + self.vocabulary)
-            p = one.copy()
-            history = self.words[k, words[:-1]].astype(np.float64)
-            p[1:] = (np.minimum(self.bigrams[k, bigrams], history) + self.strength * one[1:]) / (history + self.strength)
-            out.append(float(-np.log(p).mean()))
-        return out[0], out[1]
-
-
-def score(docs: DataFrame, labels: DataFrame, word_bits: int = WORD_BITS, bigram_bits: int = BIGRAM_BITS, strength: float = 50.0) -> DataFrame:
+def _edges(buckets: int) -> np.ndarray:
+    """Where each bucket's keys start."""
+    return np.array([(i << (WORD_BITS + 1)) // buckets for i in range(buckets)], np.int64)
+
+
+def _rows(df: DataFrame, buckets: int, tokens: int) -> DataFrame:
+    """(chunk, bucket, kind, a, b, c) of df (text, key, is_target).
+
+    Kind 0: keys of a bucket (their gaps from the bucket's start) and the chunk's counts of them in targets and in all.
+    Kind 1, one row a chunk: keys of its texts (int64), their lengths and each token's place among the chunk's words.
+    All but the texts' keys are packed.
+    """
+    edges = _edges(buckets)
+
+    def start():
+        chunk, n, base = Chunk(), 0, TaskContext.get().partitionId() << 32
+
+        def flush():
+            nonlocal n
+            keys, target, background, places, lengths = chunk.sums()
+            at, name = [*np.searchsorted(keys, edges).tolist(), len(keys)], base + n
+            rows = [(name, i, 0, packed(gaps(keys[x:y] - edges[i])), packed(target[x:y]), packed(background[x:y])) for i, (x, y) in enumerate(zip(at[:-1], at[1:], strict=True)) if x < y]
+            rows.append((name, (name * 7919) % buckets, 1, np.array(chunk.names, np.int64).tobytes(), packed(lengths), packed(places)))
+            chunk.clear()
+            n += 1
+            return [list(x) for x in zip(*rows, strict=True)]
+
+        def work(texts, names, targets):
+            for t, k, x in zip(texts, names, targets, strict=True):
+                chunk.add(t, x, k)
+            return flush() if chunk.tokens >= tokens else None
+
+        return work, lambda: [flush()] if chunk.tokens else []
+
+    return emit(df, ["text", "key", "is_target"], [field("chunk", "long"), field("bucket", "long"), field("kind", "int"), *(field(c, "binary") for c in "abc")], start, finish=True)
+
+
+def _answered(table: pa.Table, buckets: int) -> pa.Table:
+    """One bucket's rows: those of kind 0 with the keys of words alone and the counts of all chunks."""
+    kinds = np.array(table.column("kind").to_pylist())
+    asked = table.filter(pa.array(kinds == 0))
+    if not asked.num_rows:
+        return table
+    start = _edges(buckets)[asked.column("bucket")[0].as_py()]
+    a, b, c = ([unpacked(v) for v in asked.column(x).to_pylist()] for x in "abc")
+    a = [np.cumsum(x) for x in a]
+    _, at = np.unique(np.concatenate(a), return_inverse=True)
+    sums = [np.bincount(at, weights=np.concatenate(x)).astype(np.int64)[at] for x in (b, c)]
+    ends, out = np.cumsum([0, *map(len, a)]), [[], [], []]
+    for i, keys in enumerate(a):
+        out[0].append(packed(gaps(keys[keys + start < 1 << WORD_BITS])))
+        out[1].append(packed(sums[0][ends[i] : ends[i + 1]]))
+        out[2].append(packed(sums[1][ends[i] : ends[i + 1]]))
+    made = pa.table([asked.column("chunk"), asked.column("bucket"), asked.column("kind"), *(pa.array(x, pa.binary()) for x in out)], names=table.column_names)
+    return pa.concat_tables([made, table.filter(pa.array(kinds == 1)).cast(made.schema)])
+
+
+def _losses(table: pa.Table, buckets: int, totals: tuple[int, int], vocabulary: int, strength: float) -> pa.Table:
+    """(key, tokens, target's loss, background's loss) of one chunk's texts: mean nats per token under both models."""
+    rows = sorted(table.to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
+    text = rows.pop()
+    starts = _edges(buckets)
+    known = np.concatenate([np.cumsum(unpacked(r["a"])) + starts[r["bucket"]] for r in rows])
+    sums = [np.concatenate([unpacked(r[x]) for r in rows]) for x in "bc"]
+    names, lengths, places = np.frombuffer(text["a"], np.int64), unpacked(text["b"]), unpacked(text["c"])
+    inside = _inside(lengths)
+    pairs = np.unique(bigram_keys(known[places])[inside], return_inverse=True)[1] + len(known)
+    second, out = np.nonzero(inside)[0] + 1, []
+    for k in (0, 1):
+        scale = totals[0] / totals[1] if k and all(totals) else 1.0
+        n = sums[k] * scale
+        p = (n[places] + 1.0) / (totals[0] + vocabulary)
+        history = n[places[second - 1]]
+        p[second] = (np.minimum(n[pairs], history) + strength * p[second]) / (history + strength)
+        out.append(-np.add.reduceat(np.log(p), np.cumsum(lengths) - lengths) / lengths)
+    return pa.table([pa.array(names), pa.array(lengths), *map(pa.array, out)], names=["_key", "_n", "_a", "_b"])
+
+
+def score(docs: DataFrame, labels: DataFrame, strength: float = 50.0, chunk: int = CHUNK) -> DataFrame:
     """docs (doc_id, text and other columns) with n_tokens, target_loss, background_loss and score appended.
 
     Target documents are those with a label of quality 1 (of several labels for an id the lowest counts). Texts
     without words, null ones too, have null losses and score. Without any target document the target's model is
     uniform. Repeated rows count as often as they occur. Columns with the names of results are replaced.
     """
+    spark = docs.sparkSession
     good = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("_q")).filter("_q = 1").select(F.col("doc_id").alias("_good"))
     marked = docs.select("doc_id", "text").join(sized(materialize(good, "lm-target")), F.col("doc_id") == F.col("_good"), "left")
-    table = materialize(counts(marked.select("text", F.col("_good").isNotNull().alias("is_target")), word_bits, bigram_bits), "lm-counts").toArrow()
-    known = docs.sparkSession.sparkContext.broadcast(Model(table, word_bits, bigram_bits, strength))
-
-    def start():
-        model, slots = known.value, Slots(word_bits, bigram_bits)
-
-        def work(texts):
-            out = []
-            for text in texts:
-                words, bigrams = slots.of(text)
-                if len(words):
-                    a, b = model.losses(words, bigrams)
-                    out.append((len(words), a, b, a - b))
-                else:
-                    out.append((0, None, None, None))
-            return [list(x) for x in zip(*out, strict=True)] if out else [[] for _ in range(4)]
-
-        return work
-
-    return append(docs, ["text"], [field("n_tokens", "long"), field("target_loss", "double"), field("background_loss", "double"), field("score", "double")], start)
+    marked = marked.select("text", F.xxhash64("text").alias("key"), F.col("_good").isNotNull().alias("is_target"))
+    size = counts(marked, bigrams=False).agg(F.count("*").alias("n"), F.sum("target").alias("t"), F.sum("background").alias("b")).first()
+    totals, vocabulary = (size.t or 0, size.b or 0), size.n + 1
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), totals[1] // BUCKET + 1)
+    asked = _rows(marked, buckets, chunk)
+    answers = asked.groupBy("bucket").applyInArrow(lambda t: _answered(t, buckets), asked.schema)
+    kinds = T.StructType([field("_key", "long"), field("_n", "long"), field("_a", "double"), field("_b", "double")])
+    losses = answers.groupBy("chunk").applyInArrow(lambda t: _losses(t, buckets, totals, vocabulary, strength), kinds)
+    losses = materialize(losses.groupBy("_key").agg(*(F.min(c).alias(c) for c in ("_n", "_a", "_b"))), "lm-losses")
+
+    new = {"n_tokens", "target_loss", "background_loss", "score"}
+    kept = [c for c in docs.columns if c not in new]
+    joined = docs.select(*kept, F.xxhash64("text").alias("_text_key")).join(sized(losses), F.col("text").isNotNull() & (F.col("_text_key") == F.col("_key")), "left")
+    return joined.select(*kept, F.coalesce("_n", F.lit(0).cast("long")).alias("n_tokens"), F.col("_a").alias("target_loss"), F.col("_b").alias("background_loss"), (F.col("_a") - F.col("_b")).alias("score"))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

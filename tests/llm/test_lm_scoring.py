@@ -56,3 +56,21 @@ def test_edges(spark, edge_docs, no_docs):
     rows = lm.score(edge_docs, labels).collect()
     assert len(rows) == 11 and all(r.score is None for r in rows if r.doc_id in (2, 3, 5)) and all(r.score is not None for r in rows if r.doc_id in (1, 4, 6, 7))
     assert lm.score(no_docs, labels).count() == 0 and lm.score(edge_docs, labels.limit(0)).count() == 11
+
+
+@pytest.mark.parametrize("chunk", [30, 1_000_000])
+def test_models_grow_with_the_corpus(spark, chunk):
+    """More words and bigrams than tables of 2^20 and 2^21 slots keep apart, over many chunks and buckets."""
+    rng = random.Random(5)
+    docs = [(i, " ".join(f"w{rng.randrange(6000)}" for _ in range(100))) for i in range(400)]
+    docs += [(1000 + i, t) for i, t in docs[:20]] + [(2000, "one"), (2001, "")]
+    good = {i for i, _ in docs if i % 3 == 0}
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    pairs = {p for _, t in docs for p in zip(t.split(), t.split()[1:], strict=False)}
+    assert lm.counts(df.selectExpr("text", "doc_id % 3 = 0 AS is_target")).count() == len({w for _, t in docs for w in t.split()}) + len(pairs)
+    rows = lm.score(df, spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int"), chunk=chunk).collect()
+    want = brute(docs, good)
+    assert len(rows) == len(docs)
+    for r in rows:
+        a, b = want[r.doc_id]
+        assert (r.target_loss, r.background_loss) == ((pytest.approx(a, rel=1e-9), pytest.approx(b, rel=1e-9)) if a else (None, None))
