@@ -1,6 +1,7 @@
 """PII: patterns, and information-theoretic sanitisation of what surrounds them.
 
-Protected entities are the distinct values that the patterns find. From the corpus it is estimated how much a term t
+Protected entities are the distinct values that the patterns find and, coarser, what values share: an e-mail address's
+domain, a number's prefix, the kind. From the corpus it is estimated how much a term t
 tells about an entity e: of IC(e) = -log2 p(e) bits, an observer of t knows PMI(t; e) = log2 p(e|t)/p(e). The share
 PMI/IC, with p(t) over all documents and p(e, t) over documents that hold t near e, is the disclosure of e by t. Terms
 whose disclosure reaches `remove_at` are removed, those that reach `generalise_at` are generalised, wherever they occur.
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gossamr.llm.common import append, emit, field
-from gossamr.session import BROADCAST_ROWS, materialize
+from gossamr.session import BROADCAST_ROWS, materialize, sized
 
 #: Fixed patterns: the domain of an e-mail address after its @, IPv4 addresses, card numbers, telephone numbers.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -76,9 +77,11 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def entity(kind: str, value: str) -> int:
+def entities(kind: str, value: str) -> list[int]:
+    """Hashes of the value, of its domain or prefix, and of its kind."""
     value = value.lower() if kind in ("email", "ip") else "".join(filter(str.isdigit, value))
-    return _signed(xxhash.xxh3_64_intdigest(f"{kind}:{value}".encode("utf-8", "surrogatepass")))
+    shared = {"email": value.rpartition("@")[2], "ip": value.rpartition(".")[0], "card": value[:6], "phone": value[:-4]}[kind]
+    return [_signed(xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"))) for x in (f"{kind}:{value}", f"{kind} of:{shared}", f"{kind}")]
 
 
 def near_terms(text: str, spans: list[tuple[int, int, str]], window: int) -> set[tuple[int, str]]:
@@ -86,12 +89,12 @@ def near_terms(text: str, spans: list[tuple[int, int, str]], window: int) -> set
     out = set()
     starts, reach = [s for s, _, _ in spans], list(accumulate((e for _, e, _ in spans), max))
     for s, e, kind in spans:
-        who = entity(kind, text[s:e])
+        who = entities(kind, text[s:e])
         for m in WORD.finditer(text, max(0, s - window), min(len(text), e + window)):
             cut = LETTER.match(text, m.start() - 1) if m.start() else None
             before = bisect_left(starts, m.end())
             if not cut and not LETTER.match(text, m.end()) and not (before and reach[before - 1] > m.start()):
-                out.add((who, m[0].lower()))
+                out.update((x, m[0].lower()) for x in who)
     return out
 
 
@@ -104,7 +107,7 @@ def contexts(docs: DataFrame, window: int) -> DataFrame:
             for t in texts:
                 if spans := base_spans(t):
                     fp = _signed(xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")))
-                    rows += [(e, None, fp) for e in {entity(k, t[s:x]) for s, x, k in spans}]
+                    rows += [(e, None, fp) for e in {y for s, x, k in spans for y in entities(k, t[s:x])}]
                     rows += [(e, w, fp) for e, w in near_terms(t, spans, window)]
             return [list(x) for x in zip(*rows, strict=True)] if rows else [[], [], []]
 
@@ -140,15 +143,15 @@ def term_counts(docs: DataFrame, candidates: DataFrame, n_candidates: int, broad
     return summed if known else summed.join(candidates, "term", "left_semi")
 
 
-def risky_terms(docs: DataFrame, window: int = 60, support: int = 5, generalise_at: float = 0.97, remove_at: float = 0.99, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def risky_terms(docs: DataFrame, window: int = 60, support: int = 2, generalise_at: float = 0.97, remove_at: float = 0.99, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(term, action, disclosure) of terms whose disclosure of some entity reaches a threshold.
 
-    support: distinct texts in which term and entity must meet. The counts cover all documents.
+    support: distinct texts in which term and entity must meet; one meeting is no evidence of how they go together. The counts cover all documents.
     """
     met = materialize(contexts(docs, window), "pii-contexts")
-    entities = met.filter(F.col("term").isNull()).groupBy("entity").agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= support)
+    known = met.filter(F.col("term").isNull()).groupBy("entity").agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= support)
     pairs = met.filter(F.col("term").isNotNull()).groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support)
-    pairs = materialize(pairs.join(entities, "entity"), "pii-pairs")
+    pairs = materialize(pairs.join(sized(materialize(known, "pii-entities")), "entity"), "pii-pairs")
     candidates = materialize(pairs.select("term").distinct(), "pii-candidates")
     n, total = candidates.count(), docs.count()
     if not n:
@@ -189,7 +192,7 @@ def sanitised(text: str | None, spans: list[tuple[int, int, str]]) -> str | None
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, result, fields: list, window: int = 60, support: int = 5, generalise_at: float = 0.97, remove_at: float = 0.99, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def sanitise(docs: DataFrame, result, fields: list, window: int = 60, support: int = 2, generalise_at: float = 0.97, remove_at: float = 0.99, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """docs (text and any other columns) with fields appended: result(text, base spans, all spans) of each row.
 
     Risky terms are broadcast if at most broadcast_rows are counted; beyond, each row gets its own by a join. Null

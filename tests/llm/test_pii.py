@@ -80,3 +80,15 @@ def test_edges(spark, edge_docs, no_docs):
     row = out.filter("doc_id = 6").first()
     assert "[EMAIL]" in row.text and "[PHONE]" in row.text and row.n_chars == len(row.text)
     assert pii.redact(no_docs).count() == 0
+
+
+def test_terms_of_few_texts_and_of_coarser_entities(spark):
+    """Two texts with one address are enough, and so are different values that share a domain, a prefix or a kind."""
+    given = [
+        ("zanzibar", ["bob@corp.example", "bob@corp.example"]), ("quixotic", ["ann@firm.example", "eve@firm.example"]), ("wombat", ["203.0.113.7", "203.0.113.9"]),
+        ("jigsaw", ["+1 (555) 123-4567", "+1 (555) 123-9876"]), ("yonder", ["4111 1111 1111 1111", "4111 1111 1111 1103"]),
+    ]
+    rows = [f"common words {term} then {value} now" for term, values in given for value in values]
+    rows = [f"{x} and text {i}" for i, x in enumerate(rows)] + [f"common words then now and text of another kind {i}" for i in range(200)] + ["common words hapax then joe@other.example now"]
+    terms = {r.term: r.action for r in pii.risky_terms(spark.createDataFrame([(t,) for t in rows], "text string")).collect()}
+    assert terms == {"zanzibar": "removed", "quixotic": "removed", "wombat": "removed", "jigsaw": "removed", "yonder": "removed"}
