@@ -3,7 +3,7 @@
 Protected entities are the distinct values that the patterns find and, coarser, what values share: an e-mail address's
 domain, a number's prefix, the kind. From the corpus it is estimated how much a term t
 tells about an entity e: of IC(e) = -log2 p(e) bits, an observer of t knows PMI(t; e) = log2 p(e|t)/p(e). The share
-PMI/IC, with p(t) over all documents and p(e, t) over documents that hold t near e, is the disclosure of e by t. Terms
+PMI/IC, with p(t) over all distinct texts and p(e, t) over those that hold t near e, is the disclosure of e by t. Terms
 whose disclosure reaches `remove_at` are removed, those that reach `generalise_at` are generalised, wherever they occur.
 """
 
@@ -118,45 +118,61 @@ def contexts(docs: DataFrame, window: int) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, candidates: DataFrame, n_candidates: int, broadcast_rows: int) -> DataFrame:
-    """(term, docs): documents that hold each candidate term. Counted where the rows are, then summed."""
+    """(term, docs): distinct texts that hold each candidate term. docs: text, copies (rows of the same text).
+
+    Counted where the rows are, a row of n copies as 1/n, then summed.
+    """
     known = docs.sparkSession.sparkContext.broadcast(frozenset(r.term for r in candidates.toLocalIterator())) if n_candidates <= broadcast_rows else None
 
     def start():
         counts: Counter = Counter()
+        shares: Counter = Counter()
 
         def flush():
-            out = [list(counts.keys()), list(counts.values())]
+            for w, x in shares.items():
+                counts[w] += x
+            out = [list(counts.keys()), list(map(float, counts.values()))]
             counts.clear()
+            shares.clear()
             return out
 
-        def work(texts):
-            for t in texts:
+        def work(texts, copies):
+            for t, n in zip(texts, copies, strict=True):
                 if t:
                     words = set(WORD.findall(t.lower()))
-                    counts.update(words & known.value if known else words)
-            return flush() if len(counts) > BROADCAST_ROWS // 2 else None
-
-        return work, lambda: [flush()] if counts else []
-
-    counted = emit(docs.select("text"), ["text"], [field("term", "string"), field("docs", "long")], start, finish=True)
-    summed = counted.groupBy("term").agg(F.sum("docs").alias("docs"))
+                    words = words & known.value if known else words
+                    if n == 1:
+                        counts.update(words)
+                    else:
+                        for w in words:
+                            shares[w] += 1 / n
+            return flush() if len(counts) + len(shares) > BROADCAST_ROWS // 2 else None
+
+        return work, lambda: [flush()] if counts or shares else []
+
+    counted = emit(docs, ["text", "copies"], [field("term", "string"), field("docs", "double")], start, finish=True)
+    summed = counted.groupBy("term").agg(F.round(F.sum("docs")).cast("long").alias("docs"))
     return summed if known else summed.join(candidates, "term", "left_semi")
 
 
 def risky_terms(docs: DataFrame, window: int = 60, support: int = 2, generalise_at: float = 0.97, remove_at: float = 0.99, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(term, action, disclosure) of terms whose disclosure of some entity reaches a threshold.
 
-    support: distinct texts in which term and entity must meet; one meeting is no evidence of how they go together. The counts cover all documents.
+    support: distinct texts in which term and entity must meet; one meeting is no evidence of how they go together. The counts cover all
+    documents, and copies of a text as one.
     """
     met = materialize(contexts(docs, window), "pii-contexts")
     known = met.filter(F.col("term").isNull()).groupBy("entity").agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= support)
     pairs = met.filter(F.col("term").isNotNull()).groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support)
     pairs = materialize(pairs.join(sized(materialize(known, "pii-entities")), "entity"), "pii-pairs")
     candidates = materialize(pairs.select("term").distinct(), "pii-candidates")
-    n, total = candidates.count(), docs.count()
+    n = candidates.count()
     if not n:
         return pairs.select("term", F.lit("removed").alias("action"), F.lit(1.0).alias("disclosure"))
-    counts = term_counts(docs, candidates, n, broadcast_rows)
+    texts = materialize(docs.filter("text is not null").groupBy(F.xxhash64("text").alias("_fp")).agg(F.count("*").alias("_n")), "pii-texts")
+    total, repeated = texts.count(), texts.filter("_n > 1")
+    counted = docs.filter("text is not null").withColumn("_of", F.xxhash64("text")).join(sized(repeated, limit=broadcast_rows), F.col("_of") == F.col("_fp"), "left")
+    counts = term_counts(counted.select("text", F.coalesce("_n", F.lit(1).cast("long")).alias("copies")), candidates, n, broadcast_rows)
     bits = -F.log2(F.col("with_entity") / F.lit(float(total)))
     pmi = F.log2(F.col("both") * F.lit(float(total)) / (F.col("docs") * F.col("with_entity")))
     shares = pairs.join(counts, "term").select("term", F.when(bits > 0, pmi / bits).alias("disclosure"))
@@ -196,8 +212,7 @@ def sanitise(docs: DataFrame, result, fields: list, window: int = 60, support: i
     """docs (text and any other columns) with fields appended: result(text, base spans, all spans) of each row.
 
     Risky terms are broadcast if at most broadcast_rows are counted; beyond, each row gets its own by a join. Null
-    and empty texts have no spans. Repeated rows and copies of a text count as one text for the meetings of term and
-    entity, as so many documents for the terms. An empty table gives an empty one. Columns with the name of a field
+    and empty texts have no spans. Repeated rows and copies of a text count as one text. An empty table gives an empty one. Columns with the name of a field
     are replaced.
     """
     terms = materialize(risky_terms(docs.select("text"), window, support, generalise_at, remove_at, broadcast_rows), "pii-terms")

@@ -92,3 +92,12 @@ def test_terms_of_few_texts_and_of_coarser_entities(spark):
     rows = [f"{x} and text {i}" for i, x in enumerate(rows)] + [f"common words then now and text of another kind {i}" for i in range(200)] + ["common words hapax then joe@other.example now"]
     terms = {r.term: r.action for r in pii.risky_terms(spark.createDataFrame([(t,) for t in rows], "text string")).collect()}
     assert terms == {"zanzibar": "removed", "quixotic": "removed", "wombat": "removed", "jigsaw": "removed", "yonder": "removed"}
+
+
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_copies_do_not_change_disclosure(spark, broadcast_rows):
+    docs = docs_with_secret(spark).select("text")
+    copied = docs.union(docs.filter("text like '%zanzibar%'")).union(docs.filter("text like '%number3 %'").crossJoin(spark.range(100).select()))
+    assert copied.count() == docs.count() + 108
+    once, often = ({(r.term, r.action, round(r.disclosure, 9)) for r in pii.risky_terms(x, broadcast_rows=broadcast_rows).collect()} for x in (docs, copied))
+    assert once == often and ("zanzibar", "removed", 1.0) in once
