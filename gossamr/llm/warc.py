@@ -52,15 +52,19 @@ def resolve(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     without page_id where no page of the digest has one.
     """
     rows = headers(pages)
-    shared = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(F.min("page_id").alias("original"), F.min_by("url", "page_id").alias("original_url"), F.count("*").alias("copies"))
-    shared = materialize(shared.filter((F.col("copies") > 1) & F.col("original").isNotNull()).drop("copies"), "warc-originals")
+    named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
+    shared = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(F.min(named).alias("first"), F.count("*").alias("copies"))
+    shared = shared.filter((F.col("copies") > 1) & F.col("first").isNotNull())
+    shared = materialize(shared.select("payload_digest", F.col("first.page_id").alias("original"), F.col("first.url").alias("original_url")), "warc-originals")
     joined = rows.join(sized(shared), "payload_digest", "left")
     revisit = F.col("original").isNotNull() & ~F.col("original").eqNullSafe(F.col("page_id"))
     return joined.withColumns({"refers_to": F.when(revisit, F.col("original")), "refers_to_url": F.when(revisit, F.col("original_url"))}).drop("original", "original_url")
 
 
-def record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(f'page {page_id}'.encode()).digest()[:16], version=5)}>"
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """Names page, URL and payload: a page_id that occurs with several payloads or URLs has a record id for each."""
+    name = f"page {page_id} {digest} {'-' if url is None else '+' + url}".encode("utf-8", "surrogatepass")
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(name).digest()[:16], version=5)}>"
 
 
 def record(page_id, url, payload: bytes, digest: str, refers_to, refers_to_url, date: str) -> bytes:
@@ -68,11 +72,11 @@ def record(page_id, url, payload: bytes, digest: str, refers_to, refers_to_url,
     http = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: {len(payload)}{CRLF}{CRLF}".encode()
     block = http if refers_to is not None else http + payload
     clean = lambda s: (s or "").replace("\r", "%0D").replace("\n", "%0A")
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {date}", f"WARC-Target-URI: {clean(url)}", f"WARC-Payload-Digest: sha1:{digest}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id, url, digest)}", f"WARC-Date: {date}", f"WARC-Target-URI: {clean(url)}", f"WARC-Payload-Digest: sha1:{digest}"]
     if page_id is not None:
         lines.append(f"WARC-Page-Number: {page_id}")
     if refers_to is not None:
-        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}", f"WARC-Refers-To-Target-URI: {clean(refers_to_url)}", f"WARC-Refers-To-Date: {date}", "WARC-Truncated: length"]
+        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to, refers_to_url, digest)}", f"WARC-Refers-To-Target-URI: {clean(refers_to_url)}", f"WARC-Refers-To-Date: {date}", "WARC-Truncated: length"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return (CRLF.join(lines) + CRLF + CRLF).encode("utf-8", "surrogatepass") + block + b"\r\n\r\n"
 
@@ -139,7 +143,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolved(index: DataFrame) -> DataFrame:
-    """read()'s rows with refers_to (page_id) and payload_bytes of revisit records taken from their originals."""
+    """read()'s rows with refers_to (page_id) and payload_bytes of revisit records taken from their originals.
+
+    Records are found by their id, which names page, URL and payload; rows of pages that repeat all three write the same
+    record again, under the same id.
+    """
     index = materialize(index, "warc-index")
     revisits, responses = index.filter("record_type = 'revisit'"), index.filter("record_type = 'response'")
     wanted = sized(revisits.select(F.col("refers_to_id").alias("record_id")).distinct())
@@ -152,7 +160,8 @@ def resolved(index: DataFrame) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes pages as WARC, reads the archives back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Null html is an empty payload, null url an empty URI. An empty table gives an empty one.
+    Null html is an empty payload, null url an empty URI. A page_id with several payloads has a record for each. An
+    empty table gives an empty one.
     """
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     path = scratch_path(spark, "warc")

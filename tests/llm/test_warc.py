@@ -38,6 +38,13 @@ def test_null_and_repeated_ids(spark):
     assert sorted((str(r.page_id), r.record_type, r.refers_to) for r in got) == sorted([("None", "response", None)] * 2 + [("3", "response", None)] * 2 + [("4", "revisit", 3), ("None", "revisit", 3)])
 
 
+def test_an_id_with_several_payloads(spark):
+    path, got = round_trip(spark, [(5, "u", "aaaa", None), (5, "u", "b" * 20, None), (6, "v", "b" * 20, None)])
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got) == [(5, 4, "response", None), (5, 20, "response", None), (6, 20, "revisit", 5)]
+    assert all(r.payload_digest == base64.b32encode(hashlib.sha1(b"b" * 20).digest()).decode() for r in got if r.payload_bytes == 20)
+    assert warc.read(spark, path).select("record_id").distinct().count() == 3
+
+
 def test_files_are_gzip_members_of_whole_records(spark):
     path, _ = round_trip(spark, [(1, "http://a/", "one", None), (2, "http://b/", "one", None)])
     names = [f.path for f in spark.read.format("binaryFile").load(path).select("path").collect()]
