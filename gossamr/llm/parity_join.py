@@ -280,21 +280,23 @@ def _block_pairs(rows: DataFrame, p: int, q: int, unlinked, exhaustive: bool) ->
     follow one another. All pairs of a block are compared, offset by offset for all blocks at once.
     """
     schema = T.StructType([field("a", "long"), field("b", "long"), field("bucket", "long")])
+    widest = 2 ** math.ceil(math.log2(2 * BAND * q / p))  # widths follow the bands' bounds in powers of 2
 
     def compare(t: pa.Table) -> pa.RecordBatch:
         block, half, node, comp, n = (t.column(c).to_numpy() for c in ("block", "half", "node", "component", "n"))
         across = t.column("across").to_numpy(zero_copy_only=False)
         sketch = t.column("sketch").to_pylist()
         width = np.fromiter(map(len, sketch), np.int64, len(sketch))
-        wide = {}  # matrices of sketches of one width, those of twice the width folded
+        wide = {}  # matrices of sketches of one width, wider ones that sizes allow to be linked folded to it
         for level in np.unique(width):
             place, parts = np.full(len(width), -1), []
-            for own in (level, 2 * level):
+            for own in np.unique(width[(width >= level) & (width <= widest * level)]):
                 at = np.nonzero(width == own)[0]
-                if len(at):
-                    place[at] = np.arange(len(at)) + sum(map(len, parts))
-                    raw = np.frombuffer(b"".join([sketch[i] for i in at]), np.uint64).reshape(len(at), -1)
-                    parts.append(raw if own == level else raw[:, : raw.shape[1] // 2] ^ raw[:, raw.shape[1] // 2 :])
+                place[at] = np.arange(len(at)) + sum(map(len, parts))
+                raw = np.frombuffer(b"".join([sketch[i] for i in at]), np.uint64).reshape(len(at), -1)
+                while 8 * raw.shape[1] > level:
+                    raw = raw[:, : raw.shape[1] // 2] ^ raw[:, raw.shape[1] // 2 :]
+                parts.append(raw)
             wide[int(level)] = place, np.concatenate(parts)
         found, offset, live = [], 1, np.arange(len(block))
         while True:
@@ -304,8 +306,8 @@ def _block_pairs(rows: DataFrame, p: int, q: int, unlinked, exhaustive: bool) ->
                 break
             i, j = live, live + offset
             small, big = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-            low, high = np.minimum(width[i], width[j]), np.maximum(width[i], width[j])
-            ok = (comp[i] != comp[j]) & (small * q >= big * p) & (~across[i] | (half[i] != half[j])) & (high <= 2 * low)
+            low = np.minimum(width[i], width[j])
+            ok = (comp[i] != comp[j]) & (small * q >= big * p) & (~across[i] | (half[i] != half[j]))
             i, j, low = i[ok], j[ok], low[ok]
             for level in np.unique(low):
                 place, matrix = wide[int(level)]
@@ -369,14 +371,10 @@ def _refused_keys(refused: DataFrame) -> np.ndarray:
     return np.sort(_pair_key(t.column("a").to_numpy(), t.column("b").to_numpy())) if t.num_rows else np.empty(0, np.uint64)
 
 
-def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of docs (doc_id, text) under links J >= p/q of k-word shingles.
-
-    component_id is the least doc_id that links reach. Documents without words (null and empty texts too) are linked
-    with nothing: their component is their own id. Rows of equal sets, repeated rows among them, are linked. Null ids
-    take part; the least id that is not null names the component. An empty table gives an empty one.
+def _components(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_key, n_shingles, component) of docs, and names (component, first, rows) of the components of
+    several rows; first: the row (no_id, doc_id, text_key) of least id, rows without id last.
     """
-    docs = docs.select("doc_id", "text")
     feats = materialize(features(docs, k, p, q), "parity-features")
     members = materialize(buckets(feats), "parity-buckets")
     nodes = members.select("node").distinct()
@@ -406,20 +404,40 @@ def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> Data
             labels = materialize(components(edges, "a", "b"), "parity-labels")
         if exhaustive:
             break
-    rows = feats.select("doc_id", F.col("n").alias("n_shingles"), "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
-    out = rows.join(sized(materialize(names, "parity-names")), "component", "left")
+    rows = feats.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("node")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first")
+    names = rows.filter("component is not null").groupBy("component").agg(first, F.count("*").alias("rows")).filter("rows > 1")
+    return rows, materialize(names, "parity-names")
+
+
+def jaccard_join(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of docs (doc_id, text) under links J >= p/q of k-word shingles.
+
+    component_id is the least doc_id that links reach. Documents without words (null and empty texts too) are linked
+    with nothing: their component is their own id. Rows of equal sets, repeated rows among them, are linked. Null ids
+    take part; the least id that is not null names the component. An empty table gives an empty one.
+    """
+    rows, names = _components(docs.select("doc_id", "text"), k, p, q)
+    out = rows.join(sized(names.select("component", "first.doc_id").withColumnRenamed("doc_id", "component_id")), "component", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def dedup_near(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> DataFrame:
-    """docs with one document of each component, the one of least doc_id; rows without doc_id stay."""
-    kept = jaccard_join(docs, k, p, q).filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    kept = materialize(kept, "parity-kept")
-    mine = docs.join(sized(kept.withColumnRenamed("doc_id", "_kept")), F.col("doc_id") == F.col("_kept"))
-    single = mine.filter("_rows = 1").select(*docs.columns)
-    repeated = mine.filter("_rows > 1").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return single.unionByName(repeated).unionByName(docs.filter("doc_id is null"))
+    """docs with one row of each component, that of least doc_id (of several such the least hash of the text).
+
+    Rows are told apart by id and text: an id with several texts takes part with each of them. Rows without words stay,
+    all of them. A row that is repeated whole stays once. Rows without doc_id take part; one of them stays only where the
+    component has no id at all. An empty table gives an empty one; all columns stay as they are.
+    """
+    rows, names = _components(docs.select("doc_id", "text"), k, p, q)
+    own = rows.join(sized(names.select("component", F.col("first.doc_id").alias("_first"), F.col("first.text_key").alias("_first_key"))), "component")
+    stays = F.col("doc_id").eqNullSafe(F.col("_first")) & (F.col("text_key") == F.col("_first_key"))
+    known = own.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.max(stays).alias("_stays"), F.count("*").alias("_rows"))
+    known = materialize(known.filter("not _stays or _rows > 1"), "parity-copies")
+    marked = docs.join(sized(known), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
+    single = marked.filter("_key is null").select(*docs.columns)
+    repeated = marked.filter("_key is not null and _stays").dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    return single.unionByName(repeated)
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

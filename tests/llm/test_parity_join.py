@@ -85,4 +85,21 @@ def test_edges(spark, edge_docs, no_docs):
     kept = pj.dedup_near(edge_docs)
     assert kept.columns == edge_docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 6, 7] and ids.count(None) == 2
+    assert sorted(i for i in ids if i is not None) == [1, 1, 2, 3, 4, 5, 6, 7] and ids.count(None) == 2
+
+
+def test_rows_are_told_apart_by_id_and_text(spark, words):
+    a, b, c = (" ".join(f"{w}{t}{i}" for i, w in enumerate(words)) for t in "abc")
+    rows = [(1, a), (1, b), (2, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, pj.dedup_near(docs).collect())) == sorted(rows)
+    more = spark.createDataFrame([(3, c + " one more"), (1, c), (1, c), (2, c), (4, b)], "doc_id long, text string")
+    assert sorted(map(tuple, pj.dedup_near(docs.union(more)).collect())) == sorted([(1, a), (1, b), (1, c)])
+
+
+def test_widths_far_apart_are_compared(spark):
+    """At one half, sets of 188 and 376 shingles are linked; their sketches have widths 4 to 1."""
+    many = [f"w{i}" for i in range(376)]
+    docs = [(1, " ".join(many)), (2, " ".join(many[:188])), (3, " ".join(many[:200])), (4, " ".join(many[:187]))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in pj.jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), 1, 50, 100).collect()}
+    assert got == brute(docs, 1, 50, 100)
