@@ -102,9 +102,19 @@ def _with_host(url: Column, build) -> Column:
     return _let(split(url), lambda p: F.when(host_of(p).isNotNull() & (p["scheme"] != ""), build(p)))
 
 
+def clean_of(p: Column) -> Column:
+    """clean() of split()."""
+    return F.when(host_of(p).isNotNull() & (p["scheme"] != ""), unsplit(p["scheme"], netloc_of(p), normalize(p["path"]), p["params"], normalize(p["query"])))
+
+
 def clean(url: Column) -> Column:
     """The clean URL: path and query normalized, fragment dropped, params as they are."""
-    return _with_host(url, lambda p: unsplit(p["scheme"], netloc_of(p), normalize(p["path"]), p["params"], normalize(p["query"])))
+    return _let(split(url), clean_of)
+
+
+def host_and_clean(url: Column) -> Column:
+    """Struct of host and clean, from one split."""
+    return _let(split(url), lambda p: F.struct(host_of(p).alias("host"), clean_of(p).alias("clean")))
 
 
 def clean_redirect(url: Column) -> Column:

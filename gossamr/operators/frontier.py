@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from gossamr.functions import urls
 from gossamr.operators import tables
-from gossamr.session import sized
+from gossamr.session import materialize, sized
 from gossamr.sources.options import Options
 
 
@@ -24,9 +24,12 @@ def whitelist(tops: DataFrame, match_domain: bool = False, host_inst: DataFrame
 
 def check_hosts(links: DataFrame, tops: DataFrame, match_domain: bool = False, link: str = "link") -> DataFrame:
     """links with host and host_id; null where there is no host, or none that is allowed."""
-    hosts = links.withColumn("host", urls.host(F.col(link))).withColumn("_canonical", urls.canonical_host(F.col("host"), match_domain))
+    return _known_hosts(links.withColumn("host", urls.host(F.col(link))), tops, match_domain)
+
+
+def _known_hosts(links: DataFrame, tops: DataFrame, match_domain: bool) -> DataFrame:
     known = whitelist(tops, match_domain).withColumnRenamed("canonical", "_canonical")
-    return hosts.join(sized(known), "_canonical", "left").drop("_canonical")
+    return links.withColumn("_canonical", urls.canonical_host(F.col("host"), match_domain)).join(sized(known), "_canonical", "left").drop("_canonical")
 
 
 def skip_reason(url: Column, options: Options = Options()) -> Column:
@@ -46,7 +49,8 @@ def scheme_allowed(url: Column, protocols: tuple[str, ...]) -> Column:
 
 def classify(links: DataFrame, tops: DataFrame, options: Options = Options()) -> DataFrame:
     """links (link and others) with host, host_id, clean_url, skip_reason."""
-    out = check_hosts(links, tops, options.match_domain).withColumn("clean_url", urls.clean(F.col("link")))
+    parsed = links.withColumn("_parsed", urls.host_and_clean(F.col("link"))).select(*links.columns, F.col("_parsed.host").alias("host"), F.col("_parsed.clean").alias("clean_url"))
+    out = _known_hosts(parsed, tops, options.match_domain).select(*links.columns, "host", "host_id", "clean_url")
     return out.withColumn("skip_reason", skip_reason(F.col("clean_url"), options))
 
 
@@ -80,9 +84,10 @@ def novelty(admitted: DataFrame, seq: tuple[str, ...] = ("page_id", "pos")) -> D
     """admitted with priority: 1 and, for each proper prefix of i segments, i times the earlier URLs that share it; times 100 with a query.
 
     Prefixes are keyed by their hash and length, which keeps the shuffled rows small. A prefix that many URLs share
-    (all of one host) is ranked in two steps: within chunks of pages, then by the sum of earlier chunks.
+    (all of one host) is ranked in two steps: within chunks of pages, then by the sum of earlier chunks. The admitted
+    rows are used three times, so they are written once.
     """
-    rows = admitted.withColumn("_segs", urls.segments(F.col("url")))
+    rows = materialize(admitted.withColumn("_segs", urls.segments(F.col("url"))), "novelty")
     prefixes = rows.filter(F.size("_segs") > 1).select("url", *seq, F.explode(F.sequence(F.lit(1), F.size("_segs") - 1)).alias("_i"), "_segs")
     prefixes = prefixes.select("url", *seq, "_i", F.xxhash64(F.slice("_segs", F.lit(1), F.col("_i"))).alias("_prefix"))
     chunk = F.floor(F.col(seq[0]) / 4096)
@@ -101,16 +106,24 @@ def breadth(admitted: DataFrame, round_number: int) -> DataFrame:
     return admitted.withColumn("priority", F.lit(round_number).cast("long"))
 
 
-def holds(responses: DataFrame, now: int, default: int | None = None) -> DataFrame:
+def holds(responses: DataFrame, now: int | Column, default: int | None = None, held: DataFrame | None = None) -> DataFrame:
     """(host_id, until) from responses (host_id, code, retry_after text): until is the latest second a host is held.
 
-    Only responses other than 200 count, with a retry_after of up to three digits, or 429 and the default.
+    Only responses other than 200 count, with a retry_after of up to three digits, or 429 and the default. now: second
+    of all responses, or a column with that of each. held: holds already there, of which the later counts.
     """
     seconds = F.when(F.col("retry_after").rlike("^[0-9]{1,3}$"), F.col("retry_after").try_cast("int"))
     if default is not None:
         seconds = F.when(F.col("retry_after").isNull() & (F.col("code") == 429), default).otherwise(seconds)
     rows = responses.filter("code <> 200 and host_id is not null").withColumn("_s", seconds).filter("_s is not null")
-    return rows.groupBy("host_id").agg((F.max("_s") + now).cast("long").alias("until"))
+    rows = rows.select("host_id", (F.col("_s") + now).cast("long").alias("until"))
+    rows = rows if held is None else rows.unionByName(held.select("host_id", F.col("until").cast("long").alias("until")))
+    return rows.groupBy("host_id").agg(F.max("until").alias("until"))
+
+
+def next_wait(held: DataFrame, now: int) -> DataFrame:
+    """(wait): seconds until the first hold that is not over ends, at least 1; null without a hold."""
+    return held.filter(F.col("until") >= now).agg(F.greatest(F.min("until") - now, F.lit(1)).alias("_w"), F.count("*").alias("_n")).select(F.when(F.col("_n") > 0, F.col("_w")).cast("long").alias("wait"))
 
 
 def available(queue: DataFrame, held: DataFrame, now: int) -> DataFrame:
@@ -139,13 +152,20 @@ def parse_pop(queue: DataFrame, n: int, locality: DataFrame | None = None, insta
     return taken, queue.join(taken, "url_id", "left_anti")
 
 
-def healthcheck(field: DataFrame, errors: DataFrame, tail: int = 100, threshold: int = 80) -> DataFrame:
-    """(err_count, failed): errors among the URLs fetched last. tail or threshold of 0 or less: never failed."""
+def healthcheck(field: DataFrame, errors: DataFrame, tail: int = 100, threshold: int = 80, locality: DataFrame | None = None, instance_id: int | None = None) -> DataFrame:
+    """(err_count, failed): errors among the URLs fetched last, by the instance if one is given. tail or threshold of 0 or less: never failed."""
+    if instance_id is not None and locality is not None:
+        field = field.join(locality.filter(F.col("instance_id") == instance_id).select(F.col("url_id").alias("id")), "id", "left_semi")
     last = field.filter("checkd is not null").orderBy(F.desc("checkd"), F.desc("id")).limit(max(tail, 0))
     n = last.join(errors.select(F.col("url_id").alias("id")).distinct(), "id", "left_semi").agg(F.count("*").alias("err_count"))
     return n.withColumn("failed", (F.col("err_count") >= threshold) & F.lit(tail > 0 and threshold > 0))
 
 
+def healthcheck_due(done: int, tail: int = 100, interval: int = 100) -> bool:
+    """Whether a healthcheck follows the done-th fetch: at every interval, once the tail is full. interval 0: never."""
+    return interval > 0 and done >= tail and done % interval == 0
+
+
 def mirror_healthcheck(results: DataFrame, threshold: int) -> DataFrame:
     """(done, errors, failed) of transfers (ok): failed if the percentage of errors reaches the threshold."""
     counted = results.agg(F.count("*").alias("done"), F.count_if(~F.col("ok")).alias("errors"))
@@ -159,6 +179,31 @@ def seed_hosts(seeds: DataFrame, protocols: tuple[str, ...] = ("http",)) -> Data
     return seeds.select(F.when(is_url, urls.host(F.col("seed"))).otherwise(F.lower("seed")).alias("hostname"), F.explode(made).alias("url")).distinct()
 
 
+def seed(seeds: DataFrame, state: dict[str, DataFrame], protocols: tuple[str, ...] = ("http",), instance: str | None = None, match_domain: bool = False) -> dict[str, DataFrame]:
+    """The state after seeding: new hosts in tops, new URLs in field and as nodes of depth 0, all unfetched URLs of known
+    hosts in download_queue. With an instance, by its name, it is created if need be, and host_inst has all seeded hosts.
+
+    Ids go on from the largest ones, in order of host names and URLs.
+    """
+    out, found = dict(state), materialize(seed_hosts(seeds, protocols), "seeds")
+    hosts = found.select(urls.canonical_host(F.col("hostname"), match_domain).alias("hostname")).filter("hostname is not null").distinct()
+    new_hosts = tables.numbered(hosts.join(state["tops"].select("hostname"), "hostname", "left_anti"), tables.last_id(state["tops"]) + 1, "hostname")
+    out["tops"] = state["tops"].unionByName(new_hosts.select("id", "hostname"))
+    if instance:
+        instances = state["instances"]
+        if instances.filter(F.col("instance_name") == instance).isEmpty():
+            one = instances.sparkSession.createDataFrame([(tables.last_id(instances) + 1, instance)], "id long, instance_name string")
+            instances = out["instances"] = instances.unionByName(one)
+        mine = out["tops"].join(hosts, "hostname").select(F.col("id").alias("host_id"), F.lit(tables.instance_id(instances, instance)).cast("long").alias("instance_id"))
+        out["host_inst"] = tables.insert_new(state["host_inst"], mine, "host_id", "instance_id")
+    fresh = found.select("url").filter("url is not null").distinct().join(state["field"].select("url"), "url", "left_anti")
+    fresh = tables.numbered(fresh, tables.last_id(state["field"]) + 1, "url")
+    out["field"] = state["field"].unionByName(fresh.select("id", "url"), allowMissingColumns=True)
+    out["nodes"] = state["nodes"].unionByName(fresh.select(F.col("id").alias("url_id"), F.lit(0).alias("depth")), allowMissingColumns=True)
+    out["download_queue"] = seed_queue(out["field"], out["tops"], state["download_queue"], match_domain)
+    return out
+
+
 def seed_queue(field: DataFrame, tops: DataFrame, queue: DataFrame, match_domain: bool = False) -> DataFrame:
     """queue with all unfetched URLs of known hosts, at priority 0."""
     todo = check_hosts(field.filter("checkd is null"), tops, match_domain, "url").filter("host_id is not null")
@@ -178,6 +223,16 @@ def retry(field: DataFrame, errors: DataFrame, locality: DataFrame, content: Dat
     return again, tables.without(locality, "url_id", failed, "url_id"), tables.without(content, "url_id", failed, "url_id")
 
 
+def retry_all(state: dict[str, DataFrame], match_domain: bool = False) -> dict[str, DataFrame]:
+    """The state with failed URLs unfetched and in download_queue again, no errors, and parse_queue filled anew."""
+    out = dict(state)
+    out["field"], out["locality"], out["content"] = retry(state["field"], state["download_error"], state["locality"], state["content"])
+    out["download_error"] = state["download_error"].limit(0)
+    out["parse_queue"] = kick(out["field"], state["parse_queue"])
+    out["download_queue"] = seed_queue(out["field"], state["tops"], state["download_queue"], match_domain)
+    return out
+
+
 def register_redirects(field: DataFrame, redirects: DataFrame) -> tuple[DataFrame, DataFrame]:
     """redirects (from_id, url) with known (whether field has the clean target) and target; and new targets (url) for field."""
     cleaned = redirects.withColumn("target", urls.clean_redirect(F.col("url"))).filter("target is not null")
@@ -186,6 +241,15 @@ def register_redirects(field: DataFrame, redirects: DataFrame) -> tuple[DataFram
     return out, out.filter("not known").select(F.col("target").alias("url")).distinct()
 
 
+def follow_redirects(field: DataFrame, redirects: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of redirects (from_id, url): (from_id, target, to_id, known), field with the new targets, and redirect with the pairs."""
+    out, targets = register_redirects(field, redirects)
+    new = tables.numbered(targets, tables.last_id(field) + 1, "url")
+    named = out.join(new.select(F.col("url").alias("target"), F.col("id").alias("_new")), "target", "left").withColumn("to_id", F.coalesce("to_id", "_new"))
+    resolved = materialize(named.select("from_id", "target", "to_id", "known"), "redirects")
+    return resolved, field.unionByName(new.select("id", "url"), allowMissingColumns=True), tables.insert_new(pairs, resolved.select("from_id", "to_id"), "from_id", "to_id")
+
+
 def finish_pages(finished: DataFrame, field: DataFrame, parse_queue: DataFrame, locality: DataFrame, now, instance_id: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """field, parse_queue and locality after fetches (url_id, eff_id, has_body): both ids are checked, the effective one is
     queued if a body was kept; with an instance, the source's locality is set and the effective one's only if it had none.

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gossamr.functions import urls
 from gossamr.operators.components import components
@@ -114,7 +113,13 @@ def neighbors(links: DataFrame, tops: DataFrame, options: Options = Options()) -
     return cleaned.filter(F.col("url").isNotNull() & urls.scheme(F.col("url")).isin(*options.trace_protocols)).distinct()
 
 
-def top_paths(traced: DataFrame, n: int) -> DataFrame:
-    """The n nodes of least id for each target and depth: a report."""
-    w = Window.partitionBy("target", "depth").orderBy("url_id")
-    return traced.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= n)
+def trace_report(traced: DataFrame, field: DataFrame) -> DataFrame:
+    """(target, depth, url) of trace(), in the order of a report: by target and depth, then URL."""
+    return traced.join(field.select(F.col("id").alias("url_id"), "url"), "url_id").select("target", "depth", "url").orderBy("target", "depth", "url")
+
+
+def class_report(classes: DataFrame, field: DataFrame) -> DataFrame:
+    """(size, component, id, line) of redirect_classes(), largest classes first; line: the URL, marked ! if it has a body."""
+    named = classes.join(field.select("id", "url"), "id")
+    line = F.when(F.col("has_body"), F.concat(F.lit("!"), F.col("url"))).otherwise(F.col("url"))
+    return named.select("size", "component", "id", line.alias("line")).orderBy(F.desc("size"), "component", "id")

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gossamr.operators import tables
 from gossamr.sources import headers as headers_
-from gossamr.session import ship
+from gossamr.session import materialize, ship
 from gossamr.sources.options import Options
 
 
@@ -62,10 +61,10 @@ def pack(pages: DataFrame, threshold: int, first_volume: int = 1, block: int = 1
     """(url_id, volume_id) of pages (url_id, siz) in order of id: a volume is closed by the page that takes it over the threshold.
 
     Sequential by nature: where a volume ends depends on all pages before it. Pages are cut into blocks of ids. What
-    follows from one block to the next (bytes still open, volumes closed) is two numbers, found by one fold per block;
-    then all blocks are packed in parallel.
+    follows from one block to the next (bytes still open, volumes closed) is two numbers, found by one fold per block, that
+    reads the block's own files alone; then all blocks are packed in parallel.
     """
-    sizes = pages.select("url_id", F.coalesce("siz", F.lit(0)).cast("long").alias("siz"), F.floor(F.col("url_id") / block).alias("_block"))
+    sizes = materialize(pages.select("url_id", F.coalesce("siz", F.lit(0)).cast("long").alias("siz"), F.floor(F.col("url_id") / block).alias("_block")), "pack", "_block")
 
     def step(acc: Column, x: Column) -> Column:
         over = acc["open"] + x["siz"] > threshold
@@ -96,6 +95,13 @@ def close_volumes(content: DataFrame, pages: DataFrame, threshold: int) -> DataF
     return content.join(pages.select("url_id", "siz"), "url_id").groupBy("volume_id").agg(F.count("*").alias("pages"), F.sum("siz").alias("bytes")).withColumn("written", F.col("bytes") > threshold)
 
 
+def finish_volumes(content: DataFrame, locality: DataFrame, closed: DataFrame, schema: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """locality without the pages of volumes just written (volume_id), and (path) of their loose files, that may go."""
+    packed = content.join(closed.select("volume_id").distinct(), "volume_id", "left_semi").select("url_id")
+    files = packed.select(F.explode(F.array(*[loose_path(F.col("url_id"), kind, schema) for kind in ("", "h")])).alias("path"))
+    return tables.without(locality, "url_id", packed, "url_id"), files
+
+
 def unpack(directory: DataFrame, content: DataFrame, volume_loc: DataFrame, locality: DataFrame, instance_id: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The four tables after written volumes (of the instance, if given) became loose pages again."""
     written = directory.filter("written is not null").select(F.col("id").alias("volume_id"))
@@ -137,11 +143,12 @@ def deletable(owned: DataFrame, content: DataFrame) -> DataFrame:
 
 
 def sync_candidates(directory: DataFrame, volume_loc: DataFrame, field: DataFrame, errors: DataFrame, locality: DataFrame, remote: int | None, in_flight: DataFrame | None = None) -> DataFrame:
-    """(kind, id, steps): written volumes at the remote instance, then its loose pages without error, less those in flight."""
+    """(kind, id, steps): written volumes at the remote instance, then its loose pages without error, less those in flight (kind, id); both by id."""
     volumes = volume_ownership(directory, volume_loc, remote).filter("is_local").select(F.lit("volume").alias("kind"), "id", F.lit("body,ownership,delete").alias("steps"))
     pages = ownership(field, errors, locality, remote).filter("is_local").select(F.lit("page").alias("kind"), "id", F.lit("headers,body,ownership,delete").alias("steps"))
     both = volumes.unionByName(pages)
-    return both if in_flight is None else both.join(in_flight, ["kind", "id"], "left_anti")
+    both = both if in_flight is None else both.join(in_flight, ["kind", "id"], "left_anti")
+    return both.orderBy(F.desc("kind"), "id")
 
 
 def connections(candidates: DataFrame, queued: int = 0) -> DataFrame:
@@ -149,17 +156,20 @@ def connections(candidates: DataFrame, queued: int = 0) -> DataFrame:
     return candidates.agg((F.lit(queued) + F.coalesce(F.sum(F.when(F.col("kind") == "volume", 2).otherwise(3)), F.lit(0))).alias("wanted"))
 
 
-def dump(requested: DataFrame, field: DataFrame, errors: DataFrame, bodies: DataFrame, content: DataFrame | None = None, directory: DataFrame | None = None) -> DataFrame:
-    """(url, id, volume_id, status, body) of requested URLs: unknown, not downloaded, failed, no body, or ok."""
+def dump(requested: DataFrame, field: DataFrame, errors: DataFrame, bodies: DataFrame, content: DataFrame | None = None, directory: DataFrame | None = None, part: str = "body") -> DataFrame:
+    """(url, id, volume_id, status, body) of requested URLs: unknown, not downloaded, failed, no body, or ok.
+
+    part: the column of bodies (url_id, body, headers) that is dumped, body or headers; without it the status names it.
+    """
     rows = requested.join(field.select("url", "id", "checkd"), "url", "left")
     rows = rows.join(errors.select(F.col("url_id").alias("id"), F.lit(True).alias("_failed")).dropDuplicates(["id"]), "id", "left")
-    rows = rows.join(bodies.select(F.col("url_id").alias("id"), "body"), "id", "left")
+    rows = rows.join(bodies.select(F.col("url_id").alias("id"), F.col(part).alias("_part")), "id", "left")
     if content is not None and directory is not None:
         rows = rows.join(volume_of(content, directory).withColumnRenamed("url_id", "id"), "id", "left")
     else:
         rows = rows.withColumn("volume_id", F.lit(None).cast("long"))
-    status = F.when(F.col("id").isNull(), "unknown").when(F.col("checkd").isNull(), "not downloaded").when(F.col("_failed"), "failed").when(F.col("body").isNull(), "no body").otherwise("ok")
-    return rows.select("url", "id", "volume_id", status.alias("status"), "body")
+    status = F.when(F.col("id").isNull(), "unknown").when(F.col("checkd").isNull(), "not downloaded").when(F.col("_failed"), "failed").when(F.col("_part").isNull(), f"no {part}").otherwise("ok")
+    return rows.select("url", "id", "volume_id", status.alias("status"), F.col("_part").alias(part))
 
 
 #: Columns by which tables refer to URLs.
@@ -190,8 +200,3 @@ def purge_edge_sets(edge_sets: DataFrame, ids: DataFrame) -> DataFrame:
     keep = lambda side: rows.select("_row", F.explode(side).alias("_id")).join(gone, "_id", "left_anti").groupBy("_row").agg(F.array_sort(F.collect_set("_id")).alias(side))
     left = keep("from_set").join(keep("to_set"), "_row")
     return left.groupBy("to_set").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("from_set")))).alias("from_set")).select("from_set", "to_set")
-
-
-def owners_in_order(locality: DataFrame) -> DataFrame:
-    """(instance_id, url_id, place): pages of each instance in order of id."""
-    return locality.withColumn("place", F.row_number().over(Window.partitionBy("instance_id").orderBy("url_id")))

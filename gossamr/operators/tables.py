@@ -1,4 +1,4 @@
-"""Changes of keyed tables as pure functions: upserts, deletes with their rows, splits of queues."""
+"""Changes of keyed tables as pure functions: new ids, upserts, deletes with their rows, splits of queues."""
 
 from __future__ import annotations
 
@@ -6,6 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gossamr.session import materialize
+
+
+def last_id(table: DataFrame) -> int:
+    """The largest id of a table, 0 if it is empty."""
+    return table.agg(F.max("id")).first()[0] or 0
+
+
+def numbered(rows: DataFrame, first: int, *order: str) -> DataFrame:
+    """rows with id: first, first + 1 and so on in the given order, that must be a key.
+
+    Ranges of rows are numbered in parallel; what meets in one place is a count for each range.
+    """
+    ranged = materialize(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "numbered")
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)).cast("long")
+    return ranged.join(F.broadcast(before.drop("_n")), "_range").withColumn("id", F.lit(first - 1).cast("long") + place + F.col("_before")).drop("_range", "_before")
+
+
+def instance_id(instances: DataFrame, name: str | None) -> int | None:
+    """The id of an instance by its name; None without a name, an error for an unknown one."""
+    if not name:
+        return None
+    row = instances.filter(F.col("instance_name") == name).select("id").first()
+    if row is None:
+        raise LookupError(f"no instance is called {name}")
+    return row.id
+
 
 def insert_new(table: DataFrame, rows: DataFrame, *key: str) -> DataFrame:
     """table with those rows whose key it does not hold yet; of rows with equal keys one is taken."""

@@ -225,6 +225,24 @@ def breadth_priority(spark, d):
     return frontier.breadth(frontier.admit(_arrivals(spark, d), _no_field(spark), ["ref=x"])[0], 7).select("url", "priority")
 
 
+KNOWN = f"{ADMIT}, kn AS (SELECT {_clean('url')} AS url FROM pages WHERE contains(url, 'https')), a2 AS (SELECT u, s, seq, row_number() OVER (PARTITION BY s ORDER BY seq) = 1 AND s NOT IN (SELECT url FROM kn) AS enq FROM sm WHERE u NOT IN (SELECT url FROM kn))"
+
+
+def _some_field(spark, d):
+    return fx.table(spark, d, "pages").filter(F.contains("url", F.lit("https"))).select(urls.clean(F.col("url")).alias("url"))
+
+
+@query(f"WITH {KNOWN} SELECT u AS url, seq // 100000 AS page_id, CAST(seq % 100000 AS INTEGER) AS pos FROM a2 WHERE enq")
+def admission_known(spark, d):
+    """Admission where field holds some of the URLs, and some of the simplified forms."""
+    return frontier.admit(_arrivals(spark, d), _some_field(spark, d), ["ref=x"])[0].select("url", "page_id", "pos")
+
+
+@query(f"WITH {KNOWN} SELECT u AS url, NOT enq AS checked, false AS is_phantom FROM a2 UNION ALL SELECT DISTINCT s, true, true FROM a2 WHERE s <> u AND s NOT IN (SELECT u FROM a2) AND s NOT IN (SELECT url FROM kn)")
+def admission_known_field(spark, d):
+    return frontier.admit(_arrivals(spark, d), _some_field(spark, d), ["ref=x"])[1]
+
+
 @query(f"WITH {HOLDS} SELECT host_id, until FROM ho")
 def host_holds(spark, d):
     return frontier.holds(fx.responses(spark, d), NOW, 30)
@@ -235,6 +253,17 @@ def _held(spark, d):
     return frontier.holds(fx.responses(spark, d).filter("host_id > 5"), NOW, 30).union(frontier.holds(fx.responses(spark, d).filter("host_id = 1"), NOW - 1000, 30))
 
 
+@query(f"WITH {HOLDS}, old AS (SELECT * FROM ho WHERE host_id > 5 UNION ALL SELECT host_id, until - 1000 FROM ho WHERE host_id = 1) SELECT host_id, CAST(max(until) AS BIGINT) AS until FROM (SELECT * FROM old UNION ALL SELECT host_id, CAST(CASE WHEN ra IS NOT NULL THEN CAST(ra AS INTEGER) ELSE 30 END + {NOW} + event_id % 50 AS BIGINT) FROM rs WHERE code <> 200 AND (ra IS NOT NULL OR code = 429)) GROUP BY 1")
+def hold_merge(spark, d):
+    """Responses that come one after the other meet holds already there."""
+    return frontier.holds(fx.responses(spark, d), F.lit(NOW) + F.col("event_id") % 50, 30, _held(spark, d))
+
+
+@query(f"WITH {HOLDS} SELECT CAST(greatest(min(until) - {NOW + 50}, 1) AS BIGINT) AS wait FROM ho WHERE host_id > 5 AND until >= {NOW + 50}")
+def hold_wait(spark, d):
+    return frontier.next_wait(_held(spark, d), NOW + 50)
+
+
 HELD = f"{HOLDS}, held AS (SELECT host_id FROM ho WHERE host_id > 5 AND until >= {NOW + 50})"
 
 
@@ -262,6 +291,12 @@ def healthcheck_tail(spark, d):
     return frontier.healthcheck(field, events.filter("event_type = 'error'").select(F.col("event_id").alias("url_id")), 100, 15)
 
 
+@query(f"WITH {ORDERS}, t AS (SELECT id FROM fld JOIN loc USING (id) WHERE checkd AND inst = 2 ORDER BY id DESC LIMIT 100) SELECT count(*) AS err_count, count(*) >= 15 AS failed FROM t WHERE id IN (SELECT id FROM err)")
+def healthcheck_instance(spark, d):
+    s = fx.order_state(spark, d)
+    return frontier.healthcheck(s["field"], s["download_error"], 100, 15, s["locality"], 2)
+
+
 @query("SELECT count(*) AS done, count(*) FILTER (WHERE event_type = 'error') AS errors, 100 * count(*) FILTER (WHERE event_type = 'error') >= 10 * count(*) AS failed FROM events")
 def mirror_healthcheck(spark, d):
     return frontier.mirror_healthcheck(fx.table(spark, d, "events").select((F.col("event_type") != "error").alias("ok")), 10)
@@ -273,6 +308,30 @@ def seed_hosts(spark, d):
     return frontier.seed_hosts(pages.select(F.col("url").alias("seed")).union(pages.select(urls.host(F.col("url")))), ("http", "https"))
 
 
+SEEDED = f"""{CLEAN}, {FIELD}, {TOPS}, {ALLOWED}, fh AS (SELECT * FROM field WHERE contains(url, 'https')), hosts AS (SELECT DISTINCT {_host('url')} AS hostname FROM pages),
+nt AS (SELECT hostname, row_number() OVER (ORDER BY hostname) + (SELECT max(id) FROM allowed) AS id FROM hosts WHERE hostname NOT IN (SELECT hostname FROM allowed)),
+nu AS (SELECT {_clean('url')} AS url FROM pages UNION SELECT 'http://' || hostname FROM hosts),
+nf AS (SELECT url, row_number() OVER (ORDER BY url) + (SELECT max(id) FROM fh) AS id FROM nu WHERE url NOT IN (SELECT url FROM fh)),
+al AS (SELECT hostname, id FROM allowed UNION ALL SELECT hostname, id FROM nt)"""
+
+
+@query(f"WITH {SEEDED} SELECT 'tops' AS part, CAST(id AS BIGINT) AS id, hostname AS name FROM nt UNION ALL SELECT 'field', id, url FROM nf UNION ALL SELECT 'nodes', id, '0' FROM nf UNION ALL SELECT 'host_inst', id, '4' FROM al WHERE hostname IN (SELECT hostname FROM hosts) UNION ALL SELECT 'download_queue', f.id, CAST(al.id AS VARCHAR) FROM (SELECT id, url FROM fh WHERE checkd IS NULL UNION ALL SELECT id, url FROM nf) f JOIN al ON {_host('f.url')} = hostname")
+def seed_state(spark, d):
+    """New rows of all tables after seeding every page's URL and host for a new instance."""
+    pages = fx.table(spark, d, "pages")
+    empty = lambda schema: spark.createDataFrame([], schema)
+    state = {
+        "tops": fx.tops(spark, d, True).select("id", "hostname"), "field": fx.field(spark, d).filter(F.contains("url", F.lit("https"))), "nodes": empty("url_id long, depth int"),
+        "instances": spark.createDataFrame([(3, "other")], "id long, instance_name string"), "host_inst": empty("host_id long, instance_id long"), "download_queue": empty("url_id long, priority long, host_id long"),
+    }
+    out = frontier.seed(pages.select(F.col("url").alias("seed")).union(pages.select(urls.host(F.col("url")))), state, ("http",), "mine")
+    rows = [
+        out["tops"].join(state["tops"].select("id"), "id", "left_anti").select(F.lit("tops").alias("part"), "id", F.col("hostname").alias("name")), out["field"].join(state["field"].select("id"), "id", "left_anti").select(F.lit("field"), "id", "url"),
+        out["nodes"].select(F.lit("nodes"), "url_id", F.col("depth").cast("string")), out["host_inst"].select(F.lit("host_inst"), "host_id", F.col("instance_id").cast("string")), out["download_queue"].select(F.lit("download_queue"), "url_id", F.col("host_id").cast("string")),
+    ]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3]).union(rows[4])
+
+
 @query(f"WITH {CLEAN}, {FIELD}, {TOPS}, {ALLOWED} SELECT f.id AS url_id, CAST(0 AS BIGINT) AS priority, a.id AS host_id FROM field f JOIN allowed a ON {_host('f.url')} = hostname WHERE checkd IS NULL")
 def seed_queue(spark, d):
     empty = spark.createDataFrame([], "url_id long, priority long, host_id long")
@@ -293,6 +352,25 @@ def retry_semi(spark, d):
     return count(field.filter("checkd is not null"), "field").union(count(locality, "locality")).union(count(content, "content"))
 
 
+@query(f"WITH {ORDERS}, left_pages AS (SELECT * FROM fld WHERE id NOT IN (SELECT id FROM err)) SELECT 'field' AS part, count(*) FILTER (WHERE checkd) AS n FROM left_pages UNION ALL SELECT 'download_error', 0 UNION ALL SELECT 'parse_queue', (SELECT count(*) FROM (SELECT id FROM left_pages WHERE checkd AND NOT parsed UNION SELECT id FROM pq)) UNION ALL SELECT 'download_queue', count(*) FROM fld WHERE NOT checkd OR id IN (SELECT id FROM err) UNION ALL SELECT 'locality', count(*) FROM loc WHERE id NOT IN (SELECT id FROM err) UNION ALL SELECT 'content', count(*) FROM con WHERE id NOT IN (SELECT id FROM err)")
+def retry_state(spark, d):
+    s = fx.order_state(spark, d) | {"tops": spark.createDataFrame([(1, "shop.example")], "id long, hostname string"), "download_queue": spark.createDataFrame([], "url_id long, priority long, host_id long")}
+    out = frontier.retry_all(s)
+    out["field"] = out["field"].filter("checkd is not null")
+    parts = [out[k].agg(F.count("*").alias("n")).select(F.lit(k).alias("part"), "n") for k in ("field", "download_error", "parse_queue", "download_queue", "locality", "content")]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3]).union(parts[4]).union(parts[5])
+
+
+@query(f"WITH {CLEAN}, {FIELD}, fh AS (SELECT * FROM field WHERE checkd IS NOT NULL AND contains(url, 'https')), rd AS (SELECT page_id AS from_id, regexp_extract(url, '^[^#]*') AS target FROM pages), nw AS (SELECT target, row_number() OVER (ORDER BY target) + (SELECT max(id) FROM fh) AS id FROM (SELECT DISTINCT target FROM rd WHERE target NOT IN (SELECT url FROM fh))) SELECT from_id, rd.target, CAST(coalesce(fh.id, nw.id) AS BIGINT) AS to_id, fh.id IS NOT NULL AS known FROM rd LEFT JOIN fh ON fh.url = rd.target LEFT JOIN nw ON nw.target = rd.target")
+def redirect_pairs(spark, d):
+    """Redirects whose new targets get ids, as field and redirect then hold them."""
+    field = fx.field(spark, d).filter("checkd is not null and contains(url, 'https')")
+    pages = fx.table(spark, d, "pages").select(F.col("page_id").alias("from_id"), "url")
+    found, grown, pairs = frontier.follow_redirects(field, pages, spark.createDataFrame([], "from_id long, to_id long"))
+    named = pairs.join(grown.select(F.col("id").alias("to_id"), F.col("url").alias("target")), "to_id")
+    return named.join(found.select("from_id", "to_id", "known").distinct(), ["from_id", "to_id"]).select("from_id", "target", "to_id", "known")
+
+
 @query(f"WITH {CLEAN}, {FIELD} SELECT p.page_id AS from_id, regexp_extract(p.url, '^[^#]*') AS target, f.id IS NOT NULL AS known FROM pages p LEFT JOIN (SELECT * FROM field WHERE checkd IS NOT NULL AND contains(url, 'https')) f ON f.url = regexp_extract(p.url, '^[^#]*')")
 def redirect_register(spark, d):
     field = fx.field(spark, d).filter("checkd is not null and contains(url, 'https')")
@@ -375,19 +453,35 @@ def trace_path(spark, d):
     return graph.trace(targets, edges, depths).groupBy("target", "depth").agg(F.count("*").alias("n"), F.min("url_id").alias("lo"), F.max("url_id").alias("hi"), F.sum("url_id").alias("total"))
 
 
+@query(f"WITH RECURSIVE {TRACE} SELECT target, depth, 'http://graph.example/' || CASE WHEN url_id BETWEEN {fx.PART} AND {fx.SUPPLIER - 1} THEN 'part' ELSE 'other' END || '/' || url_id AS url FROM tr")
+def trace_urls(spark, d):
+    _, edges, depths, targets = _parts(spark, d)
+    field = depths.select(F.col("url_id").alias("id"), F.concat(F.lit("http://graph.example/"), F.when(F.col("url_id").between(fx.PART, fx.SUPPLIER - 1), "part").otherwise("other"), F.lit("/"), F.col("url_id").cast("string")).alias("url"))
+    return graph.trace_report(graph.trace(targets, edges, depths), field)
+
+
 @query(f"WITH RECURSIVE {TRACE}, sh AS (SELECT url_id, 1.0 / count(*) OVER (PARTITION BY target, depth) AS w FROM tr WHERE depth > 0) SELECT n.url_id, round(coalesce(sum(w), 0.0), 6) AS yield FROM nodes n LEFT JOIN sh USING (url_id) GROUP BY 1")
 def path_yield(spark, d):
     nodes, edges, depths, targets = _parts(spark, d)
     return graph.path_yield(nodes, edges, depths, targets).select("url_id", F.round("yield", 6).alias("yield"))
 
 
-@query("WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS a, 1000000 + l_partkey AS b FROM lineitem WHERE l_quantity >= 49 AND l_discount >= 0.09), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(n, c) AS (SELECT a, a FROM s UNION SELECT s.b, r.c FROM r JOIN s ON s.a = r.n), k AS (SELECT n AS id, min(c) AS component FROM r GROUP BY n) SELECT component, count(*) OVER (PARTITION BY component) AS size, id, id >= 1000000 AS has_body FROM k")
+CLASSES = "WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS a, 1000000 + l_partkey AS b FROM lineitem WHERE l_quantity >= 49 AND l_discount >= 0.09), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(n, c) AS (SELECT a, a FROM s UNION SELECT s.b, r.c FROM r JOIN s ON s.a = r.n), k AS (SELECT n AS id, min(c) AS component FROM r GROUP BY n)"
+
+
+@query(f"{CLASSES} SELECT component, count(*) OVER (PARTITION BY component) AS size, id, id >= 1000000 AS has_body FROM k")
 def redirect_classes(spark, d):
     pairs = fx.redirect(spark, d)
     extra = pairs.select(F.col("to_id").alias("url_id")).distinct().withColumn("has_body", F.lit(True))
     return graph.redirect_classes(pairs, extra)
 
 
+@query(f"{CLASSES} SELECT count(*) OVER (PARTITION BY component) AS size, component, id, CASE WHEN id >= 1000000 THEN '!' ELSE '' END || 'http://graph.example/' || id AS line FROM k")
+def class_report(spark, d):
+    classes = materialize(redirect_classes(spark, d), "classes")
+    return graph.class_report(classes, classes.select("id", F.concat(F.lit("http://graph.example/"), F.col("id").cast("string")).alias("url")))
+
+
 # Parameters.
 
 
@@ -464,6 +558,23 @@ def volume_zip_roundtrip(spark, d):
     return back.select("volume_id", "url_id", "kind", "siz", F.sha1("body").alias("hash"))
 
 
+@query(f"WITH {PACK}, t AS (SELECT CAST(volume_id AS BIGINT) AS volume_id, page_id, sha1(coalesce(html, '')) AS hash, contains(url, 'https') AS gone FROM v JOIN pages USING (page_id)) SELECT volume_id, page_id AS url_id, hash FROM t WHERE NOT gone UNION ALL SELECT volume_id, NULL, NULL FROM t GROUP BY 1 HAVING bool_and(gone)")
+def purge_archives(spark, d):
+    """Members of volumes after a purge, and the volumes that are empty then."""
+    pages = fx.table(spark, d, "pages")
+    placed = materialize(store.pack(_sizes(spark, d), 100_000), "placed")
+    archives = volumes.zip_volumes(placed.join(pages.select(F.col("page_id").alias("url_id"), F.lit("").alias("kind"), F.coalesce("html", F.lit("")).cast("binary").alias("body")), "url_id"))
+    left, empty = volumes.purge_volumes(materialize(archives, "archives"), placed, pages.filter(F.contains("url", F.lit("https"))).select(F.col("page_id").alias("id")))
+    return volumes.members_of(left).select("volume_id", "url_id", F.sha1("body").alias("hash")).union(empty.select("volume_id", F.lit(None).cast("long"), F.lit(None).cast("string")))
+
+
+@query(f"WITH {ORDERS}, w AS (SELECT con.id FROM con JOIN dir ON dir.id = m WHERE written) SELECT 'locality' AS part, CAST(id AS VARCHAR) AS name FROM loc WHERE id NOT IN (SELECT id FROM w) UNION ALL SELECT 'file', 'tmp/' || (id % 1000) || '/' || id || k FROM w, (VALUES (''), ('h')) t(k)")
+def volume_finish(spark, d):
+    s = fx.order_state(spark, d)
+    locality, files = store.finish_volumes(s["content"], s["locality"], s["directory"].filter("written is not null").select(F.col("id").alias("volume_id")))
+    return locality.select(F.lit("locality").alias("part"), F.col("url_id").cast("string").alias("name")).union(files.select(F.lit("file"), "path"))
+
+
 @query(f"WITH {ORDERS}, w AS (SELECT dir.id FROM dir JOIN vloc USING (id) WHERE written AND inst = 2) SELECT 'directory' AS part, count(*) AS n FROM dir WHERE id NOT IN (SELECT id FROM w) UNION ALL SELECT 'content', count(*) FROM con WHERE m NOT IN (SELECT id FROM w) UNION ALL SELECT 'volume_loc', count(*) FROM vloc WHERE id NOT IN (SELECT id FROM w) UNION ALL SELECT 'locality', count(*) FROM (SELECT id FROM loc UNION SELECT id FROM con WHERE m IN (SELECT id FROM w))")
 def uncompress(spark, d):
     s = fx.order_state(spark, d)
@@ -504,17 +615,34 @@ def sync_candidates(spark, d):
     return store.sync_candidates(s["directory"], s["volume_loc"], s["field"], s["download_error"], s["locality"], 2)
 
 
+@query(f"WITH {SYNC}, fl AS (SELECT 'volume' AS kind, 6 AS id UNION ALL SELECT 'page', o_orderkey FROM orders WHERE o_orderpriority = '2-HIGH') SELECT kind, id, CAST(row_number() OVER (ORDER BY kind DESC, id) AS BIGINT) AS place FROM sy WHERE (kind, id) NOT IN (SELECT kind, id FROM fl)")
+def sync_order(spark, d):
+    """The plan in its order, without what is in flight."""
+    s = fx.order_state(spark, d)
+    flying = fx.table(spark, d, "orders").filter("o_orderpriority = '2-HIGH'").select(F.lit("page").alias("kind"), F.col("o_orderkey").alias("id")).union(spark.sql("SELECT 'volume', 6L"))
+    plan = store.sync_candidates(s["directory"], s["volume_loc"], s["field"], s["download_error"], s["locality"], 2, flying)
+    return tables.numbered(plan.withColumn("_second", F.col("kind") == "page").withColumnRenamed("id", "own"), 1, "_second", "own").select("kind", F.col("own").alias("id"), F.col("id").alias("place"))
+
+
 @query(f"WITH {SYNC} SELECT CAST(5 + coalesce(sum(CASE kind WHEN 'volume' THEN 2 ELSE 3 END), 0) AS BIGINT) AS wanted FROM sy")
 def sync_connections(spark, d):
     return store.connections(sync_candidates(spark, d), 5)
 
 
-@query(f"WITH {ORDERS}, rq AS (SELECT id, 'http://shop.example/' || id AS url FROM os UNION ALL SELECT NULL, 'http://shop.example/none') SELECT rq.url, rq.id, CAST(CASE WHEN written THEN con.m END AS BIGINT) AS volume_id, CASE WHEN rq.id IS NULL THEN 'unknown' WHEN NOT checkd THEN 'not downloaded' WHEN rq.id IN (SELECT id FROM err) THEN 'failed' WHEN o_totalprice IS NULL OR o_totalprice < 50000 THEN 'no body' ELSE 'ok' END AS status FROM rq LEFT JOIN fld ON fld.id = rq.id LEFT JOIN os ON os.id = rq.id LEFT JOIN con ON con.id = rq.id LEFT JOIN dir ON dir.id = con.m")
+@query(f"WITH {ORDERS}, rq AS (SELECT id, 'http://shop.example/' || id AS url FROM os UNION ALL SELECT NULL, 'http://shop.example/none') SELECT rq.url, rq.id, CAST(CASE WHEN written THEN con.m END AS BIGINT) AS volume_id, CASE WHEN rq.id IS NULL THEN 'unknown' WHEN NOT checkd THEN 'not downloaded' WHEN rq.id IN (SELECT id FROM err) THEN 'failed' WHEN o_totalprice IS NULL OR o_totalprice < 50000 THEN 'no body' ELSE 'ok' END AS status, CASE WHEN o_totalprice >= 50000 THEN 'body of ' || rq.id END AS body FROM rq LEFT JOIN fld ON fld.id = rq.id LEFT JOIN os ON os.id = rq.id LEFT JOIN con ON con.id = rq.id LEFT JOIN dir ON dir.id = con.m")
 def dump_status(spark, d):
     s = fx.order_state(spark, d)
     requested = s["field"].select("url").union(spark.sql("SELECT 'http://shop.example/none'"))
-    bodies = fx.table(spark, d, "orders").filter("o_totalprice >= 50000").select(F.col("o_orderkey").alias("url_id"), F.lit("x").alias("body"))
-    return store.dump(requested, s["field"], s["download_error"], bodies, s["content"], s["directory"]).drop("body")
+    bodies = fx.table(spark, d, "orders").filter("o_totalprice >= 50000").select(F.col("o_orderkey").alias("url_id"), F.concat(F.lit("body of "), F.col("o_orderkey").cast("string")).alias("body"))
+    return store.dump(requested, s["field"], s["download_error"], bodies, s["content"], s["directory"])
+
+
+@query("SELECT url, page_id AS id, CAST(NULL AS BIGINT) AS volume_id, 'ok' AS status, 'HTTP/1.1 301 Moved' || c || 'Content-Type: text/plain' || c || c || 'HTTP/1.1 200 All is OK' || c || 'Server : s' || c || 'Content-Type: Text/HTML; charset=utf-8' || c || 'X-Page: ' || page_id || c AS headers FROM (SELECT DISTINCT url, page_id, chr(13) || chr(10) AS c FROM pages)")
+def dump_headers(spark, d):
+    field = fx.table(spark, d, "pages").select("url", F.col("page_id").alias("id"), F.lit(NOW).alias("checkd")).distinct()
+    heads = fx.raw_headers(spark, d).withColumnRenamed("page_id", "url_id").dropDuplicates(["url_id"])
+    none = spark.createDataFrame([], "url_id long")
+    return store.dump(field.select("url").distinct(), field, none, heads, part="headers")
 
 
 PURGED = "gone AS (SELECT o_orderkey AS id FROM orders WHERE o_orderpriority = '3-MEDIUM')"

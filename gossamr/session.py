@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows of a side that may be broadcast; the callers' rows are a few dozen bytes each, so this is tens of megabytes.
-BROADCAST_ROWS = 1_000_000
+#: Rows and bytes of a side that may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -32,8 +34,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 _SHIPPED: set[str] = set()
-#: Rows of a batch that goes to Python, where the session does not say: texts are long.
-BATCH_ROWS = "1000"
+#: Rows and bytes of a batch that goes to Python, where the session does not say: texts are long.
+BATCH_ROWS, BATCH_BYTES = "1000", "8m"
 
 
 def ship(spark: SparkSession) -> None:
@@ -44,6 +46,8 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if app in _SHIPPED:
         return
     top, folder = Path(__file__).parent, tempfile.mkdtemp(prefix="gossamr-")
@@ -57,9 +61,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine), one of our own."""
+    """The folder named by spark.checkpoint.dir; where it is unset on a local master (tests, one machine), one of our own.
+
+    Any other master needs the setting: its executors do not see a folder of this machine.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
         spark.sparkContext.setCheckpointDir(named)
         atexit.register(shutil.rmtree, named, ignore_errors=True)
@@ -111,7 +120,31 @@ def discard(df: DataFrame) -> None:
             _delete(df.sparkSession, top)
 
 
-def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df marked for broadcast if it is counted to be within the limit; else as it is, for a shuffled join."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= limit else df
+def _width(name: str, kind: T.DataType) -> Column:
+    """Bytes that a column's values take, about."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.NumericType, T.BooleanType)):
+        return F.coalesce(F.octet_length(F.to_json(name)), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        return 8 * F.greatest(F.size(name), F.lit(0)) + 16
+    if isinstance(kind, T.StructType):
+        return sum((_width(f"{name}.`{f.name}`", f.dataType) for f in kind), F.lit(8))
+    return F.lit(8) if isinstance(kind, T.AtomicType) else F.coalesce(F.octet_length(F.to_json(name)), F.lit(0)) + 16
+
+
+def fits(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Whether df is small enough to broadcast, by its rows and their bytes.
+
+    rows: their number, where it is known; rows of numbers alone then need no pass over df.
+    """
+    if rows is not None and (rows > limit or all(isinstance(f.dataType, (T.NumericType, T.BooleanType)) for f in df.schema)):
+        return rows <= limit and 8 * rows * len(df.columns) <= most
+    width = sum((_width(f"`{f.name}`", f.dataType) for f in df.schema), F.lit(0).cast("long"))
+    n, size = df.agg(F.count("*"), F.sum(width)).first()
+    return n <= limit and (size or 0) <= most
+
+
+def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df marked for broadcast if it fits(); else as it is, for a shuffled join."""
+    return F.broadcast(df) if fits(df, rows, limit, most) else df

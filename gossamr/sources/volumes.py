@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gossamr.session import ship
+from gossamr.session import materialize, ship, sized
 
 _MEMBERS = T.StructType([T.StructField("volume_id", T.LongType()), T.StructField("url_id", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("body", T.BinaryType()), T.StructField("siz", T.LongType())])
 
@@ -69,3 +69,16 @@ def members_of(archives: DataFrame) -> DataFrame:
 
     ship(archives.sparkSession)
     return archives.select("volume_id", "archive").mapInArrow(run, _MEMBERS)
+
+
+def purge_volumes(archives: DataFrame, content: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """archives (volume_id, archive) without the members of the URLs ids (id), and (volume_id) of those left empty, that go.
+
+    Only archives that content (url_id, volume_id) names for one of the ids are read and written again.
+    """
+    gone = ids.select(F.col("id").alias("url_id")).distinct()
+    hit = materialize(content.join(gone, "url_id", "left_semi").select("volume_id").distinct(), "purged-volumes")
+    kept = members_of(archives.join(sized(hit), "volume_id", "left_semi")).join(sized(gone), "url_id", "left_anti")
+    made = materialize(zip_volumes(kept), "purged-archives")
+    whole = archives.join(sized(hit), "volume_id", "left_anti").select("volume_id", "archive")
+    return whole.unionByName(made.select("volume_id", "archive")), hit.join(made.select("volume_id"), "volume_id", "left_anti")

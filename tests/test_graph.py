@@ -89,11 +89,6 @@ def test_redirect_classes_and_neighbors(spark):
     assert [r.url for r in graph.neighbors(links, tops).collect()] == ["http://n.org/a+b"]
 
 
-def test_top_paths_is_a_report(spark):
-    df = spark.createDataFrame([(1, 0, i) for i in range(5)], "target long, depth int, url_id long")
-    assert graph.top_paths(df, 2).agg(F.max("url_id")).first()[0] == 1
-
-
 def test_bucketed_edges_are_not_shuffled_again(spark):
     from gossamr.session import bucketed
 

@@ -1,6 +1,8 @@
 import random
 import zipfile
 
+import pytest
+
 import spec
 from gossamr.operators import store, tables
 from gossamr.sources import headers, schemas, volumes
@@ -89,3 +91,37 @@ def test_table_changes(spark):
     assert {r.k for r in tables.insert_new(t, rows, "k").collect()} == {1, 2} and tables.insert_new(t, rows, "k").filter("k = 1").first().v == "a"
     assert {(r.k, r.v) for r in tables.upsert_latest(t, rows, [F.desc("v")], "k").collect()} == {(1, "b"), (2, "d")}
     assert schemas.empty(spark, "field").columns == ["id", "url", "checkd", "parsed"]
+
+
+def test_alternative_representations_and_headers_are_read(spark, tmp_path):
+    for name in ("tmp/s/alt/1/1001", "tmp/s/alt/1/1001h", "tmp/s/2/1002"):
+        file = tmp_path / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(name.encode())
+    from gossamr.sources import volumes
+
+    got = {(r.url_id, r.kind, bytes(r.body).decode()) for r in volumes.read_loose(spark, str(tmp_path), "s", "alt").collect()}
+    assert got == {(1001, "", "tmp/s/alt/1/1001"), (1001, "h", "tmp/s/alt/1/1001h")}
+    assert [r.url_id for r in volumes.read_loose(spark, str(tmp_path), "s").filter("kind = ''").collect()] == [1002]
+
+
+def test_tables_of_a_crawl_schema_are_read(spark, tmp_path):
+    from gossamr.sources import schemas
+
+    schemas.empty(spark, "edges").union(spark.sql("SELECT 1L, 2L")).write.parquet(str(tmp_path / "s" / "edges"))
+    assert [tuple(r) for r in schemas.scan(spark, str(tmp_path), "edges", "s").collect()] == [(1, 2)]
+
+
+def test_instances_are_looked_up_by_name(spark):
+    from gossamr.operators import tables
+
+    table = spark.createDataFrame([(7, "a")], "id long, instance_name string")
+    assert tables.instance_id(table, "a") == 7 and tables.instance_id(table, None) is None
+    with pytest.raises(LookupError):
+        tables.instance_id(table, "b")
+
+
+def test_healthchecks_are_due_at_intervals():
+    from gossamr.operators.frontier import healthcheck_due
+
+    assert [n for n in range(1, 40) if healthcheck_due(n, 20, 10)] == [20, 30] and not healthcheck_due(100, 20, 0)
