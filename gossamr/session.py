@@ -79,14 +79,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gossamr/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def clean(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application; results that were not written yet are lost with them."""
-    _delete(spark, f"{shared_dir(spark)}/gossamr/{spark.sparkContext.applicationId}")
+    delete(spark, f"{shared_dir(spark)}/gossamr/{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
@@ -117,7 +118,7 @@ def discard(df: DataFrame) -> None:
     """Delete the files of a materialized table that nothing will read any more."""
     for top in {f.rpartition("/")[0] for f in df.inputFiles()}:
         if "/gossamr/" in top:
-            _delete(df.sparkSession, top)
+            delete(df.sparkSession, top)
 
 
 def _width(name: str, kind: T.DataType) -> Column:
