@@ -1,23 +1,28 @@
 """Line dedup: levelled sorted runs of line hashes.
 
-Documents come in batches. A batch is summed to a run: one row (key, docs) for each line key, sorted by key within
-hash partitions. Before it is written, the run is merge-anti-joined with the runs already there, on keys whose total
-has reached the threshold: those are settled and need no more counting. A level that has `fanout` runs is compacted:
-they are merged to one run of the next level. Keys are 64-bit hashes of normalized lines.
+Documents come in batches. A batch is summed to a run: one row (key, docs) for each line key, dealt to buckets of keys and
+sorted within them. Before it is written, the batch is merge-anti-joined with the runs already there, on keys whose total
+has reached the threshold: those are settled and need no more counting. A level that has `fanout` runs is compacted: they
+are merged to one run of the next level. All runs are partitions of one bucketed table, so neither the join nor
+compacting nor the final sums move a run: only the batch is shuffled. Keys are 64-bit hashes of normalized lines.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
+
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-import xxhash
 
 from gossamr.llm.common import append, emit, field
-from gossamr.session import BROADCAST_ROWS, discard, materialize, scratch_path
+from gossamr.session import BROADCAST_ROWS, delete, discard, materialize, scratch_path
 
 #: Characters stripped at both ends of a line: [\x20\x09-\x0D].
 BLANKS = b" \t\n\x0b\x0c\r"
+#: Documents of a batch and the least number of batches, which is more than a level's fanout; documents for each bucket of keys.
+BATCH_DOCS, BATCHES, BUCKET_DOCS = 50_000_000, 6, 500_000
 
 
 def line_key(line: str) -> int:
@@ -30,46 +35,60 @@ def line_key(line: str) -> int:
 
 
 class LineRuns:
-    """The store of sorted runs; `where` may be a folder kept between sessions."""
+    """The store of sorted runs: a table in the shared folder, partitioned by run and bucketed by key."""
 
-    schema = T.StructType([field("key", "long"), field("docs", "long")])
+    def __init__(self, spark: SparkSession, buckets: int, min_docs: int = 10, fanout: int = 4):
+        self.spark, self.buckets, self.min_docs, self.fanout = spark, buckets, min_docs, fanout
+        self.table, self.path = f"gossamr_lines_{uuid.uuid4().hex}", scratch_path(spark, "line-runs")
+        self.levels: list[list[int]] = [[]]
+        self.made = self.compacted = 0
 
-    def __init__(self, spark: SparkSession, min_docs: int = 10, fanout: int = 4, where: str | None = None):
-        self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.where = where or scratch_path(spark, "line-runs")
-        self.levels: list[list[str]] = [[]]
-        self.made = 0
+    def _read(self, runs: list[int]) -> DataFrame:
+        return self.spark.table(self.table).filter(F.col("run").isin(runs)).select("key", "docs")
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+    def _live(self) -> list[int]:
+        return [x for level in self.levels for x in level]
 
-    def _write(self, counts: DataFrame, level: int) -> None:
-        path = f"{self.where}/level{level}-{self.made:05d}"
-        self.made += 1
-        counts.groupBy("key").agg(F.sum("docs").alias("docs")).sortWithinPartitions("key").write.parquet(path)
+    def _write(self, run: DataFrame, level: int) -> None:
+        rows = run.select("key", "docs", F.lit(self.made).alias("run"))
+        rows.write.mode("append").partitionBy("run").bucketBy(self.buckets, "key").sortBy("key").option("path", self.path).saveAsTable(self.table)
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(self.made)
+        self.made += 1
 
     def totals(self) -> DataFrame:
-        return self._read([p for level in self.levels for p in level]).groupBy("key").agg(F.sum("docs").alias("docs"))
+        return self._read(self._live()).groupBy("key").agg(F.sum("docs").alias("docs"))
 
     def frequent(self) -> DataFrame:
         """Keys found in at least min_docs documents."""
         return self.totals().filter(F.col("docs") >= self.min_docs).select("key")
 
+    def unsettled(self, counts: DataFrame) -> DataFrame:
+        """A batch's counts (key, docs; one row for a key) without the keys that the runs settle."""
+        if not self._live():
+            return counts.repartition(self.buckets, "key")
+        return counts.join(self.frequent().hint("merge"), "key", "left_anti")
+
     def add(self, counts: DataFrame) -> None:
-        """Add a batch's counts (key, docs) as a run of level 0, without keys already settled; compact full levels."""
-        if any(self.levels):
-            counts = counts.join(self.frequent().hint("merge"), "key", "left_anti")
-        self._write(counts, 0)
+        """Add a batch's counts as a run of level 0; compact full levels."""
+        self._write(self.unsettled(counts), 0)
         level = 0
         while len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self._write(self._read(full), level + 1)
-            discard(self._read(full))
+            self._write(self._read(full).groupBy("key").agg(F.sum("docs").alias("docs")), level + 1)
+            for run in full:
+                delete(self.spark, f"{self.path}/run={run}")
+            self.spark.catalog.refreshTable(self.table)
+            self.compacted += 1
             level += 1
 
+    def drop(self) -> None:
+        """Delete all runs."""
+        self.spark.sql(f"DROP TABLE {self.table}")
+        delete(self.spark, self.path)
+        self.levels = [[]]
+
 
 def _keys(docs: DataFrame, batches: int) -> DataFrame:
     """Of each document: row_id (equal for equal rows), its distinct line keys, its batch."""
@@ -85,17 +104,23 @@ def _keys(docs: DataFrame, batches: int) -> DataFrame:
     return keys.withColumn("batch", F.pmod("row_id", F.lit(batches)).cast("int"))
 
 
-def count_lines(docs: DataFrame, min_docs: int = 10, batches: int = 3, fanout: int = 4) -> tuple[LineRuns, DataFrame]:
-    """Feed all documents to the runs, batch by batch. Returns the runs and the table of each document's keys."""
+def count_lines(docs: DataFrame, min_docs: int = 10, batch_docs: int = BATCH_DOCS, fanout: int = 4) -> tuple[LineRuns, DataFrame]:
+    """Feed all documents to the runs, batch by batch. Returns the runs and the table of each document's keys.
+
+    There are as many batches as batch_docs documents each make, but at least BATCHES.
+    """
+    spark, n = docs.sparkSession, docs.count()
+    batches = max(BATCHES, math.ceil(n / batch_docs))
     keys = materialize(_keys(docs, batches), "line-keys", "batch")
-    runs = LineRuns(docs.sparkSession, min_docs, fanout)
+    runs = LineRuns(spark, max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, n // BUCKET_DOCS)), min_docs, fanout)
     for b in range(batches):
-        counts = keys.filter(F.col("batch") == b).select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("docs"))
+        counts = materialize(keys.filter(F.col("batch") == b).select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("docs")), "line-batch")
         runs.add(counts)
+        discard(counts)
     return runs, keys
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, batches: int = 3, fanout: int = 4, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 10, batch_docs: int = BATCH_DOCS, fanout: int = 4, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Drop the lines whose key is found in at least min_docs documents (rows), all their occurrences.
 
     docs: doc_id, text and any other columns. Returns them with text replaced by the lines kept, joined by \\n, and
@@ -104,12 +129,14 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, batches: int = 3, fanout: i
     Columns named n_lines or n_dropped are replaced. Frequent keys are broadcast if at most broadcast_rows are
     counted; beyond that each document's own are joined to it.
     """
-    runs, keys = count_lines(pick_text(docs), min_docs, batches, fanout)
+    runs, keys = count_lines(pick_text(docs), min_docs, batch_docs, fanout)
     frequent = materialize(runs.frequent(), "line-frequent")
+    runs.drop()
     n = frequent.count()
     fields = [field("text", "string"), field("n_lines", "long"), field("n_dropped", "long")]
     order = [*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped"]
     if n <= broadcast_rows:
+        discard(keys)
         known = docs.sparkSession.sparkContext.broadcast(frozenset(r.key for r in frequent.toLocalIterator()))
         return append(docs, ["text"], fields, lambda: lambda texts: _dropped(texts, known.value)).select(*order)
     hits = keys.select("row_id", F.explode("keys").alias("key")).join(frequent, "key").groupBy("row_id").agg(F.collect_set("key").alias("_drop"))

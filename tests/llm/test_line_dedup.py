@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 
 from gossamr.llm import line_dedup as ld
+from gossamr.session import materialize
 
 
 def brute(docs, least):
@@ -23,12 +24,12 @@ def test_equals_brute_force(spark, words, broadcast_rows):
     lines = [*words[:8], "", "  ", " Alpha\t", "ÀB", "àb", "\x1calpha"]
     docs = [(i, "\n".join(rng.choices(lines, k=rng.randint(0, 4)) + [f"own {i}"]) if i % 9 else None) for i in range(120)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    got = ld.dedup_lines(df, min_docs=10, batches=5, fanout=2, broadcast_rows=broadcast_rows)
+    got = ld.dedup_lines(df, min_docs=10, batch_docs=15, fanout=2, broadcast_rows=broadcast_rows)
     assert sorted((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in got.collect()) == brute(docs, 10)
 
 
 def test_runs_are_sorted_compacted_and_leave_out_settled_keys(spark):
-    runs = ld.LineRuns(spark, min_docs=3, fanout=2)
+    runs = ld.LineRuns(spark, 4, min_docs=3, fanout=2)
     batch = lambda rows: spark.createDataFrame(rows, "key long, docs long")
     runs.add(batch([(2, 3), (1, 1)]))
     runs.add(batch([(2, 9), (1, 1), (3, 1)]))
@@ -38,6 +39,29 @@ def test_runs_are_sorted_compacted_and_leave_out_settled_keys(spark):
     assert {r.key for r in runs.frequent().collect()} == {1, 2}
 
 
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in line]
+
+
+def test_runs_are_not_shuffled(spark):
+    """A join shuffles the batch alone, sums and compaction nothing."""
+    runs = ld.LineRuns(spark, 5, min_docs=3, fanout=9)
+    batch = materialize(spark.range(100).selectExpr("id AS key", "1L AS docs"), "batch")
+    for _ in range(3):
+        runs.add(batch)
+    join = exchanges(runs.unsettled(batch))
+    assert len(join) == 1 and "hashpartitioning(key" in join[0] and ", 5)" in join[0]
+    assert not exchanges(runs.totals())
+    runs.drop()
+
+
+def test_defaults_compact(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    runs, _ = ld.count_lines(docs)
+    assert runs.compacted >= 1 and len(runs.levels) >= 2 and runs.levels[1]
+    runs.drop()
+
+
 def test_edges(spark, edge_docs, no_docs):
     out = ld.dedup_lines(edge_docs, min_docs=2)
     assert out.columns == [*edge_docs.columns, "n_lines", "n_dropped"] and out.count() == 11
