@@ -5,8 +5,9 @@ background's, from all documents. Words and bigrams are counted by 62-bit hash,
 no task holds more than a share of them: texts are taken in chunks, a chunk's distinct keys go with its own counts to the
 key's bucket, the bucket sums them over all chunks and answers with the sums, and the chunk's answers meet its texts
 again. Buckets are ranges of keys, in a number that follows from the counted words. A key that is common everywhere is
-one entry a chunk. Background counts are scaled to the target's size, so that smoothing weighs alike in both. A
-document's score is the mean difference per token of its loss under the target's and under the background's model: the
+one entry a chunk. Background counts are scaled to the target's size, so that smoothing weighs alike in both. Each
+document is scored by models without its own counts (leave one out), so that target documents gain nothing from having
+trained the target's model, nor any document from being in the background. A document's score is the mean difference per token of its loss under the target's and under the background's model: the
 lower, the more it is like the target.
 """
 
@@ -127,7 +128,8 @@ def _rows(df: DataFrame, buckets: int, tokens: int) -> DataFrame:
     """(chunk, bucket, kind, a, b, c) of df (text, key, is_target).
 
     Kind 0: keys of a bucket (their gaps from the bucket's start) and the chunk's counts of them in targets and in all.
-    Kind 1, one row a chunk: keys of its texts (int64), their lengths and each token's place among the chunk's words.
+    Kind 1, one row a chunk: keys of its texts (int64), twice their lengths (plus 1: a target), and each token's place
+    among the chunk's words.
     All but the texts' keys are packed.
     """
     edges = _edges(buckets)
@@ -140,7 +142,7 @@ def _rows(df: DataFrame, buckets: int, tokens: int) -> DataFrame:
             keys, target, background, places, lengths = chunk.sums()
             at, name = [*np.searchsorted(keys, edges).tolist(), len(keys)], base + n
             rows = [(name, i, 0, packed(gaps(keys[x:y] - edges[i])), packed(target[x:y]), packed(background[x:y])) for i, (x, y) in enumerate(zip(at[:-1], at[1:], strict=True)) if x < y]
-            rows.append((name, (name * 7919) % buckets, 1, np.array(chunk.names, np.int64).tobytes(), packed(lengths), packed(places)))
+            rows.append((name, (name * 7919) % buckets, 1, np.array(chunk.names, np.int64).tobytes(), packed(2 * lengths + np.array(chunk.targets)), packed(places)))
             chunk.clear()
             n += 1
             return [list(x) for x in zip(*rows, strict=True)]
@@ -175,6 +177,12 @@ def _answered(table: pa.Table, buckets: int) -> pa.Table:
     return pa.concat_tables([made, table.filter(pa.array(kinds == 1)).cast(made.schema)])
 
 
+def _own(texts: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """How often each key occurs in its text. texts, keys: whole numbers from 0 on."""
+    _, at, n = np.unique(texts * (keys.max(initial=0) + 1) + keys, return_inverse=True, return_counts=True)
+    return n[at]
+
+
 def _losses(table: pa.Table, buckets: int, totals: tuple[int, int], vocabulary: int, strength: float) -> pa.Table:
     """(key, tokens, target's loss, background's loss) of one chunk's texts: mean nats per token under both models."""
     rows = sorted(table.to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
@@ -183,15 +191,22 @@ def _losses(table: pa.Table, buckets: int, totals: tuple[int, int], vocabulary:
     known = np.concatenate([np.cumsum(unpacked(r["a"])) + starts[r["bucket"]] for r in rows])
     sums = [np.concatenate([unpacked(r[x]) for r in rows]) for x in "bc"]
     names, lengths, places = np.frombuffer(text["a"], np.int64), unpacked(text["b"]), unpacked(text["c"])
+    targets, lengths = lengths & 1, lengths >> 1
     inside = _inside(lengths)
     pairs = np.unique(bigram_keys(known[places])[inside], return_inverse=True)[1] + len(known)
     second, out = np.nonzero(inside)[0] + 1, []
+    texts = np.repeat(np.arange(len(lengths)), lengths)
+    own, own_pairs = _own(texts, places), _own(texts[second], pairs)
     for k in (0, 1):
-        scale = totals[0] / totals[1] if k and all(totals) else 1.0
-        n = sums[k] * scale
-        p = (n[places] + 1.0) / (totals[0] + vocabulary)
-        history = n[places[second - 1]]
-        p[second] = (np.minimum(n[pairs], history) + strength * p[second]) / (history + strength)
+        counted = np.ones_like(lengths) if k else targets  # whether the model's counts hold the text
+        left = totals[k] - counted * lengths
+        target = totals[0] - targets * lengths
+        scale = np.where((left > 0) & (target > 0), target / np.maximum(left, 1), 1.0) if k else np.ones(len(lengths))
+        n = (sums[k][places] - (counted[texts] * own)) * scale[texts]
+        p = (n + 1.0) / (target[texts] + vocabulary)
+        history = n[second - 1]
+        both = (sums[k][pairs] - counted[texts[second]] * own_pairs) * scale[texts[second]]
+        p[second] = (np.minimum(both, history) + strength * p[second]) / (history + strength)
         out.append(-np.add.reduceat(np.log(p), np.cumsum(lengths) - lengths) / lengths)
     return pa.table([pa.array(names), pa.array(lengths), *map(pa.array, out)], names=["_key", "_n", "_a", "_b"])
 
@@ -201,12 +216,16 @@ def score(docs: DataFrame, labels: DataFrame, strength: float = 50.0, chunk: int
 
     Target documents are those with a label of quality 1 (of several labels for an id the lowest counts). Texts
     without words, null ones too, have null losses and score. Without any target document the target's model is
-    uniform. Repeated rows count as often as they occur. Columns with the names of results are replaced.
+    uniform. Repeated rows count as often as they occur, and of these only one is left out when they are scored. Columns
+    with the names of results are replaced. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     good = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("_q")).filter("_q = 1").select(F.col("doc_id").alias("_good"))
-    marked = docs.select("doc_id", "text").join(sized(materialize(good, "lm-target")), F.col("doc_id") == F.col("_good"), "left")
-    marked = marked.select("text", F.xxhash64("text").alias("key"), F.col("_good").isNotNull().alias("is_target"))
+    good = materialize(good, "lm-target")
+    own = docs.join(sized(good), F.col("doc_id") == F.col("_good"), "left")
+    is_target = F.col("_good").isNotNull()
+    key = F.when(F.col("text").isNotNull(), F.xxhash64("text", is_target))
+    marked = own.select("text", F.coalesce(key, F.lit(0).cast("long")).alias("key"), is_target.alias("is_target"))
     size = counts(marked, bigrams=False).agg(F.count("*").alias("n"), F.sum("target").alias("t"), F.sum("background").alias("b")).first()
     totals, vocabulary = (size.t or 0, size.b or 0), size.n + 1
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), totals[1] // BUCKET + 1)
@@ -218,11 +237,38 @@ def score(docs: DataFrame, labels: DataFrame, strength: float = 50.0, chunk: int
 
     new = {"n_tokens", "target_loss", "background_loss", "score"}
     kept = [c for c in docs.columns if c not in new]
-    joined = docs.select(*kept, F.xxhash64("text").alias("_text_key")).join(sized(losses), F.col("text").isNotNull() & (F.col("_text_key") == F.col("_key")), "left")
+    joined = own.select(*kept, key.alias("_text_key")).join(sized(losses), F.col("_text_key") == F.col("_key"), "left")
     return joined.select(*kept, F.coalesce("_n", F.lit(0).cast("long")).alias("n_tokens"), F.col("_a").alias("target_loss"), F.col("_b").alias("background_loss"), (F.col("_a") - F.col("_b")).alias("score"))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, both losses and the score of every document."""
+    """doc_id, n_tokens, both losses and the score (to six decimals) of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")).drop("text")
+    scored = score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
+    return scored.select("doc_id", "n_tokens", *(F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")))
+
+
+OP10_SQL = r"""
+WITH g AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id IN (SELECT doc_id FROM g), false) AS good,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS ws FROM documents),
+w AS (SELECT rid, good, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM d),
+t AS (SELECT *, lag(word) OVER (PARTITION BY rid ORDER BY pos) AS prev FROM w),
+u AS (SELECT word, count(*) FILTER (WHERE good) AS tn, count(*) AS bn FROM w GROUP BY word),
+b AS (SELECT prev, word, count(*) FILTER (WHERE good) AS tn, count(*) AS bn FROM t WHERE prev IS NOT NULL GROUP BY prev, word),
+ou AS (SELECT rid, word, count(*) AS k FROM w GROUP BY rid, word),
+ob AS (SELECT rid, prev, word, count(*) AS k FROM t WHERE prev IS NOT NULL GROUP BY rid, prev, word),
+z AS (SELECT count(*) + 1 AS v, sum(tn) AS tt, sum(bn) AS bt FROM u),
+x AS (SELECT t.rid, t.n, t.prev, z.v, tt - CASE WHEN good THEN t.n ELSE 0 END AS tl, bt - t.n AS bl,
+  u.tn - CASE WHEN good THEN ou.k ELSE 0 END AS wt, u.bn - ou.k AS wb, pu.tn - CASE WHEN good THEN po.k ELSE 0 END AS ht, pu.bn - po.k AS hb,
+  b.tn - CASE WHEN good THEN ob.k ELSE 0 END AS pt, b.bn - ob.k AS pb
+  FROM t CROSS JOIN z JOIN u ON u.word = t.word JOIN ou ON ou.rid = t.rid AND ou.word = t.word
+  LEFT JOIN u pu ON pu.word = t.prev LEFT JOIN ou po ON po.rid = t.rid AND po.word = t.prev
+  LEFT JOIN b ON b.prev = t.prev AND b.word = t.word LEFT JOIN ob ON ob.rid = t.rid AND ob.prev = t.prev AND ob.word = t.word),
+y AS (SELECT *, CASE WHEN tl > 0 AND bl > 0 THEN CAST(tl AS DOUBLE) / bl ELSE 1.0 END AS s FROM x),
+q AS (SELECT rid, n, CASE WHEN prev IS NULL THEN (wt + 1.0) / CAST(tl + v AS DOUBLE) ELSE (least(pt, ht) + 50.0 * ((wt + 1.0) / CAST(tl + v AS DOUBLE))) / (ht + 50.0::DOUBLE) END AS pa,
+  CASE WHEN prev IS NULL THEN (wb * s + 1.0) / CAST(tl + v AS DOUBLE) ELSE (least(pb * s, hb * s) + 50.0 * ((wb * s + 1.0) / CAST(tl + v AS DOUBLE))) / (hb * s + 50.0::DOUBLE) END AS pb FROM y),
+l AS (SELECT rid, -sum(ln(pa)) / max(n) AS a, -sum(ln(pb)) / max(n) AS b FROM q GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_tokens, round(a, 6) AS target_loss, round(b, 6) AS background_loss, round(a - b, 6) AS score
+FROM d LEFT JOIN l USING (rid)
+"""

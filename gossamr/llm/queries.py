@@ -5,7 +5,7 @@ from __future__ import annotations
 from gossamr.llm.byte_bpe import op7_byte_bpe
 from gossamr.llm.licenses import op2_licenses
 from gossamr.llm.line_dedup import OP9_SQL, op9_line_dedup
-from gossamr.llm.lm_scoring import op10_lm_scoring
+from gossamr.llm.lm_scoring import OP10_SQL, op10_lm_scoring
 from gossamr.llm.order_minhash import op5_fingerprints
 from gossamr.llm.packing import op3_packing
 from gossamr.llm.parity_join import op6_jaccard_join
@@ -28,4 +28,5 @@ QUERIES = {
 ORACLES = {
     "op4_warc": OP4_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op10_lm_scoring": OP10_SQL,
 }

@@ -8,24 +8,27 @@ from gossamr.llm import lm_scoring as lm
 
 
 def brute(docs, good, strength=50.0):
-    """Exact counts of words and bigrams, without hashing."""
+    """Exact counts of words and bigrams of all texts but the one that is scored, without hashing."""
     one, two = [Counter(), Counter()], [Counter(), Counter()]
     for i, t in docs:
         w = (t or "").lower().split()
         for k in ([0, 1] if i in good else [1]):
             one[k].update(w)
             two[k].update(zip(w, w[1:], strict=False))
-    total = [sum(c.values()) for c in one]
-    scale, vocabulary, out = total[0] / total[1], len(one[1]) + 1, {}
+    vocabulary, out = len(one[1]) + 1, {}
     for i, t in docs:
         w, losses = (t or "").lower().split(), []
-        for k, s in ((0, 1.0), (1, scale)):
+        mine, pairs = Counter(w), Counter(zip(w, w[1:], strict=False))
+        inside = (int(i in good), 1)
+        total = [sum(c.values()) - x * len(w) for c, x in zip(one, inside, strict=True)]
+        for k in (0, 1):
+            s = total[0] / total[1] if k and all(total) else 1.0
             loss = 0.0
             for j, x in enumerate(w):
-                p = (one[k][x] * s + 1) / (total[0] + vocabulary)
+                p = ((one[k][x] - inside[k] * mine[x]) * s + 1) / (total[0] + vocabulary)
                 if j:
-                    history = one[k][w[j - 1]] * s
-                    p = (min(two[k][w[j - 1], x] * s, history) + strength * p) / (history + strength)
+                    history = (one[k][w[j - 1]] - inside[k] * mine[w[j - 1]]) * s
+                    p = (min((two[k][w[j - 1], x] - inside[k] * pairs[w[j - 1], x]) * s, history) + strength * p) / (history + strength)
                 loss -= math.log(p)
             losses.append(loss / len(w) if w else None)
         out[i] = losses
@@ -51,6 +54,27 @@ def test_counts_cover_every_word(spark):
     assert sorted((r.target, r.background) for r in words) == [(0, 1), (1, 2), (2, 2)] and sum(r.background for r in rows) == 5 + 3
 
 
+def test_being_a_target_document_earns_no_better_score(spark):
+    """Texts of words of their own: those labelled good would score far better if their own counts were left in."""
+    rng = random.Random(9)
+    docs = [(i, " ".join(f"w{rng.randrange(100_000)}" for _ in range(50))) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 200, 2)], "doc_id long, quality int")
+    got = lm.score(spark.createDataFrame(docs, "doc_id long, text string"), labels).collect()
+    mean = [sum(r.score for r in got if r.doc_id % 2 == k) / 100 for k in (0, 1)]
+    assert abs(mean[0] - mean[1]) < 0.05
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    con, d = duckdb.connect(), "/root/testdata/sf0.001"
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{d}/{name}.parquet'")
+    df = lm.op10_lm_scoring(spark, d)
+    want = con.sql(lm.OP10_SQL)
+    assert df.columns == want.columns and sorted(map(tuple, df.collect())) == sorted(want.fetchall())
+
+
 def test_edges(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     rows = lm.score(edge_docs, labels).collect()
