@@ -7,8 +7,9 @@ The chance that two texts agree in a bucket falls with reordering as well as wit
 distance does (Marcais et al., 2019; one permutation, split into buckets, stands for their many).
 
 Everything is computed within the row by sorting arrays of packed longs: no shuffle, no Python. Where the next
-document is needed, documents are dealt to ranges of ids, each sorted by itself, and only the first document of each
-range is passed to the range before it.
+document is needed, texts are dealt to ranges of ids (one shuffle), each sorted by itself; the first document of each
+range is sent along to the range before it, as a row of that range. What is broadcast are the ranges' bounds: numbers,
+and a bounded number of them.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ BUCKET_BITS = 6
 PLACE_BITS = 26
 #: A token: a letter of a script written without spaces, or a run of other characters without white space.
 TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[^\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]+"
-#: Documents in a range of ids, about.
-RANGE_ROWS = 2000
+#: Documents in a range of ids, about, but for so large tables that there would be more than RANGES ranges.
+RANGE_ROWS, RANGES = 2000, 500_000
 #: Ranges whose bounds the driver knows; each is divided further evenly.
 COARSE = 256
 
@@ -77,16 +78,17 @@ def as_text(a: str) -> Column:
 def _ranges(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) with _b, _s (range, in descending order of documents) and _tie."""
     n, missing = docs.select(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
-    coarse = max(1, min(COARSE, n // RANGE_ROWS))
+    size = max(RANGE_ROWS, n // RANGES)
+    coarse = max(1, min(COARSE, n // size))
     at = docs.select(F.percentile_approx("doc_id", [i / coarse for i in range(1, coarse)] or [1.0], 10_000), F.min("doc_id"), F.max("doc_id")).first()
     low, high = (at[1], at[2]) if at[1] is not None else (0, 0)
     bounds = sorted({low, *(at[0] or []), high + 1}) if coarse > 1 else [low, high + 1]
-    fine = max(1, math.ceil((n - missing) / max(1, len(bounds) - 1) / RANGE_ROWS))
+    fine = max(1, math.ceil((n - missing) / max(1, len(bounds) - 1) / size))
     table = "array(" + ", ".join(f"{b}L" for b in bounds) + ")"
     b = F.when(F.col("doc_id").isNull(), -1).otherwise(F.expr(f"size(filter({table}, x -> x <= doc_id)) - 1"))
     lower, upper = F.expr(f"get({table}, _b)"), F.expr(f"get({table}, _b + 1)")
     share = (F.col("doc_id") - lower).cast("double") / (upper - lower).cast("double")
-    null_bits = max(0, math.ceil(math.log2(max(1, missing / RANGE_ROWS))))
+    null_bits = max(0, math.ceil(math.log2(max(1, missing / size))))
     none = F.shiftright(F.shiftright("_tie", 1), 63 - null_bits).cast("int") if null_bits else F.lit(0)
     return docs.withColumns({"_b": b.cast("int"), "_tie": F.xxhash64("text")}).withColumn("_s", F.when(F.col("doc_id").isNull(), none).otherwise(F.floor(share * fine).cast("int")))
 
@@ -95,23 +97,23 @@ def with_next(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) with the next document, descending by doc_id: next_text, and fingerprints fp and next_fp.
 
     After the last document comes the first. Null text counts as empty. Rows of the same id follow by a hash of the
-    text; null ids come last.
+    text; null ids come last. All rows of one id but null are in one range.
     """
     rows = _ranges(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    order = [F.desc_nulls_last("doc_id"), F.desc("_tie"), F.desc("text")]
-    tops = materialize(rows.groupBy("_b", "_s").agg(F.max(F.struct(F.col("doc_id").alias("d"), F.col("_tie").alias("t"))).alias("top")), "omh-ranges")
-    tops = tops.select(F.col("_b").alias("b"), F.col("_s").alias("s"), F.col("top.d").alias("d"), F.col("top.t").alias("t"))
+    tops = rows.groupBy("_b", "_s").agg(F.max(F.struct(F.col("doc_id").alias("d"), F.col("_tie").alias("t"))).alias("top"))
+    tops = materialize(tops.select(F.col("_b").alias("b"), F.col("_s").alias("s"), F.col("top.d").alias("d"), F.col("top.t").alias("t")), "omh-ranges")
+    order = Window.orderBy(F.desc("b"), F.desc("s"))  # of at most some RANGES rows of numbers
+    place = F.struct("b", "s")
+    ring = F.coalesce(F.lag(place).over(order), F.last(place).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    tops = materialize(tops.select("*", ring.alias("before")).select("b", "s", "d", "t", F.col("before.b").alias("to_b"), F.col("before.s").alias("to_s")), "omh-chain")
     heads = rows.join(sized(tops), (F.col("_b") == F.col("b")) & (F.col("_s") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("_tie") == F.col("t")))
-    heads = materialize(add_fingerprint(heads.select("b", "s", "text"), "text", "fp").dropDuplicates(["b", "s"]).select("b", "s", F.struct("text", "fp").alias("head")), "omh-heads")
-    inner = Window.partitionBy("b").orderBy(F.desc("s"))
-    outer = Window.orderBy(F.desc("b"))
-    chained = heads.select("b", "s", F.lead("head").over(inner).alias("after"), F.row_number().over(inner).alias("place"), "head")
-    firsts = chained.filter("place = 1").select("b", "head")
-    ring = firsts.select("b", F.coalesce(F.lead("head").over(outer), F.first("head").over(outer.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("ring"))
-    afters = materialize(chained.join(F.broadcast(ring), "b").select("b", "s", F.coalesce("after", "ring").alias("after")), "omh-afters")
-    within = Window.partitionBy("_b", "_s").orderBy(*order)
-    led = add_fingerprint(rows, "text", "fp").withColumn("_next", F.lead(F.struct("text", "fp")).over(within))
-    return led.join(sized(afters), (F.col("_b") == F.col("b")) & (F.col("_s") == F.col("s")), "left").withColumn("_next", F.coalesce("_next", "after")).select("doc_id", "text", "fp", F.col("_next.text").alias("next_text"), F.col("_next.fp").alias("next_fp"))
+    heads = heads.select("text", F.col("to_b").alias("_b"), F.col("to_s").alias("_s")).dropDuplicates(["_b", "_s"])
+    both = rows.withColumn("_sent", F.lit(False)).unionByName(heads.withColumn("_sent", F.lit(True)), allowMissingColumns=True)
+    # fingerprints are made after the shuffle and so need not be moved
+    dealt = add_fingerprint(both.repartition("_b", "_s"), "text", "fp")
+    within = Window.partitionBy("_b", "_s").orderBy("_sent", F.desc_nulls_last("doc_id"), F.desc("_tie"), F.desc("text"))
+    led = dealt.withColumn("_next", F.lead(F.struct("text", "fp")).over(within)).filter("not _sent")
+    return led.select("doc_id", "text", "fp", F.col("_next.text").alias("next_text"), F.col("_next.fp").alias("next_fp"))
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
