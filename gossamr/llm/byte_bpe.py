@@ -16,22 +16,25 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from gossamr.llm.common import append, field
+from gossamr.llm.common import append, field, public_pattern
 
-#: Splits text before the merges (the fixed pattern of the public rank files); white space as the Unicode property.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 #: Rank of a pair that does not merge.
 NONE = np.int32(2**31 - 1)
 #: Bytes from which a piece is merged with a queue instead of a matrix row, as a row costs its length squared.
-LONG = 1024
+LONG = 8192
 #: Matrix widths: a piece goes to the first that holds it.
-WIDTHS = (2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256, 512, LONG)
+WIDTHS = (2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256, 512, 1024, 2048, 4096, LONG)
 #: Pieces that a worker's cache holds before it is emptied; a piece and its ids are some 150 bytes.
 CACHE = 400_000
 #: Rows of a matrix times its width, at most.
 CELLS = 1 << 20
 
 
+def unicode_spaces(pattern: str) -> str:
+    """The pattern with white space as the Unicode property; this library's own class has four control characters more."""
+    return pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+
+
 class PairTable:
     """(left id, right id) -> rank of the merged token, by linear probing in arrays."""
 
@@ -68,9 +71,9 @@ class PairTable:
 
 
 class ByteBPE:
-    """Encoder and decoder for a file of ranks (base64 token and rank a line)."""
+    """Encoder and decoder for a file of ranks (base64 token and rank a line). pattern: splits texts before the merges."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pattern: str | None = None):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.vocab = [b""] * (max(self.ranks.values()) + 1)
@@ -86,7 +89,7 @@ class ByteBPE:
                     pairs[a * self.size + b] = rank
         self.pair_dict = pairs
         self.pairs = PairTable(pairs)
-        self.pattern = regex.compile(PATTERN)
+        self.pattern = regex.compile(unicode_spaces(pattern or public_pattern()))
         self.cache: dict[str, bytes] = {}
 
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:

@@ -70,6 +70,13 @@ def emit(df: DataFrame, inputs: list[str], fields: list[T.StructField], start: C
     return df.select(*used).mapInArrow(run, schema)
 
 
+def public_pattern() -> str:
+    """The pattern of the public rank files, where the caller names none."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.ArrayType):
         return pa.list_(_arrow(kind.elementType))

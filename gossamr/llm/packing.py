@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gossamr.llm.common import emit, field
+from gossamr.llm.common import emit, field, public_pattern
 from gossamr.session import materialize
 
 #: The id that ends every document.
@@ -46,8 +46,7 @@ class Encoder:
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {bytes(map(byte_of.__getitem__, token)): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-        self.quick = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+        self.quick = tiktoken.Encoding("packing", pat_str=public_pattern(), mergeable_ranks=ranks, special_tokens=special)
         self.path, self._exact = path, None
 
     @property

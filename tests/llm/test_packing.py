@@ -71,6 +71,42 @@ def test_evolution_beats_bad_parents():
     assert len(shard.fills(best)) <= min(len(shard.fills(g)) for g in bad)
 
 
+def triplets(seed):
+    """Sizes that fill 40 sequences of 1000 to the last place, three to each: best fit from the largest down leaves gaps."""
+    rng, sizes = np.random.default_rng(seed), []
+    for _ in range(40):
+        a, b = int(rng.integers(260, 490)), int(rng.integers(251, 400))
+        sizes += [a, b, 1000 - a - b]
+    return np.array(sizes, np.int32)
+
+
+def test_evolution_improves_on_best_fit():
+    fit, best = [], []
+    for seed in range(6):
+        shard = packing.Shard(triplets(seed), 1000, seed)
+        parents = [shard.first(0.02 * k) for k in range(4)]
+        fit.append(len(shard.fills(parents[0])))
+        best.append(len(shard.fills(shard.evolve(parents, 25)[0])))
+        assert shard.bound == 40 < fit[-1] and 40 <= best[-1] <= fit[-1]
+    assert sum(best) < sum(fit)
+
+
+def test_islands_migrate_and_improve_on_best_fit(spark):
+    used = alone = 0
+    for seed in range(3):
+        sizes = triplets(seed)
+        shard = packing.Shard(sizes, 1000, 0)
+        alone += len(shard.fills(shard.first(0.0)))
+        items = spark.createDataFrame(list(enumerate(sizes.tolist())), "item long, length long")
+        rows = packing.pack(items, 1000, islands=3, epochs=3, generations=25).collect()
+        fills = {}
+        for r in rows:
+            fills[r.sequence_id] = fills.get(r.sequence_id, 0) + int(sizes[r.item])
+        assert sorted(r.item for r in rows) == list(range(len(sizes))) and max(fills.values()) <= 1000
+        used += len(fills)
+    assert 120 <= used < alone
+
+
 def test_edges(spark, edge_docs, no_docs):
     rows = packing.pack_documents(edge_docs, PATH).collect()
     assert sum(r.piece == 0 for r in rows) == 11
