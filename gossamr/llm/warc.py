@@ -89,13 +89,19 @@ def member(raw: bytes, level: int) -> bytes:
     return packed[:-1]
 
 
-def write(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", level: int = 3, records_per_file: int = 2000) -> None:
-    """Write one record for each row of pages (page_id, url, html) to gzipped WARC files under path."""
+def write(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", level: int = 3, records_per_file: int = 2000, file_bytes: int = 64 << 20) -> None:
+    """Write one record for each row of pages (page_id, url, html) to gzipped WARC files under path.
+
+    A file has at most records_per_file records, and fewer where payloads are so long on average that it would have
+    more than file_bytes of them.
+    """
     inputs = ["page_id", "url", "payload", "payload_digest", "refers_to", "refers_to_url"]
 
     def start():
         return lambda *columns: ([member(record(*row, date), level) for row in zip(*columns, strict=True)],)
 
+    mean = pages.agg(F.avg(F.octet_length("html"))).first()[0] or 0
+    records_per_file = max(1, min(records_per_file, int(file_bytes / max(1, mean))))
     rows = emit(resolve(pages, min_bytes), inputs, [field("member", "binary")], start)
     rows.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file).text(path)
 
