@@ -443,3 +443,19 @@ def dedup_near(docs: DataFrame, k: int = 5, p: int = 80, q: int = 100) -> DataFr
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component under 100 * intersection >= 85 * union of 4-word shingles."""
     return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=4, p=85, q=100)
+
+
+OP6_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS pos FROM d WHERE len(ws) > 0),
+s AS (SELECT DISTINCT rid, array_to_string(list_slice(ws, pos, pos + 3), ' ') AS sh FROM i),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.rid < b.rid GROUP BY a.rid, b.rid),
+l AS (SELECT x, y FROM p JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(rid, k) AS (SELECT rid, rid FROM n UNION SELECT e.y, r.k FROM r JOIN e ON e.x = r.rid),
+c AS (SELECT r.rid, min(d.doc_id) AS component_id FROM r JOIN d ON d.rid = r.k GROUP BY r.rid)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)
+"""

@@ -8,7 +8,7 @@ from gossamr.llm.line_dedup import OP9_SQL, op9_line_dedup
 from gossamr.llm.lm_scoring import OP10_SQL, op10_lm_scoring
 from gossamr.llm.order_minhash import op5_fingerprints
 from gossamr.llm.packing import op3_packing
-from gossamr.llm.parity_join import op6_jaccard_join
+from gossamr.llm.parity_join import OP6_SQL, op6_jaccard_join
 from gossamr.llm.pii import op1_pii
 from gossamr.llm.quality_rules import op8_quality_rules
 from gossamr.llm.warc import OP4_SQL, op4_warc
@@ -27,6 +27,7 @@ QUERIES = {
 }
 ORACLES = {
     "op4_warc": OP4_SQL,
+    "op6_jaccard_join": OP6_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_lm_scoring": OP10_SQL,
 }

@@ -103,3 +103,12 @@ def test_widths_far_apart_are_compared(spark):
     docs = [(1, " ".join(many)), (2, " ".join(many[:188])), (3, " ".join(many[:200])), (4, " ".join(many[:187]))]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in pj.jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), 1, 50, 100).collect()}
     assert got == brute(docs, 1, 50, 100)
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    con, d = duckdb.connect(), "/root/testdata/sf0.01"
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet'")
+    df, want = pj.op6_jaccard_join(spark, d), con.sql(pj.OP6_SQL)
+    assert df.columns == want.columns and sorted(map(tuple, df.collect())) == sorted(want.fetchall())
