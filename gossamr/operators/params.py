@@ -33,7 +33,9 @@ def _params(groups: DataFrame) -> DataFrame:
 
 
 def score_pairs(groups: DataFrame) -> DataFrame:
-    """(nameval, agreement, irrelevancy) by comparing each pair of a group: the rule as it is stated, for small groups."""
+    """(nameval, agreement, irrelevancy) by comparing each pair of a group: the rule as it is stated. For small groups
+    only, whose size is bounded by the caller; score() gives the same by counting.
+    """
     rows = _params(groups).select("group_id", "url_id", "params")
     a, b = rows.select("group_id", F.col("url_id").alias("i"), F.col("params").alias("p")), rows.select("group_id", F.col("url_id").alias("j"), F.col("params").alias("q"))
     pairs = a.join(b, "group_id").filter("i < j and p <> q")

@@ -503,11 +503,6 @@ def head_split(spark, d):
 SCORES = f"WITH {GROUPS}, pr AS (SELECT to_set, head, url_id, list_sort(string_split(regexp_extract(url, '[?](.*)$', 1), '&')) AS p FROM grp), ij AS (SELECT a.p AS p, b.p AS q FROM pr a JOIN pr b ON a.to_set = b.to_set AND a.head = b.head AND a.url_id < b.url_id AND a.p <> b.p), ev AS (SELECT unnest(list_distinct(list_concat(p, q))) AS nameval, p, q FROM ij) SELECT nameval, count(*) FILTER (WHERE list_contains(p, nameval) AND list_contains(q, nameval)) AS agreement, count(*) FILTER (WHERE NOT (list_contains(p, nameval) AND list_contains(q, nameval))) AS irrelevancy FROM ev GROUP BY 1"
 
 
-@query(SCORES)
-def param_scores(spark, d):
-    return params.score_pairs(_groups(spark, d))
-
-
 @query(SCORES)
 def param_scores_counting(spark, d):
     return params.score(_groups(spark, d))

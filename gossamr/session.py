@@ -34,20 +34,20 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 _SHIPPED: set[str] = set()
-#: Rows and bytes of a batch that goes to Python, where the session does not say: texts are long.
-BATCH_ROWS, BATCH_BYTES = "1000", "8m"
+#: What bounds the memory of passes over texts, where the session does not say: rows and bytes of a batch that goes to
+#: Python, rows that a Parquet reader decodes at a time.
+BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.parquet.columnarReaderBatchSize": "1024"}
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python, once for each application; it need not be installed there.
 
-    Also keeps Arrow batches small, unless the session sets their size itself.
+    Also keeps batches small, unless the session sets their size itself.
     """
     app = spark.sparkContext.applicationId
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    for key, value in BOUNDS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     if app in _SHIPPED:
         return
     top, folder = Path(__file__).parent, tempfile.mkdtemp(prefix="gossamr-")
