@@ -45,6 +45,10 @@ BAND, SPARE = 1.4, 0.25
 SEEDS = 6
 #: Nodes of a bucket that are compared in one block.
 BLOCK = 2048
+#: Keys of the most rows that are looked for, and counters of a task that looks.
+HEAVY, COUNTERS = 1000, 20_000
+#: What is known of a key from all its nodes.
+OF_KEY = {"size": "count(1)", "pivot": "min(node)", "mark": "bit_xor(xxhash64(node))"}
 #: Set hashes a task keeps to emit the segments of copies only once.
 SEEN = 500_000
 #: Rounds in which blocks emit forests, and unlinked pairs that are sent to the blocks, before all pairs are verified.
@@ -174,16 +178,32 @@ def features(docs: DataFrame, k: int, p: int, q: int) -> DataFrame:
     return emit(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), ["doc_id", "text_key", "text"], fields, start)
 
 
-def buckets(feats: DataFrame) -> DataFrame:
-    """(bucket, size, pivot, node, shared): nodes with a segment value in common, one bucket for each set of nodes."""
-    rows = feats.filter("keys is not null").select("node", F.explode("keys").alias("key"))
-    each = rows.repartition("key").dropDuplicates(["key", "node"])
-    counted = _over_keys(each)
-    return counted.filter("size > 1").groupBy(F.xxhash64("size", "pivot", "mark").alias("bucket"), "size", "pivot", "node").agg(F.count("*").alias("shared"))
+def _heavy(rows: DataFrame) -> DataFrame:
+    """(key): of the keys of rows at most HEAVY that seem to have over BLOCK rows; those of most rows are among them.
+
+    Tasks count with COUNTERS counters each, so that a key missed has a share of the rows of about 4 / COUNTERS at most.
+    """
+    dealt = rows.select("key", F.pmod(F.spark_partition_id(), F.lit(64)).alias("part"))
+    parts = dealt.groupBy("part").agg(F.expr(f"approx_top_k(key, {HEAVY}, {COUNTERS})").alias("top"))
+    top = parts.select(F.explode("top").alias("top")).groupBy(F.col("top.item").alias("key")).agg(F.sum("top.count").alias("seen"))
+    return top.filter(F.col("seen") > BLOCK).orderBy(F.desc("seen"), "key").limit(HEAVY).select("key")
 
 
-def _over_keys(each: DataFrame) -> DataFrame:
-    return each.select("node", F.expr("count(1) over (partition by key)").alias("size"), F.expr("min(node) over (partition by key)").alias("pivot"), F.expr("bit_xor(xxhash64(node)) over (partition by key)").alias("mark"))
+def buckets(feats: DataFrame) -> DataFrame:
+    """(bucket, size, pivot, node, shared): nodes with a segment value in common, one bucket for each set of nodes.
+
+    Keys of few rows are read key by key. A key that many rows hold is never in one task: its rows are dealt by key and
+    node, its size, pivot and mark are summed before they meet, and come back by a broadcast of at most HEAVY rows.
+    """
+    rows = feats.filter("keys is not null").select("node", F.explode("keys").alias("key"))
+    heavy = F.broadcast(materialize(_heavy(rows), "parity-heavy"))
+    each = rows.join(heavy, "key", "left_anti").repartition("key").dropDuplicates(["key", "node"])
+    counted = each.select("node", *(F.expr(f"{x} over (partition by key)").alias(c) for c, x in OF_KEY.items())).filter("size > 1")
+    if not heavy.isEmpty():
+        spread = materialize(rows.join(heavy, "key").distinct(), "parity-spread")
+        of_key = spread.groupBy("key").agg(*(F.expr(x).alias(c) for c, x in OF_KEY.items())).filter("size > 1")
+        counted = counted.unionByName(spread.join(F.broadcast(of_key), "key").drop("key"))
+    return counted.groupBy(F.xxhash64("size", "pivot", "mark").alias("bucket"), "size", "pivot", "node").agg(F.count("*").alias("shared"))
 
 
 def _folded(x: bytes, y: bytes) -> int:
@@ -348,15 +368,19 @@ def _crossing(members: DataFrame, wanted: DataFrame | None, labels: DataFrame, s
     """Pairs of nodes that share a bucket, are of different components and may be linked, with the bucket; see _block_pairs.
 
     wanted: the buckets to look at, or None for all. They are marked among the members, and found in the same pass
-    over each bucket that tells whether it holds several components.
+    over each bucket that tells whether it holds several components. Large buckets are told by sums instead of a pass.
     """
     known = members.join(sized(labels), "node", "left").select("node", "bucket", "size", F.coalesce("component", "node").alias("component"))
-    several = "min(component) over (partition by bucket) <> max(component) over (partition by bucket)"
+    several = "min(component) {0} <> max(component) {0}"
     if wanted is not None:
         known = known.unionByName(wanted.select("bucket").distinct(), allowMissingColumns=True)
-        several += " and count(1) over (partition by bucket) > count(node) over (partition by bucket)"
-    spread = known.repartition("bucket").select("*", F.expr(several).alias("open")).filter("node is not null")
-    rows = spread.filter("open").drop("open").join(sketches, "node")
+        several += " and count(1) {0} > count(node) {0}"
+    # a bucket of over BLOCK nodes is summed before it meets, and not read by one task; a wanted one has a row in both
+    spread = known.filter(F.coalesce("size", F.lit(0)) <= BLOCK).repartition("bucket")
+    rows = spread.select("*", F.expr(several.format("over (partition by bucket)")).alias("open")).filter("open and node is not null").drop("open")
+    many = known.filter(F.coalesce("size", F.lit(BLOCK + 1)) > BLOCK)
+    opened = materialize(many.groupBy("bucket").agg(F.expr(several.format("")).alias("open")).filter("open").select("bucket"), "parity-open")
+    rows = rows.unionByName(many.filter("node is not null").join(sized(opened), "bucket", "left_semi")).join(sketches, "node")
     chunks = F.ceil(F.col("size") / F.lit(BLOCK // 2)).cast("int")
     small = rows.filter(F.col("size") <= BLOCK).select("*", F.col("bucket").alias("block"), F.lit(False).alias("across"), F.lit(0).alias("half"))
     large = rows.filter(F.col("size") > BLOCK).withColumn("half", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))

@@ -88,6 +88,21 @@ def test_edges(spark, edge_docs, no_docs):
     assert sorted(i for i in ids if i is not None) == [1, 1, 2, 3, 4, 5, 6, 7] and ids.count(None) == 2
 
 
+def test_keys_of_many_rows_are_dealt_out_and_lose_nothing(spark, words, monkeypatch):
+    """Keys and buckets over BLOCK take the way of sums; buckets are the same as by windows alone."""
+    docs = near_copies(words, 11, 2, 60)
+    feats = pj.features(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), 4, 85, 100).cache()
+    plain = sorted(map(tuple, pj.buckets(feats).collect()))
+    monkeypatch.setattr(pj, "BLOCK", 5)
+    assert pj._heavy(feats.select("node", pj.F.explode("keys").alias("key"))).count()
+    assert sorted(map(tuple, pj.buckets(feats).collect())) == plain
+    monkeypatch.setattr(pj, "HEAVY", 2)
+    assert sorted(map(tuple, pj.buckets(feats).collect())) == plain
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in pj.jaccard_join(df, 4, 85, 100).collect()} == brute(docs, 4, 85, 100)
+    feats.unpersist()
+
+
 def test_rows_are_told_apart_by_id_and_text(spark, words):
     a, b, c = (" ".join(f"{w}{t}{i}" for i, w in enumerate(words)) for t in "abc")
     rows = [(1, a), (1, b), (2, c)]
