@@ -26,13 +26,15 @@ from gossamr.session import materialize
 END = 0
 #: Texts with only these characters are encoded by the quicker of the two libraries, which agree on them.
 LATIN = re.compile("[^\x00-ɏ]")
+#: Runs of blanks that the quicker one cannot split any more: its pattern goes back over each of them.
+BLANKS = re.compile(r"\s{4096}")
 
 
 class Encoder:
     """ids of texts as the tokenizers library makes them from a file, without added special tokens.
 
-    Merging is tiktoken's for texts of basic Latin characters, from the same file's vocabulary; all other texts go
-    through tokenizers itself.
+    Merging is tiktoken's for texts of basic Latin characters, from the same file's vocabulary; all other texts, and
+    those with very long runs of blanks, go through tokenizers itself. Texts of any length are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -61,7 +63,7 @@ class Encoder:
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             ids = []
-        elif LATIN.search(text):
+        elif LATIN.search(text) or BLANKS.search(text):
             ids = self.exact.encode(text, add_special_tokens=False).ids
         else:
             ids = self.quick.encode(text, allowed_special="all")

@@ -54,6 +54,12 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octet(digits: str) -> bool:
+    """Whether digits, of any number, are at most 255."""
+    own = digits.lstrip("0")
+    return len(own) < 3 or len(own) == 3 and own <= "255"
+
+
 def _emails(text: str) -> list[tuple[int, int]]:
     """Matches of [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+, found from each @ so that long runs cost no more."""
     found, end, at = [], 0, text.find("@")
@@ -74,7 +80,7 @@ def base_spans(text: str | None) -> list[tuple[int, int, str]]:
     if not text:
         return []
     out = [(s, e, "email") for s, e in _emails(text)]
-    out += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split("."))]
+    out += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(_octet(x) for x in m[0].split("."))]
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 14 <= len(digits) <= 19 and _luhn(digits):

@@ -112,3 +112,16 @@ def test_edges(spark, edge_docs, no_docs):
     assert sum(r.piece == 0 for r in rows) == 11
     assert sum(r.length == 1 for r in rows if r.doc_id in (2, 3)) == 2
     assert packing.pack_documents(no_docs, PATH).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, " \n" * 500_000, "a" + "\t" * 4096 + "b", "word " * 50 + "0" * 5000 + ".1.1.1"])
+def test_runs_of_blanks_and_digits_are_encoded_whole(text):
+    want = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert packing.loaded(PATH)(text).tolist() == [*want, 0]
+
+
+def test_query_packs_runs_of_blanks(spark, tmp_path):
+    texts = {1: " " * 1_000_000, 2: " \n" * 500_000, 3: "0" * 5000 + ".1.1.1", 4: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    used, bound = check(packing.op3_packing(spark, str(tmp_path)).collect(), texts, 2048)
+    assert used <= bound + 1

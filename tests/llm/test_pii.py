@@ -171,3 +171,11 @@ def test_secrets_are_tokens_of_much_information():
 def test_spans_of_the_tables_come_from_the_method_too(spark, data):
     kinds = {x.split(":")[0] for r in pii.op1_pii(spark, data.replace("sf0.001", "sf0.01")).collect() for x in r.spans.split(",") if x}
     assert {"email", "ip", "card", "phone", "secret"} < kinds and kinds & {"generalised", "removed"}
+
+
+def test_long_digit_runs_are_compared_not_parsed(spark, tmp_path):
+    zeros = "0" * 5000
+    texts = [f"{zeros}.1.1.1", f"{zeros}255.1.1.1 {zeros}256.1.1.1", f"1.1.1.{zeros}7", "9" * 5000 + ".1.1.1", " " * 1_000_000, " \n" * 500_000]
+    assert [[(s, e, k) for s, e, k in pii.base_spans(t) if k == "ip"] for t in texts] == [[(0, 5006, "ip")], [(0, 5009, "ip")], [(0, 5007, "ip")], [], [], []]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_ip for r in pii.op1_pii(spark, str(tmp_path)).collect()} == {0: 1, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}

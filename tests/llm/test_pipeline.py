@@ -56,6 +56,15 @@ def test_run_ends_in_packed_documents(spark, data):
     assert {"doc_id", "sequence_id", "offset"} <= set(rows.columns) and rows.count() > 0
 
 
+def test_very_long_runs_pass_every_stage(spark, words):
+    prose = [" ".join(words[(i * k + k) % 20] + str(i * k) for k in range(1, 120)) for i in range(1, 5)]
+    texts = [prose[0] + " " + "0" * 5000 + ".1.1.1", prose[1] + " " * 1_000_000, prose[2] + " \n" * 500_000, prose[3]]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[1:]:  # the first one drops documents of one long word
+        docs = stage(spark, docs, "").persist()
+    assert {r.doc_id for r in docs.collect()} == {0, 1, 2, 3}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_agrees(spark, data, name):
     con = duckdb.connect()
