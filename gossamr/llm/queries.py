@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gossamr.llm.byte_bpe import op7_byte_bpe
+from gossamr.llm.chat_format import OP12_SQL, op12_chat_format
 from gossamr.llm.licenses import op2_licenses
 from gossamr.llm.line_dedup import OP9_SQL, op9_line_dedup
 from gossamr.llm.lm_scoring import OP10_SQL, op10_lm_scoring
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_chat_format": op12_chat_format,
 }
 ORACLES = {
     "op4_warc": OP4_SQL,
     "op6_jaccard_join": OP6_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_lm_scoring": OP10_SQL,
+    "op12_chat_format": OP12_SQL,
 }
