@@ -12,6 +12,7 @@ from gossamr.llm.packing import op3_packing
 from gossamr.llm.parity_join import OP6_SQL, op6_jaccard_join
 from gossamr.llm.pii import op1_pii
 from gossamr.llm.quality_rules import op8_quality_rules
+from gossamr.llm.spelling import OP13_SQL, op13_spelling
 from gossamr.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_lm_scoring": op10_lm_scoring,
     "op12_chat_format": op12_chat_format,
+    "op13_spelling": op13_spelling,
 }
 ORACLES = {
     "op4_warc": OP4_SQL,
@@ -33,4 +35,5 @@ ORACLES = {
     "op9_line_dedup": OP9_SQL,
     "op10_lm_scoring": OP10_SQL,
     "op12_chat_format": OP12_SQL,
+    "op13_spelling": OP13_SQL,
 }
