@@ -7,6 +7,7 @@ from gossamr.llm.chat_format import OP12_SQL, op12_chat_format
 from gossamr.llm.licenses import op2_licenses
 from gossamr.llm.line_dedup import OP9_SQL, op9_line_dedup
 from gossamr.llm.lm_scoring import OP10_SQL, op10_lm_scoring
+from gossamr.llm.log_replay import OP11_SQL, op11_log_replay
 from gossamr.llm.order_minhash import op5_fingerprints
 from gossamr.llm.packing import op3_packing
 from gossamr.llm.parity_join import OP6_SQL, op6_jaccard_join
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_log_replay": op11_log_replay,
     "op12_chat_format": op12_chat_format,
     "op13_spelling": op13_spelling,
 }
@@ -34,6 +36,7 @@ ORACLES = {
     "op6_jaccard_join": OP6_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_lm_scoring": OP10_SQL,
+    "op11_log_replay": OP11_SQL,
     "op12_chat_format": OP12_SQL,
     "op13_spelling": OP13_SQL,
 }

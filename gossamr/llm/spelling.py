@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gossamr.llm.common import emit, field
+from gossamr.llm.common import CRC_SQL, crc_sql, emit, field
 from gossamr.session import discard, materialize, ship
 
 #: Runs of letters, after A-Z became lower case.
@@ -290,19 +290,6 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(materialize(vocabulary(docs), "spelling-vocabulary"), min_chars=5)
 
 
-#: Unsigned CRC-32 in SQL: its byte table, and crc(text) as a fold over the text's UTF-8 bytes.
-CRC_SQL = r"""
-RECURSIVE bits AS (SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS k FROM range(256) r(i) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
-crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM bits WHERE k = 8)
-"""
-
-
-def crc_sql(text: str) -> str:
-    """The expression of the checksum of a text expression, in a query with crc_table."""
-    byte_list = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: CAST('0x' || b AS BIGINT))"
-    return f"xor(list_reduce({byte_list}, lambda a, b: xor(a >> 8, crcs[1 + (xor(a, b) & 255)]), 4294967295::BIGINT), 4294967295)"
-
-
 OP13_SQL = f"""
 WITH {CRC_SQL},
 runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
