@@ -1,7 +1,7 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each rule compares one measure of a text with a cutoff from a grid that is fixed beforehand. The labelled documents of a
-stratum (language) are split by a hash of their id. From the smaller part a path is designed: steps that make one rule
+stratum (language), of which those of one text count once, are split by a hash of the text. From the smaller part a path is designed: steps that make one rule
 after the other stricter, those first that reject the smallest share of good documents, so that what a step rejects
 contains what the steps before it do. The larger part is the holdout: the path is walked, and a step counts as
 certified while an exact binomial test rejects "more than alpha of the good documents fail this step or one before".
@@ -37,7 +37,7 @@ RULES = [
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_bangs"]
 #: One in DESIGN labelled documents designs the paths, the others are the holdout.
 DESIGN = 3
-#: Languages that can get cutoffs, and the name of the stratum of those that are too small alone.
+#: Languages that can be a stratum of their own, those of most labels, and the name of the stratum that all others share.
 LANGUAGES, POOL = 200, "*"
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -133,15 +133,16 @@ def design(good: dict[str, list[int]], bad: dict[str, list[int]], weight: float)
     return [(rule, i) for _, _, rule, i in sorted(steps)]
 
 
-def strata_of(good: dict[str | None, int], alpha: float, delta: float) -> tuple[dict[str | None, str | None], float]:
+def strata_of(good: dict[str | None, int], alpha: float, delta: float, others: int = 0) -> tuple[dict[str | None, str | None], float]:
     """Which languages make which stratum (POOL: the pooled one; languages left out get no cutoffs), and each test's level.
 
-    good: good documents of the holdout by language. Only these numbers decide, not which documents fail.
+    good: good documents of the holdout by language; others: those of all further languages, that can only be pooled.
+    Only these numbers decide, not which documents fail.
     """
     own = [x for x, n in good.items() if n >= needed(alpha, delta / max(1, len(good)))]
     rest = [x for x in good if x not in own]
-    level = delta / (len(own) + (1 if rest else 0)) if good else delta
-    pooled = rest if sum(good[x] for x in rest) >= needed(alpha, level) else []
+    level = delta / (len(own) + (1 if rest or others else 0)) if good else delta
+    pooled = rest if others + sum(good[x] for x in rest) >= needed(alpha, level) else []
     return {x: x for x in own} | dict.fromkeys(pooled, POOL), level
 
 
@@ -169,36 +170,75 @@ def _first_failed(path: list[tuple[str, int]]) -> Column:
     return F.least(*firsts) if len(firsts) > 1 else firsts[0]
 
 
+def _among(languages: list) -> Column:
+    """Whether a row's language is one of a list, that may hold null."""
+    named = [x for x in languages if x is not None]
+    return F.coalesce(F.col("lang").isin(named), F.lit(False)) | (F.col("lang").isNull() if None in languages else F.lit(False))
+
+
+def _texts(labelled: DataFrame) -> DataFrame:
+    """The labelled texts that the base rules keep: a row for each text of a language, good if none of its labels is bad."""
+    key = F.col("text_key") if "text_key" in labelled.columns else F.xxhash64("text")
+    rows = labelled.filter(F.col("quality").isin(0, 1) & ~base_failed())
+    once = rows.groupBy("lang", key.alias("_text"), *MEASURES).agg((F.min("quality") == 1).alias("_good"))
+    return once.select("lang", "_good", (F.pmod(F.xxhash64("_text"), F.lit(DESIGN)) == 0).alias("_design"), *[_levels(*r).alias(f"_level_{r[0]}") for r in RULES])
+
+
 def fit(labelled: DataFrame, alpha: float = 0.05, delta: float = 0.05, weight: float = 5.0) -> dict[str | None, dict[str, float]]:
-    """Cutoffs by language. labelled: doc_id, MEASURES, lang, quality (1 good, 0 bad); null quality is left out.
+    """Cutoffs by language, of the LANGUAGES with most labels. labelled: doc_id, text or text_key (its hash), MEASURES,
+    lang, quality (1 good, 0 bad); null quality is left out. See cutoff_table() for all languages.
+    """
+    return _fitted(_texts(labelled), alpha, delta, weight)[0]
+
+
+def cutoff_table(labelled: DataFrame, alpha: float = 0.05, delta: float = 0.05, weight: float = 5.0) -> DataFrame:
+    """(_stratum: language, _cut_<rule>) of every language with cutoffs: those of fit(), and all further ones as pooled."""
+    rows = materialize(_texts(labelled), "quality-texts")
+    cutoffs, known, pooled = _fitted(rows, alpha, delta, weight)
+    table = _table(labelled.sparkSession, cutoffs)
+    if pooled is None:
+        return table
+    further = rows.filter(F.col("_good") & ~F.col("_design") & ~_among(known)).select(F.col("lang").alias("_stratum")).distinct()
+    return table.unionByName(further.select("_stratum", *[F.lit(pooled.get(rule)).cast("double").alias(f"_cut_{rule}") for rule, _, _ in RULES]))
 
-    Three aggregations over all labelled rows. To the driver come the number of good documents of each of the LANGUAGES
-    that have most, and of these a row of counts for each rule and level, and for each stratum and step.
+
+def _table(spark: SparkSession, cutoffs: dict[str | None, dict[str, float]]) -> DataFrame:
+    schema = T.StructType([T.StructField("_stratum", T.StringType()), *[T.StructField(f"_cut_{rule}", T.DoubleType()) for rule, _, _ in RULES]])
+    return spark.createDataFrame([(lang, *[cut.get(rule) for rule, _, _ in RULES]) for lang, cut in cutoffs.items()], schema)
+
+
+def _fitted(rows: DataFrame, alpha: float, delta: float, weight: float) -> tuple[dict, list, dict | None]:
+    """Cutoffs by language, the languages looked at one by one, and the cutoffs of all others, if they are pooled.
+
+    Aggregations over all labelled texts. To the driver come the number of good texts of each of the LANGUAGES that have
+    most and of all others together, and of strata a row of counts for each rule and level, and for each step.
     """
-    rows = labelled.filter(F.col("quality").isin(0, 1) & ~base_failed())
-    rows = rows.select("lang", (F.col("quality") == 1).alias("_good"), (F.pmod(F.xxhash64("doc_id"), F.lit(DESIGN)) == 0).alias("_design"), *[_levels(*r).alias(f"_level_{r[0]}") for r in RULES])
-    held = rows.filter("_good and not _design").groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    strata, level = strata_of({r["lang"]: r["n"] for r in held}, alpha, delta)
-    each = rows.filter("_design").select("lang", "_good", F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(f"_level_{rule}").alias("level")) for rule, _, _ in RULES])).alias("_x"))
-    wanted = F.lit(False)
-    for lang in strata:
-        wanted = wanted | F.col("lang").eqNullSafe(F.lit(lang))
-    found = each.filter(wanted).groupBy("lang", "_good", "_x.rule", "_x.level").agg(F.count("*").alias("n")).collect()
-    names = list(dict.fromkeys(strata.values()))
-    total = lambda name, good: {rule: [sum(r["n"] for r in found if r["rule"] == rule and r["level"] <= i and r["_good"] == good and strata[r["lang"]] == name) for i in range(len(grid))] for rule, _, grid in RULES}
-    paths = [design(total(name, True), total(name, False), weight) for name in names]
+    good = rows.filter("_good and not _design")
+    held = good.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    known = [r["lang"] for r in held]
+    others = good.filter(~_among(known)).count() if len(held) == LANGUAGES else 0
+    strata, level = strata_of({r["lang"]: r["n"] for r in held}, alpha, delta, others)
+    own = [x for x in strata if strata[x] != POOL]
+    pool = [x for x in strata if strata[x] == POOL]
+    small = sum(r["n"] for r in held if r["lang"] not in own)
+    use_rest = others > 0 and others + small >= needed(alpha, level)
+    is_pooled = _among(pool) | (~_among(known) if use_rest else F.lit(False))
+    names = [*own, *([POOL] if pool or use_rest else [])]
+    place = F.when(is_pooled, F.lit(len(own)))
+    for k, name in enumerate(own):
+        place = F.when(F.col("lang").eqNullSafe(F.lit(name)), F.lit(k)).otherwise(place)
+    rows = rows.withColumn("_stratum", place).filter("_stratum is not null")
+    each = rows.filter("_design").select("_stratum", "_good", F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(f"_level_{rule}").alias("level")) for rule, _, _ in RULES])).alias("_x"))
+    found = each.groupBy("_stratum", "_good", "_x.rule", "_x.level").agg(F.count("*").alias("n")).collect()
+    total = lambda k, good: {rule: [sum(r["n"] for r in found if r["rule"] == rule and r["level"] <= i and r["_good"] == good and r["_stratum"] == k) for i in range(len(grid))] for rule, _, grid in RULES}
+    paths = [design(total(k, True), total(k, False), weight) for k in range(len(names))]
+    none = {} if use_rest else None
     if not any(paths):
-        return {lang: {} for lang in strata}
-    place = F.lit(None).cast("int")
-    for k, name in enumerate(names):
-        inside = F.lit(False)
-        for lang in (x for x in strata if strata[x] == name):
-            inside = inside | F.col("lang").eqNullSafe(F.lit(lang))
-        place = F.when(inside, F.lit(k)).otherwise(place)
+        return {lang: {} for lang in strata}, known, none
     first = F.lit(0)
     for k, path in enumerate(paths):
         first = F.when(F.col("_stratum") == k, _first_failed(path)).otherwise(first)
-    judged = rows.filter("not _design").withColumn("_stratum", place).filter("_stratum is not null").withColumn("_first", first)
+    judged = rows.filter("not _design").withColumn("_first", first)
     tally = {(r["_stratum"], r["_first"]): (r["good"], r["bad"]) for r in judged.groupBy("_stratum", "_first").agg(F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad")).collect()}
     out: dict = {}
     for k, (name, path) in enumerate(zip(names, paths, strict=True)):
@@ -207,23 +247,22 @@ def fit(labelled: DataFrame, alpha: float = 0.05, delta: float = 0.05, weight: f
         steps = certified(lost, sum(x[0] for x in each), alpha, level)
         best = max(range(steps), key=lambda i: (caught[i] - weight * lost[i], -i), default=-1)
         cutoffs = {rule: dict((r, g) for r, _, g in RULES)[rule][i] for rule, i in path[: best + 1]}
-        out |= {lang: cutoffs for lang in strata if strata[lang] == name}
-    return out
+        out |= {name: cutoffs} if k < len(own) else dict.fromkeys(pool, cutoffs)
+        none = cutoffs if use_rest and k == len(own) else none
+    return out, known, none
 
 
-def judge(measured: DataFrame, cutoffs: dict[str | None, dict[str, float]]) -> DataFrame:
-    """measured (lang, MEASURES and other columns) with base_failed and kept appended.
+def judge(measured: DataFrame, cutoffs: dict[str | None, dict[str, float]] | DataFrame) -> DataFrame:
+    """measured (lang, MEASURES and other columns) with base_failed and kept appended. cutoffs: from fit() or cutoff_table().
 
     Languages without cutoffs keep all that the base rules keep.
     """
-    spark = measured.sparkSession
-    schema = T.StructType([T.StructField("_stratum", T.StringType()), *[T.StructField(f"_cut_{rule}", T.DoubleType()) for rule, _, _ in RULES]])
-    table = spark.createDataFrame([(lang, *[cut.get(rule) for rule, _, _ in RULES]) for lang, cut in cutoffs.items()], schema)
-    joined = measured.join(F.broadcast(table), F.col("lang").eqNullSafe(F.col("_stratum")), "left")  # at most LANGUAGES rows
+    table = _table(measured.sparkSession, cutoffs) if isinstance(cutoffs, dict) else materialize(cutoffs, "quality-cutoffs")
+    joined = measured.join(sized(table), F.col("lang").eqNullSafe(F.col("_stratum")), "left")
     fails = F.lit(False)
     for rule, side, _ in RULES:
         fails = fails | F.coalesce(_fails(rule, side, F.col(f"_cut_{rule}")), F.lit(False))
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~fails).drop(*schema.names)
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~fails).drop(*table.columns)
 
 
 def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -238,7 +277,7 @@ def filter_documents(docs: DataFrame, labels: DataFrame, alpha: float = 0.05, de
     Null and empty texts are rejected. Rows that repeat are judged alike; of several labels of an id the lowest counts
     for all its rows. An empty table gives an empty one; columns with the names of measures stay as they are.
     """
-    cutoffs = fit(materialize(measure(with_quality(docs.select("doc_id", "text", "lang"), labels)).drop("text"), "quality-labelled"), alpha, delta)
+    cutoffs = cutoff_table(measure(with_quality(docs.select("doc_id", "text", "lang"), labels)), alpha, delta)
     renamed = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c not in ("text", "lang")}
     measured = measure(docs.select("text", "lang", *[F.col(f"`{c}`").alias(name) for c, name in renamed.items()]))
     return judge(measured, cutoffs).filter("kept").select(*[F.col(renamed.get(c, c)).alias(c) for c in docs.columns])
@@ -248,10 +287,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the base measures, base_failed and kept for every document.
 
     Null and empty texts have no words and fail. An empty table gives an empty one; without labels only the base
-    rules reject. A repeated row is judged again, with the same result.
+    rules reject. A repeated row is judged again, with the same result, and changes no cutoff.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    measured = materialize(measure(docs).drop("text"), "quality-measures")
-    cutoffs = fit(with_quality(measured, labels))
+    measured = materialize(measure(docs).withColumn("text_key", F.xxhash64("text")).drop("text"), "quality-measures")
+    cutoffs = cutoff_table(with_quality(measured, labels))
     return judge(measured, cutoffs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

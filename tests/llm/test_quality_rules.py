@@ -4,6 +4,7 @@ from math import comb
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gossamr.llm import quality_rules as qr
 
@@ -58,6 +59,8 @@ def test_small_languages_are_pooled_by_their_numbers_alone():
     assert qr.strata_of({"en": 500, "de": 40, "fr": 50, None: 3}, 0.05, 0.05) == ({"en": "en", "de": "*", "fr": "*", None: "*"}, 0.025)
     assert qr.strata_of({"en": 500, "de": 4}, 0.05, 0.05) == ({"en": "en"}, 0.025)
     assert qr.strata_of({}, 0.05, 0.05) == ({}, 0.05)
+    assert qr.strata_of({"en": 500, "de": 4}, 0.05, 0.05, others=200) == ({"en": "en", "de": "*"}, 0.025)
+    assert qr.strata_of({"en": 500}, 0.05, 0.05, others=10) == ({"en": "en"}, 0.025)
 
 
 def test_no_stratum_loses_more_than_alpha_but_for_a_share_delta_of_draws():
@@ -75,11 +78,13 @@ def test_no_stratum_loses_more_than_alpha_but_for_a_share_delta_of_draws():
 
 
 def test_cutoffs_of_the_tables_are_certified(spark):
-    """At this size the language with most labels gets its own cutoffs, the others share the pool's."""
+    """At this size the language with most labels gets cutoffs; the pool of the others has 70 texts in its holdout, two too few."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     cutoffs = qr.fit(qr.measure(qr.with_quality(docs, labels)))
-    assert set(cutoffs) == {"en", "de", "es", "fr"} and all(cutoffs.values())
+    held = {r.lang: r.n for r in qr._texts(qr.measure(qr.with_quality(docs, labels))).filter("_good and not _design").groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert set(cutoffs) == set(qr.strata_of(held, 0.05, 0.05)[0]) == {"en"} and all(cutoffs.values())
+    assert sum(n for lang, n in held.items() if lang != "en") == 70 < qr.needed(0.05, 0.025)
     measured = qr.measure(docs).drop("text").collect()
     good = {r.doc_id for r in labels.filter("quality = 1").collect()} - {r.doc_id for r in labels.filter("quality = 0").collect()}
     ratio = {"symbol_ratio": lambda r: r.n_symbols / max(1, r.n_words), "dup_line_ratio": lambda r: r.n_dup_lines / max(1, r.n_lines), "repeat_ratio": lambda r: r.n_repeat_words / max(1, r.n_words), "long_word_mean": lambda r: r.word_chars / max(1, r.n_words), "short_word_mean": lambda r: r.word_chars / max(1, r.n_words), "upper_ratio": lambda r: r.n_upper / max(1, r.n_letters), "bang_ratio": lambda r: r.n_bangs / max(1, r.n_words)}
@@ -111,3 +116,37 @@ def test_edges(spark, edge_docs, no_docs):
     kept = qr.filter_documents(edge_docs, labels)
     assert kept.columns == edge_docs.columns and {r.doc_id for r in kept.collect()} == {4}
     assert qr.filter_documents(no_docs, labels).count() == 0
+
+
+def labelled_texts(words, langs, each, seed=5):
+    rng = random.Random(seed)
+    rows = []
+    for lang in langs:
+        clean = [" ".join(f"{rng.choice(words)}{rng.randint(0, 99)}" for _ in range(60)) for _ in range(each)]
+        rows += [(lang, t, 1) for t in clean] + [(lang, " ".join(w + "##" for w in t.split()), 0) for t in clean[: each // 3]]
+    return [(i, *r) for i, r in enumerate(rows)]
+
+
+def test_repeated_rows_change_no_cutoff(spark, words):
+    """Eight copies of a table, under the same ids and under new ones, have the certificates of one."""
+    rows = labelled_texts(words, ["en", "fr"], 90)
+    table = lambda times, step: spark.createDataFrame([(i + k * step, t, lang) for i, lang, t, _ in rows for k in range(times)], "doc_id long, text string, lang string")
+    label = lambda times, step: spark.createDataFrame([(i + k * step, q) for i, _, _, q in rows for k in range(times)], "doc_id long, quality int").distinct()
+    once = qr.fit(qr.measure(qr.with_quality(table(1, 0), label(1, 0))))
+    assert any(once.values())
+    for times, step in ((8, 0), (8, 10_000)):
+        assert qr.fit(qr.measure(qr.with_quality(table(times, step), label(times, step)))) == once
+
+
+def test_all_languages_beyond_the_first_ones_are_pooled(spark, words, monkeypatch):
+    monkeypatch.setattr(qr, "LANGUAGES", 2)
+    rows = labelled_texts(words, ["en"], 400) + labelled_texts(words, [f"l{i}" for i in range(30)] + [None], 12, 6)
+    docs = spark.createDataFrame([(i, t, lang) for i, (_, lang, t, _) in enumerate(rows)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, r[3]) for i, r in enumerate(rows)], "doc_id long, quality int")
+    table = {r._stratum: r.asDict() for r in qr.cutoff_table(qr.measure(qr.with_quality(docs, labels))).collect()}
+    assert table["en"]["_cut_symbol_ratio"] is not None
+    pooled = [tuple(sorted((k, v) for k, v in r.items() if k != "_stratum" and v is not None)) for x, r in table.items() if x != "en"]
+    assert len(pooled) > 25 and len(set(pooled)) == 1 and pooled[0]
+    kept = {r.doc_id for r in qr.filter_documents(docs, labels).collect()}
+    pooled_ids = {i for i, (_, lang, _, q) in enumerate(rows) if lang in table and q == 0}
+    assert len(pooled_ids) > 100 and not kept & pooled_ids
