@@ -9,7 +9,8 @@ after an epoch is a running sum of events.
 
 No window holds a stream, a key or the log. `scanned` cuts every window into chunks of neighbouring positions: each is
 scanned by itself, its summary is a row for the same scan one level up, and what that says of earlier or later chunks is
-joined back. Levels go on until all is in one chunk, so no task gets more than a chunk of one group.
+joined back. Levels go on until all is in one chunk, so no task gets more than a chunk of one group. Joins are hinted to
+sort and merge, as both sides grow with the log.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from gossamr.llm.common import CRC_SQL, crc_sql
 from gossamr.session import materialize
 
 #: Two to this power are the positions of a chunk.
-BITS = 10
+BITS = 8
 #: Kinds of records: the first two end a transaction, all but changes are markers.
 COMMIT, ABORT, SAVEPOINT, ROLLBACK, CHANGE = "commit", "abort", "savepoint", "rollback", "change"
 #: Columns of a record, in the order in which records of one position are read.
@@ -49,7 +50,7 @@ def scanned(rows: DataFrame, group: list[str], order: list[str], low: int, high:
     above = scanned(summary, group, [chunk], 0, (high >> bits) - (low >> bits), sums=sums, mins=mins, nexts=nexts, bits=bits, level=level + 1)
     above = above.select(*group, chunk, *[F.col(c).alias(f"_{c}") for c in local])
     both = {c: F.col(c) + F.col(f"_{c}") if c.startswith("sum_") else F.least(c, f"_{c}") if c.startswith("min_") else F.coalesce(c, f"_{c}") for c in local}
-    return out.join(above, [*group, chunk]).withColumns(both).select(*[c for c in rows.columns if c != chunk], *local)
+    return out.join(above.hint("merge"), [*group, chunk]).withColumns(both).select(*[c for c in rows.columns if c != chunk], *local)
 
 
 def _bounds(rows: DataFrame, column: str) -> tuple[int, int]:
@@ -107,7 +108,7 @@ def states(changes: DataFrame, commits: DataFrame, bits: int = BITS) -> DataFram
     A commit's changes apply in log order, of one position by value, null first.
     """
     numbers = commits.groupBy("seq", "stream").agg(F.min(F.struct("number", "epoch")).alias("c")).select(F.struct("seq", "stream").alias("commit"), "c.number", "c.epoch")
-    last = changes.join(numbers, "commit").groupBy("key", "epoch").agg(F.max(F.struct("number", "seq", "value")).alias("last"))
+    last = changes.join(numbers.hint("merge"), "commit").groupBy("key", "epoch").agg(F.max(F.struct("number", "seq", "value")).alias("last"))
     epochs = materialize(commits.groupBy("epoch").agg(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total")), "log-epochs")
     low, high = _bounds(epochs, "epoch")
     last = materialize(last.select("key", "epoch", "last.value", F.struct("epoch").alias("until")), "log-store")
@@ -153,7 +154,7 @@ def document_log(docs: DataFrame, labels: DataFrame) -> DataFrame:
     key = F.floor(h / 100).cast("long") % KEYS
     rows = docs.filter("doc_id is not null").select("doc_id", "source", kind.alias("kind"), F.when(kind == CHANGE, key).alias("key"), F.when(kind == CHANGE, F.crc32(F.concat(key.cast("string"), F.lit(":"), F.col("text")).cast("binary"))).alias("value"))
     toxic = labels.filter("toxic = 1").select("doc_id", F.lit(True).alias("toxic")).distinct()
-    return rows.join(toxic, "doc_id", "left").select(F.col("doc_id").alias("seq"), F.col("source").alias("stream"), "kind", "key", F.when(F.col("toxic").isNull(), F.col("value")).alias("value"))
+    return rows.join(toxic.hint("merge"), "doc_id", "left").select(F.col("doc_id").alias("seq"), F.col("source").alias("stream"), "kind", "key", F.when(F.col("toxic").isNull(), F.col("value")).alias("value"))
 
 
 def op11_log_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
