@@ -55,14 +55,16 @@ def classify(links: DataFrame, tops: DataFrame, options: Options = Options()) ->
 
 
 def _candidates(links: DataFrame, field: DataFrame, blacklist: list[str], options: Options, seq: list[str]) -> DataFrame:
-    """First arrival of each new clean URL u, with its simplified form s, whether s is known, and its place among equals of s."""
+    """First arrival of each new clean URL u, with its simplified form s, and whether it is the first of a form not known (enqueue)."""
     ok = links.filter("host_id is not null and clean_url is not null and skip_reason is null")
     first = ok.groupBy(F.col("clean_url").alias("u")).agg(F.min(F.struct(*seq)).alias("seq"), F.max("host_id").alias("host_id"))
     fresh = first.join(field.select(F.col("url").alias("u")), "u", "left_anti")
     fresh = fresh.withColumn("s", urls.simplify(F.col("u"), blacklist) if options.comp_param else F.col("u"))
-    known = field.select(F.col("url").alias("s"), F.lit(True).alias("_known")).dropDuplicates(["s"])
-    ranked = fresh.join(known, "s", "left").withColumn("_place", F.row_number().over(Window.partitionBy("s").orderBy("seq")))
-    return ranked.withColumn("enqueue", F.col("_known").isNull() & (F.col("_place") == 1)).drop("_known", "_place")
+    fresh = materialize(fresh, "admission")
+    # the first arrival of a form is a least value, so that a form that very many URLs share is summed where they are
+    least = fresh.groupBy("s").agg(F.min(F.struct("seq", "u")).alias("_least"))
+    least = least.join(field.select(F.col("url").alias("s")), "s", "left_anti").select(F.col("_least.u").alias("u"), F.lit(True).alias("_first"))
+    return fresh.join(least, "u", "left").withColumn("enqueue", F.col("_first").isNotNull()).drop("_first")
 
 
 def admit(links: DataFrame, field: DataFrame, blacklist: list[str] | None = None, options: Options = Options(), seq: tuple[str, ...] = ("page_id", "pos")) -> tuple[DataFrame, DataFrame]:
@@ -80,25 +82,41 @@ def admit(links: DataFrame, field: DataFrame, blacklist: list[str] | None = None
     return admitted, own.unionByName(phantoms)
 
 
-def novelty(admitted: DataFrame, seq: tuple[str, ...] = ("page_id", "pos")) -> DataFrame:
+def prefixes(admitted: DataFrame, seq: tuple[str, ...] = ("page_id", "pos")) -> DataFrame:
+    """(url, seq columns, _i, _prefix): the proper prefixes of each URL, by number of segments and hash."""
+    rows = admitted.withColumn("_segs", urls.segments(F.col("url"))).filter(F.size("_segs") > 1)
+    each = rows.select("url", *seq, F.explode(F.sequence(F.lit(1), F.size("_segs") - 1)).alias("_i"), "_segs")
+    return each.select("url", *seq, "_i", F.xxhash64(F.slice("_segs", F.lit(1), F.col("_i"))).alias("_prefix"))
+
+
+def prefix_counts(admitted: DataFrame) -> DataFrame:
+    """(prefix, i, n): how many of the admitted URLs have each proper prefix. Counts of batches add up."""
+    return prefixes(admitted, ()).groupBy(F.col("_prefix").alias("prefix"), F.col("_i").alias("i")).agg(F.count("*").alias("n"))
+
+
+def novelty(admitted: DataFrame, seq: tuple[str, ...] = ("page_id", "pos"), earlier: DataFrame | None = None) -> DataFrame:
     """admitted with priority: 1 and, for each proper prefix of i segments, i times the earlier URLs that share it; times 100 with a query.
 
+    earlier: prefix_counts() of all that was admitted in earlier rounds, which come first.
+
     Prefixes are keyed by their hash and length, which keeps the shuffled rows small. A prefix that many URLs share
     (all of one host) is ranked in two steps: within chunks of pages, then by the sum of earlier chunks. The admitted
     rows are used three times, so they are written once.
     """
-    rows = materialize(admitted.withColumn("_segs", urls.segments(F.col("url"))), "novelty")
-    prefixes = rows.filter(F.size("_segs") > 1).select("url", *seq, F.explode(F.sequence(F.lit(1), F.size("_segs") - 1)).alias("_i"), "_segs")
-    prefixes = prefixes.select("url", *seq, "_i", F.xxhash64(F.slice("_segs", F.lit(1), F.col("_i"))).alias("_prefix"))
+    rows = materialize(admitted, "novelty")
+    found = prefixes(rows, seq)
     chunk = F.floor(F.col(seq[0]) / 4096)
     inner = Window.partitionBy("_prefix", "_i", "_chunk").orderBy(*seq)
-    ranked = prefixes.withColumn("_chunk", chunk).withColumn("_rank", F.row_number().over(inner) - 1)
-    sums = prefixes.withColumn("_chunk", chunk).groupBy("_prefix", "_i", "_chunk").agg(F.count("*").alias("_n"))
+    ranked = found.withColumn("_chunk", chunk).withColumn("_rank", F.row_number().over(inner) - 1)
+    sums = found.withColumn("_chunk", chunk).groupBy("_prefix", "_i", "_chunk").agg(F.count("*").alias("_n"))
     before = sums.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("_prefix", "_i").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if earlier is not None:
+        old = earlier.select(F.col("prefix").alias("_prefix"), F.col("i").alias("_i"), F.col("n").alias("_old"))
+        before = before.join(old, ["_prefix", "_i"], "left").withColumn("_before", F.col("_before") + F.coalesce("_old", F.lit(0)))
     scored = ranked.join(before.select("_prefix", "_i", "_chunk", "_before"), ["_prefix", "_i", "_chunk"])
     total = scored.groupBy("url").agg(F.sum(F.col("_i") * (F.col("_rank") + F.col("_before"))).alias("_sum"))
     priority = (1 + F.coalesce("_sum", F.lit(0))) * F.when(F.contains("url", F.lit("?")), 100).otherwise(1)
-    return rows.drop("_segs").join(total, "url", "left").withColumn("priority", priority.cast("long")).drop("_sum")
+    return rows.join(total, "url", "left").withColumn("priority", priority.cast("long")).drop("_sum")
 
 
 def breadth(admitted: DataFrame, round_number: int) -> DataFrame:

@@ -215,11 +215,34 @@ def admission_field(spark, d):
     return frontier.admit(_arrivals(spark, d), _no_field(spark), ["ref=x"])[1]
 
 
-@query(f"WITH {ADMIT}, sg AS (SELECT u, seq, list_filter(regexp_split_to_array(u, '[:/.?&=,;]')[2:], lambda x: x <> '') AS g FROM ad WHERE enq), px AS (SELECT u, seq, unnest(range(1, len(g))) AS i, g FROM sg), rk AS (SELECT u, i * (row_number() OVER (PARTITION BY i, array_to_string(g[1:i], ' ') ORDER BY seq) - 1) AS w FROM px) SELECT u AS url, CAST((1 + coalesce((SELECT sum(w) FROM rk WHERE rk.u = sg.u), 0)) * CASE WHEN contains(u, '?') THEN 100 ELSE 1 END AS BIGINT) AS priority FROM sg")
+NOVELTY = f"WITH {ADMIT}, sg AS (SELECT u, seq, list_filter(regexp_split_to_array(u, '[:/.?&=,;]')[2:], lambda x: x <> '') AS g FROM ad WHERE enq), px AS (SELECT u, seq, unnest(range(1, len(g))) AS i, g FROM sg), rk AS (SELECT u, i * (row_number() OVER (PARTITION BY i, array_to_string(g[1:i], ' ') ORDER BY seq) - 1) AS w FROM px) SELECT u AS url, CAST((1 + coalesce((SELECT sum(w) FROM rk WHERE rk.u = sg.u), 0)) * CASE WHEN contains(u, '?') THEN 100 ELSE 1 END AS BIGINT) AS priority FROM sg"
+
+
+@query(NOVELTY)
 def novelty_priority(spark, d):
     return frontier.novelty(frontier.admit(_arrivals(spark, d), _no_field(spark), ["ref=x"])[0]).select("url", "priority")
 
 
+def _rounds(spark, d, n=3):
+    """The pages in n rounds, by page_id."""
+    pages = fx.table(spark, d, "pages")
+    low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
+    place = F.floor((F.col("page_id") - low) * n / (high - low + 1)) if low is not None else F.lit(0)
+    return [pages.filter(place == k) for k in range(n)]
+
+
+@query(NOVELTY)
+def novelty_rounds(spark, d):
+    """Novelty of what each round admits, from the prefix counts of the rounds before it: as if there were one round."""
+    admitted, counts, out = frontier.admit(_arrivals(spark, d), _no_field(spark), ["ref=x"])[0], None, None
+    for pages in _rounds(spark, d):
+        own = materialize(admitted.join(pages.select("page_id"), "page_id", "left_semi"), "round")
+        ranked, mine = frontier.novelty(own, earlier=counts).select("url", "priority"), frontier.prefix_counts(own)
+        out = ranked if out is None else out.unionByName(ranked)
+        counts = materialize((mine if counts is None else counts.unionByName(mine)).groupBy("prefix", "i").agg(F.sum("n").alias("n")), "round-counts")
+    return out
+
+
 @query(f"WITH {ADMIT} SELECT u AS url, CAST(7 AS BIGINT) AS priority FROM ad WHERE enq")
 def breadth_priority(spark, d):
     return frontier.breadth(frontier.admit(_arrivals(spark, d), _no_field(spark), ["ref=x"])[0], 7).select("url", "priority")
@@ -704,3 +727,42 @@ def stream_admission(spark, d):
     out = streams.admission_stream(streams.pages_stream(spark, source, pages.schema, 1), tops)
     streams.run_available(out, sink, scratch_path(spark, "stream-state"))
     return spark.read.schema(out.schema).parquet(sink)
+
+
+def _page_folder(spark, d):
+    """The pages as three files that come one after the other, in order of page_id."""
+    source = scratch_path(spark, "stream-rounds")
+    for pages in _rounds(spark, d):
+        pages.coalesce(1).write.mode("append").parquet(source)
+    return source, fx.table(spark, d, "pages").schema
+
+
+ARRIVED = ADMIT.replace(f" UNION ALL SELECT page_id, 99999, url, {_clean('url')}, {_host('url')} FROM pages", "")
+
+
+@query(f"WITH {ARRIVED} SELECT u AS url, enq AS enqueue, NOT enq AS checked FROM ad UNION ALL SELECT DISTINCT s, false, true FROM ad WHERE s <> u AND s NOT IN (SELECT u FROM ad)")
+def stream_admission_state(spark, d):
+    """Admission with simplified forms as keyed state, over three batches: what admit() makes of all links at once."""
+    from gossamr.streaming import crawl
+    from gossamr.streaming import frontier as streams
+
+    source, schema = _page_folder(spark, d)
+    sink, tops = scratch_path(spark, "stream-admitted"), materialize(fx.tops(spark, d, True), "stream-tops")
+    found = frontier.classify(links.extract(streams.pages_stream(spark, source, schema, 1)), tops)
+    rows = crawl.admission_rows(found, _no_field(spark), ["ref=x"])
+    with crawl.stateful(spark):
+        streams.run_available(rows, sink, scratch_path(spark, "stream-state"))
+    return spark.read.schema(crawl.ADMITTED).parquet(sink).select("url", "enqueue", "checked")
+
+
+@query(NOVELTY.replace(ADMIT, ARRIVED))
+def crawl_rounds(spark, d):
+    """The queue of a crawl whose pages come in three batches, the second of which runs again after the last."""
+    from gossamr.streaming import crawl
+    from gossamr.streaming import frontier as streams
+
+    source, schema = _page_folder(spark, d)
+    state = crawl.Crawl(spark, scratch_path(spark, "crawl"), materialize(fx.tops(spark, d, True), "stream-tops"), ["ref=x"])
+    state.run(streams.pages_stream(spark, source, schema, 1), scratch_path(spark, "crawl-state"))
+    state.parse(_rounds(spark, d)[1], 1)
+    return state.queue.before().select("url", "priority")

@@ -85,6 +85,17 @@ def delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def written(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder of the shared file system that Spark has written to the end."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return []
+    own = [x.getPath() for x in files.listStatus(at) if x.isDirectory()]
+    done = lambda x: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS")
+    return sorted(x.getName() for x in own if files.exists(done(x)))
+
+
 def clean(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application; results that were not written yet are lost with them."""
     delete(spark, f"{shared_dir(spark)}/gossamr/{spark.sparkContext.applicationId}")
