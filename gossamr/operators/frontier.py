@@ -156,6 +156,25 @@ def schedule(queue: DataFrame, held: DataFrame, now: int) -> DataFrame:
     return available(queue, held, now).withColumn("rank", F.row_number().over(w))
 
 
+def releases(events: DataFrame) -> DataFrame:
+    """(host_id, url_id, priority, released) of events (host_id, second, url_id, priority, until): when each URL is free to
+    be fetched.
+
+    An event with a url_id queues it, at its second; one without holds its host until a second, that included. Holds that
+    begin before the one before has ended make one stretch. A URL that comes in a stretch is released in the second
+    after it, any other when it comes. Of one second holds come first.
+    """
+    order = Window.partitionBy("host_id").orderBy("second", F.col("url_id").isNotNull())
+    hold = F.when(F.col("url_id").isNull() & (F.col("until") >= F.col("second")), F.col("until"))
+    rows = events.filter("host_id is not null and second is not null and (url_id is not null or until is not null)").withColumn("_hold", hold)
+    rows = rows.withColumn("_before", F.max("_hold").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    begins = F.col("_hold").isNotNull() & (F.col("_before").isNull() | (F.col("_before") < F.col("second")))
+    rows = rows.withColumn("_stretch", F.sum(F.when(begins, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = rows.filter("_hold is not null").groupBy("host_id", "_stretch").agg(F.max("_hold").alias("_end"))
+    waiting = rows.filter("url_id is not null").join(ends, ["host_id", "_stretch"], "left")
+    return waiting.select("host_id", "url_id", "priority", F.when(F.col("_end") >= F.col("second"), F.col("_end") + 1).otherwise(F.col("second")).alias("released"))
+
+
 def download_pop(queue: DataFrame, held: DataFrame, now: int, n: int) -> DataFrame:
     """The next n URLs in fair order. Only a host's first n can be among them, which Spark's group limit cuts early."""
     return schedule(queue, held, now).filter(F.col("rank") <= n).orderBy("rank", "host_id").limit(n)

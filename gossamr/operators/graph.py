@@ -6,13 +6,16 @@ executor costs one level at most. The driver sees counts only.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gossamr.functions import urls
+from gossamr.operators import tables
 from gossamr.operators.components import components
 from gossamr.operators.frontier import check_hosts
-from gossamr.session import bucketed, materialize, sized
+from gossamr.session import bucketed, materialize, ship, sized
 from gossamr.sources.options import Options
 
 
@@ -37,23 +40,46 @@ def build(field: DataFrame, links: DataFrame, tops: DataFrame, redirect: DataFra
 
 
 def bfs(nodes: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """(url_id, depth) of all nodes: steps from the nodes (url_id, depth) of depth 0; null where no path leads."""
-    every = materialize(nodes.groupBy("url_id").agg(F.min(F.when(F.col("depth") == 0, 0)).alias("depth")), "bfs-nodes")
-    reached = every.filter("depth = 0")
-    frontier, level, size = reached, 0, reached.count()
-    if not size:
+    """(url_id, depth) of all nodes (url_id, depth): depths that are there stay, a node without one gets the least number
+    of steps from one that has it; null where no path leads. A node of depth 0 is needed.
+
+    Levels go on past the largest depth given. Of each only what is new is kept, and the nodes still without depth are
+    written anew when a quarter of them has got one.
+    """
+    every = materialize(nodes.groupBy("url_id").agg(F.min("depth").cast("int").alias("depth")), "bfs-nodes")
+    given = every.filter("depth is not null")
+    if given.filter("depth = 0").isEmpty():
         raise ValueError("no node of depth 0")
+    per_level = {r["depth"]: r["count"] for r in given.groupBy("depth").count().collect()}
+    last = max(per_level)
+    left = materialize(every.filter("depth is null").select("url_id"), "bfs-left")
     edges = bucketed(edges.select("from_id", "to_id"), "bfs-edges", "from_id")
-    while size and (max_depth is None or level < max_depth):
-        level += 1
-        found = edges.join(sized(frontier.select(F.col("url_id").alias("from_id")), size), "from_id", "left_semi").select(F.col("to_id").alias("url_id")).distinct()
-        fresh = found.join(reached.select("url_id"), "url_id", "left_anti").join(every.select("url_id"), "url_id", "left_semi").withColumn("depth", F.lit(level))
-        frontier = materialize(fresh, "bfs")
-        size = frontier.count()
+    found, since, level, size, remain = [], [], 0, 0, left.count()
+    n_since = 0
+    while (size or level <= last) and remain and (max_depth is None or level < max_depth):
+        frontier = given.filter(F.col("depth") == level).select("url_id")
         if size:
-            reached = reached.unionByName(frontier)
-    every = every.select("url_id")
-    return every.join(reached, "url_id", "left")
+            frontier = frontier.unionByName(found[-1].select("url_id"))
+        size, level = size + per_level.get(level, 0), level + 1
+        to = edges.join(sized(frontier.select(F.col("url_id").alias("from_id")), size), "from_id", "left_semi").select(F.col("to_id").alias("url_id")).distinct()
+        fresh = to.join(left, "url_id", "left_semi")
+        for x in since:
+            fresh = fresh.join(x, "url_id", "left_anti")
+        fresh = materialize(fresh.withColumn("depth", F.lit(level)), "bfs")
+        size = fresh.count()
+        if not size:
+            continue
+        found.append(fresh)
+        since.append(fresh.select("url_id"))
+        n_since, remain = n_since + size, remain - size
+        if 4 * n_since >= remain:
+            for x in since:
+                left = left.join(x, "url_id", "left_anti")
+            left, since, n_since = materialize(left, "bfs-left"), [], 0
+    out = given
+    for x in found:
+        out = out.unionByName(x)
+    return every.select("url_id").join(out, "url_id", "left")
 
 
 def unreached(field: DataFrame, depths: DataFrame) -> DataFrame:
@@ -80,17 +106,79 @@ def trace(targets: DataFrame, edges: DataFrame, depths: DataFrame) -> DataFrame:
     return out.select("target", "depth", "url_id")
 
 
-def path_yield(nodes: DataFrame, edges: DataFrame, depths: DataFrame, targets: DataFrame) -> DataFrame:
+#: Targets that share a row of bits.
+BLOCK = 1024
+
+
+def path_yield(nodes: DataFrame, edges: DataFrame, depths: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFrame:
     """(url_id, yield) of all nodes: for each target, 1 shared evenly by the nodes of each level of its paths above 0.
 
-    The shares are a count per (target, level), aggregated before the join: no window over a level's nodes.
+    Targets are numbered and dealt to blocks; a node has a row of bits for each block of which it is on paths, those of
+    its children on the next level joined by or. How many nodes of a level have a bit are sums over rows of bits, and a
+    node's yield is what its bits are worth. No row of a target and a node is ever made.
     """
-    on_paths = materialize(trace(targets, edges, depths).filter("depth > 0"), "yield")
-    share = on_paths.groupBy("target", "depth").agg((F.lit(1.0) / F.count("*")).alias("_share"))
-    total = on_paths.join(share, ["target", "depth"]).groupBy("url_id").agg(F.sum("_share").alias("yield"))
+    words = block // 64
+    reached = materialize(depths.filter("depth is not null").select("url_id", "depth"), "yield-depths")
+    own = tables.numbered(targets.select("url_id").distinct().join(reached, "url_id").filter("depth > 0"), 0, "url_id")
+    bits = [f"w{k}" for k in range(words)]
+    word = [F.expr(f"CASE WHEN id % {block} div 64 = {k} THEN shiftleft(1L, CAST(id % 64 AS INT)) ELSE 0L END").alias(w) for k, w in enumerate(bits)]
+    own = own.select("url_id", "depth", F.expr(f"id div {block}").alias("block"), *word)
+    own = materialize(own, "yield-targets")
+    deepest = own.agg(F.max("depth")).first()[0]
+    if deepest is None:
+        return nodes.select("url_id").distinct().withColumn("yield", F.lit(0.0))
+    near = edges.select("from_id", "to_id").join(reached.select(F.col("url_id").alias("from_id"), F.col("depth").alias("_from")), "from_id")
+    near = near.join(reached.select(F.col("url_id").alias("to_id"), F.col("depth").alias("_to")), "to_id").filter("_from = _to - 1 and _from > 0").select("from_id", "to_id", F.col("_to").alias("depth")).distinct()
+    near = materialize(near, "yield-edges", "depth")
+    level, total = None, None
+    for depth in range(deepest, 0, -1):
+        rows = own.filter(F.col("depth") == depth).select("url_id", "block", *bits)
+        if level is not None:
+            up = level.join(near.filter(F.col("depth") == depth + 1).select(F.col("to_id").alias("url_id"), "from_id"), "url_id")
+            rows = rows.unionByName(up.select(F.col("from_id").alias("url_id"), "block", *bits))
+        level = materialize(rows.groupBy("url_id", "block").agg(*[F.bit_or(w).alias(w) for w in bits]), "yield-level")
+        mine = _worth(level, bits)
+        total = mine if total is None else total.unionByName(mine)
+    total = total.groupBy("url_id").agg(F.sum("share").alias("yield"))
     return nodes.select("url_id").distinct().join(total, "url_id", "left").select("url_id", F.coalesce("yield", F.lit(0.0)).alias("yield"))
 
 
+def _worth(level: DataFrame, bits: list[str]) -> DataFrame:
+    """(url_id, share) of a level's rows of bits: the sum, over the bits set, of 1 by the number of the level's rows that have the bit."""
+
+    def unpacked(batch: pa.RecordBatch) -> np.ndarray:
+        packed = np.stack([batch.column(w).to_numpy(zero_copy_only=False).astype("<i8") for w in bits], axis=1)
+        return np.unpackbits(packed.view(np.uint8), axis=1, bitorder="little")
+
+    def count(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                rows, blocks = unpacked(part), part.column("block").to_numpy(zero_copy_only=False)
+                for b in np.unique(blocks):
+                    sums[int(b)] = sums.get(int(b), 0) + rows[blocks == b].sum(axis=0, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))], names=["block", "counts"])
+
+    def share(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                counts = part.column("counts")
+                rows, out = unpacked(part), np.zeros(part.num_rows)
+                blocks = part.column("block").to_numpy(zero_copy_only=False)
+                for b in np.unique(blocks):
+                    i = np.nonzero(blocks == b)[0]
+                    out[i] = rows[i] @ (1.0 / np.maximum(1, np.array(counts[int(i[0])].as_py())))
+                yield pa.RecordBatch.from_arrays([part.column("url_id"), pa.array(out)], names=["url_id", "share"])
+
+    ship(level.sparkSession)
+    parts = level.select("block", *bits).mapInArrow(count, "block long, counts array<long>")
+    at = F.posexplode("counts").alias("bit", "n")
+    sums = parts.select("block", at).groupBy("block", "bit").agg(F.sum("n").alias("n")).groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("bit", "n"))), lambda x: x["n"]).alias("counts"))
+    return level.join(sized(materialize(sums, "yield-counts")), "block").select("url_id", "block", *bits, "counts").mapInArrow(share, "url_id long, share double")
+
+
 def paydirt(field: DataFrame, depths: DataFrame, rx: str) -> DataFrame:
     """(url_id) of the reached nodes whose URL matches."""
     return field.filter(F.col("url").rlike(rx)).select(F.col("id").alias("url_id")).join(depths.filter("depth is not null"), "url_id", "left_semi")
@@ -114,8 +202,8 @@ def neighbors(links: DataFrame, tops: DataFrame, options: Options = Options()) -
 
 
 def trace_report(traced: DataFrame, field: DataFrame) -> DataFrame:
-    """(target, depth, url) of trace(), in the order of a report: by target and depth, then URL."""
-    return traced.join(field.select(F.col("id").alias("url_id"), "url"), "url_id").select("target", "depth", "url").orderBy("target", "depth", "url")
+    """(target, depth, url) of trace(), in the order of a report: by target, from its depth downward, URLs sorted in a level."""
+    return traced.join(field.select(F.col("id").alias("url_id"), "url"), "url_id").select("target", "depth", "url").orderBy("target", F.desc("depth"), "url")
 
 
 def class_report(classes: DataFrame, field: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gossamr.operators import tables
+from gossamr.operators.scan import BITS, bounds, scanned
 from gossamr.sources import headers as headers_
-from gossamr.session import materialize, ship
+from gossamr.session import materialize
 from gossamr.sources.options import Options
 
 
@@ -46,48 +47,48 @@ def gzip_wanted(size: Column, accepts: Column, options: Options = Options()) ->
     return (size >= options.compress_threshold) & (size <= options.no_compress_threshold) & F.coalesce(F.contains(accepts, F.lit("gzip")), F.lit(False))
 
 
-def _cut(sizes: list[int], carry: int, threshold: int) -> list[int]:
-    """For each page in turn, how many volumes were closed before it."""
-    out, total, closed = [], carry, 0
-    for size in sizes:
-        out.append(closed)
-        total += size
-        if total > threshold:
-            total, closed = 0, closed + 1
-    return out
-
+def _closing(ends: DataFrame, threshold: int) -> DataFrame:
+    """(end): of the running totals of sizes (end: positive, each once) those at which a volume is closed.
 
-def pack(pages: DataFrame, threshold: int, first_volume: int = 1, block: int = 1_000_000) -> DataFrame:
+    A volume that begins after the total x is closed by the first total past x + threshold. That is a pointer from each
+    total to another one; which of them the chain from 0 goes through is found by doubling: pointers over 1, 2, 4, ...
+    volumes, each kept only for totals that the pointers before it lead to, which are fewer each time; then the chain is
+    filled in from the longest pointers to the shortest. So there are log(volumes) joins, of less and less rows.
+    """
+    n, total = ends.agg(F.count("*"), F.max("end")).first()
+    if not n:
+        return ends
+    bits = max(BITS, (total // n).bit_length() + BITS)
+    root = ends.sparkSession.createDataFrame([(0,)], "end long")
+    asked = ends.unionByName(root).select((F.col("end") + threshold).alias("at"), F.lit(1).alias("asks"), F.col("end").alias("origin"), F.lit(None).cast("struct<at:bigint>").alias("found"))
+    there = ends.select(F.col("end").alias("at"), F.lit(0).alias("asks"), F.lit(None).cast("long").alias("origin"), F.struct(F.col("end").alias("at")).alias("found"))
+    pointers = scanned(asked.unionByName(there), [], ["at", "asks"], 0, total + threshold, nexts=("found",), bits=bits, above=BITS)
+    pointers = materialize(pointers.filter("asks = 1 and next_found is not null").select(F.col("origin").alias("end"), F.col("next_found.at").alias("to")), "pack-pointers")
+    lengths = []
+    while not pointers.filter("end = 0").isEmpty():
+        lengths.append(pointers)
+        led = pointers.select(F.col("to").alias("end")).unionByName(root).distinct()
+        steps = pointers.join(led, "end", "left_semi")
+        pointers = materialize(steps.join(pointers.select(F.col("end").alias("to"), F.col("to").alias("further")), "to").select("end", F.col("further").alias("to")), "pack-pointers")
+    chain = root
+    for pointers in reversed(lengths):
+        chain = materialize(chain.unionByName(chain.join(pointers, "end").select(F.col("to").alias("end"))), "pack-chain")
+    return chain.filter("end > 0")
+
+
+def pack(pages: DataFrame, threshold: int, first_volume: int = 1) -> DataFrame:
     """(url_id, volume_id) of pages (url_id, siz) in order of id: a volume is closed by the page that takes it over the threshold.
 
-    Sequential by nature: where a volume ends depends on all pages before it. Pages are cut into blocks of ids. What
-    follows from one block to the next (bytes still open, volumes closed) is two numbers, found by one fold per block, that
-    reads the block's own files alone; then all blocks are packed in parallel.
+    Sizes are summed in order by chunks; where volumes close follows from the sums alone. A page's volume is the number
+    of pages before it that close one. Null sizes count as 0.
     """
-    sizes = materialize(pages.select("url_id", F.coalesce("siz", F.lit(0)).cast("long").alias("siz"), F.floor(F.col("url_id") / block).alias("_block")), "pack", "_block")
-
-    def step(acc: Column, x: Column) -> Column:
-        over = acc["open"] + x["siz"] > threshold
-        return F.struct(F.when(over, F.lit(0)).otherwise(acc["open"] + x["siz"]).cast("long").alias("open"), (acc["closed"] + F.when(over, 1).otherwise(0)).cast("long").alias("closed"))
-
-    spark = pages.sparkSession
-    order = sorted(r[0] for r in sizes.select("_block").distinct().toLocalIterator())
-    carry, closed, known = 0, first_volume, {}
-    for i, b in enumerate(order):
-        known[b] = carry, closed
-        if i + 1 < len(order):
-            own = sizes.filter(F.col("_block") == b).agg(F.array_sort(F.collect_list(F.struct("url_id", "siz"))).alias("own"))
-            end = own.select(F.aggregate("own", F.struct(F.lit(carry).cast("long").alias("open"), F.lit(closed).cast("long").alias("closed")), step).alias("end")).first().end
-            carry, closed = end.open, end.closed
-    starts = spark.createDataFrame([(b, *x) for b, x in known.items()], "_block long, _carry long, _volume long")
-
-    def place(pdf):
-        pdf = pdf.sort_values("url_id")
-        closed = _cut(pdf["siz"].tolist(), int(pdf["_carry"].iloc[0]), threshold)
-        return pdf[["url_id"]].assign(volume_id=[int(pdf["_volume"].iloc[0]) + c for c in closed])
-
-    ship(spark)
-    return sizes.join(F.broadcast(starts), "_block").groupBy("_block").applyInPandas(place, "url_id long, volume_id long")
+    sizes = pages.select("url_id", F.coalesce("siz", F.lit(0)).cast("long").alias("siz"))
+    low, high = bounds(sizes, "url_id")
+    ordered = scanned(sizes, [], ["url_id"], low, high, sums=("siz",)).select("url_id", F.when(F.col("siz") > 0, F.col("sum_siz") + F.col("siz")).alias("end"))
+    ordered = materialize(ordered, "pack-ends")
+    closing = _closing(ordered.filter("end is not null").select("end"), threshold).withColumn("closes", F.lit(1).cast("long"))
+    marked = ordered.join(closing, "end", "left").select("url_id", F.coalesce("closes", F.lit(0)).cast("long").alias("closes"))
+    return scanned(marked, [], ["url_id"], low, high, sums=("closes",)).select("url_id", (F.col("sum_closes") + first_volume).alias("volume_id"))
 
 
 def close_volumes(content: DataFrame, pages: DataFrame, threshold: int) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gossamr.functions import urls
 from gossamr.operators import frontier, graph, params, store, tables
@@ -450,6 +451,14 @@ def bfs_depth(spark, d):
     return graph.bfs(*fx.layered(spark, d))
 
 
+@query(f"WITH {DEPTHS} SELECT n.url_id, depth FROM nodes n LEFT JOIN depths USING (url_id)")
+def bfs_kept_depths(spark, d):
+    """Depths where every other node has its depth already: those stay, the others are filled in."""
+    nodes, edges = fx.layered(spark, d)
+    known = graph.bfs(nodes, edges).withColumn("depth", F.when((F.col("url_id") % 2 == 1) | (F.col("depth") == 0), F.col("depth")))
+    return graph.bfs(known, edges)
+
+
 @query(f"WITH {DEPTHS} SELECT count(*) AS unreached FROM nodes WHERE url_id NOT IN (SELECT url_id FROM depths)")
 def bfs_unreached(spark, d):
     nodes, edges = fx.layered(spark, d)
@@ -483,6 +492,15 @@ def trace_urls(spark, d):
     return graph.trace_report(graph.trace(targets, edges, depths), field)
 
 
+@query(f"WITH RECURSIVE {TRACE}, un AS (SELECT target, depth, 'http://graph.example/' || url_id AS url FROM tr) SELECT target, depth, url, row_number() OVER (PARTITION BY target ORDER BY depth DESC, url) AS place FROM un")
+def trace_order(spark, d):
+    """The lines of the reports of traces, numbered as they come."""
+    _, edges, depths, targets = _parts(spark, d)
+    field = depths.select(F.col("url_id").alias("id"), F.concat(F.lit("http://graph.example/"), F.col("url_id").cast("string")).alias("url"))
+    lines = materialize(graph.trace_report(graph.trace(targets, edges, depths), field).withColumn("_at", F.monotonically_increasing_id()), "trace-lines")
+    return lines.select("target", "depth", "url", F.row_number().over(Window.partitionBy("target").orderBy("_at")).cast("long").alias("place"))
+
+
 @query(f"WITH RECURSIVE {TRACE}, sh AS (SELECT url_id, 1.0 / count(*) OVER (PARTITION BY target, depth) AS w FROM tr WHERE depth > 0) SELECT n.url_id, round(coalesce(sum(w), 0.0), 6) AS yield FROM nodes n LEFT JOIN sh USING (url_id) GROUP BY 1")
 def path_yield(spark, d):
     nodes, edges, depths, targets = _parts(spark, d)
@@ -766,3 +784,45 @@ def crawl_rounds(spark, d):
     state.run(streams.pages_stream(spark, source, schema, 1), scratch_path(spark, "crawl-state"))
     state.parse(_rounds(spark, d)[1], 1)
     return state.queue.before().select("url", "priority")
+
+
+STRETCHES = f"""rq AS (SELECT event_id, user_id % 8 + 1 AS host_id, floor(epoch(ts))::BIGINT AS second, event_type = 'error' AS is_hold, floor(value / 10)::BIGINT AS priority,
+  CASE WHEN event_type = 'error' THEN floor(epoch(ts))::BIGINT + CASE WHEN length(props->>'$.k') > 1 THEN (props->>'$.k')::BIGINT ELSE 30 END END AS until FROM events),
+ru AS (SELECT *, max(until) OVER (PARTITION BY host_id ORDER BY second, NOT is_hold, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM rq),
+rb AS (SELECT *, sum(CASE WHEN is_hold AND (before IS NULL OR before < second) THEN 1 ELSE 0 END) OVER (PARTITION BY host_id ORDER BY second, NOT is_hold, event_id ROWS UNBOUNDED PRECEDING) AS stretch FROM ru),
+re AS (SELECT host_id, stretch, max(until) AS ends FROM rb WHERE is_hold GROUP BY 1, 2)"""
+RELEASES = f"WITH {STRETCHES} SELECT rb.host_id, event_id AS url_id, priority, CASE WHEN ends >= second THEN ends + 1 ELSE second END AS released FROM rb LEFT JOIN re USING (host_id, stretch) WHERE NOT is_hold"
+
+
+def _fetches(spark, d):
+    """Events as a queue and its holds: errors hold their host for k seconds, or 30; all others queue a URL."""
+    rows = fx.responses(spark, d).join(fx.table(spark, d, "events").select("event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("second"), F.floor(F.col("value") / 10).cast("long").alias("priority")), "event_id")
+    ok = F.col("code") == 200
+    until = F.when(~ok, F.col("second") + F.coalesce(F.col("retry_after").cast("long"), F.lit(30)))
+    return rows.select("host_id", "second", F.when(ok, F.col("event_id")).alias("url_id"), F.when(ok, F.col("priority")).alias("priority"), until.alias("until"))
+
+
+@query(RELEASES)
+def hold_releases(spark, d):
+    """When each URL of a queue is free to be fetched, given all holds."""
+    return frontier.releases(_fetches(spark, d))
+
+
+@query(RELEASES)
+def stream_releases(spark, d):
+    """The same from a stream of three batches, by state and timers of each host."""
+    from gossamr.streaming import crawl, scheduler
+    from gossamr.streaming import frontier as streams
+
+    events = materialize(_fetches(spark, d), "fetches")
+    low, high = events.agg(F.min("second"), F.max("second")).first()
+    source, sink = scratch_path(spark, "stream-fetches"), scratch_path(spark, "stream-released")
+    place = F.floor((F.col("second") - low) * 3 / (high - low + 1))
+    for k in range(3):
+        events.filter(place == k).coalesce(1).write.mode("append").parquet(source)
+    last = [(-1, high + 10**6, -1, 0, None)]  # lets the timers of all hosts end
+    spark.createDataFrame(last, events.schema).coalesce(1).write.mode("append").parquet(source)
+    with crawl.stateful(spark, empty_batches=True):
+        stream = scheduler.release_stream(streams.pages_stream(spark, source, events.schema, 1))
+        stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", scratch_path(spark, "stream-state")).trigger(availableNow=True).start(sink).awaitTermination()
+    return spark.read.schema(scheduler.RELEASED).parquet(sink).filter("host_id > 0")

@@ -84,16 +84,15 @@ def admission_rows(found: DataFrame, field: DataFrame, blacklist: list[str] | No
 
 
 class stateful:
-    """While inside, the session keeps streaming state in RocksDB, and plans no batches without data."""
+    """While inside, the session keeps streaming state in RocksDB, and plans batches without data only if empty_batches."""
 
-    WANTED = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
-
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, empty_batches: bool = False):
         self.conf = spark.conf
+        self.wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": str(empty_batches).lower()}
 
     def __enter__(self) -> stateful:
-        self.before = {k: self.conf.get(k, None) for k in self.WANTED}
-        for k, v in self.WANTED.items():
+        self.before = {k: self.conf.get(k, None) for k in self.wanted}
+        for k, v in self.wanted.items():
             self.conf.set(k, v)
         return self
 

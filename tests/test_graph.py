@@ -42,6 +42,60 @@ def test_depth_trace_yield(spark, seed):
     assert {r.url_id: pytest.approx(r["yield"]) for r in got.collect()} == want
 
 
+def _filled(nodes, given, edges):
+    """Depths by levels, where nodes that have one keep it."""
+    depth, level = dict(given), 0
+    while level <= max(depth.values()):
+        for a, b in edges:
+            if depth.get(a) == level and b not in depth:
+                depth[b] = level + 1
+        level += 1
+    return {n: depth.get(n) for n in nodes}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_depths_that_are_there_are_kept(spark, seed):
+    edges, rng = _graph(seed, 60, 110), random.Random(seed)
+    nodes = sorted({x for e in edges for x in e})
+    given = {nodes[0]: 0} | {n: rng.randint(0, 9) for n in rng.sample(nodes[1:], 8)}
+    start = spark.createDataFrame([(n, given.get(n)) for n in nodes], "url_id long, depth int")
+    got = {r.url_id: r.depth for r in graph.bfs(start, spark.createDataFrame(edges, "from_id long, to_id long")).collect()}
+    assert got == _filled(nodes, given, edges)
+
+
+def test_depths_of_a_first_run_are_those_of_a_second(spark):
+    """Edges that came later reach further nodes, and change no depth."""
+    edges = [(i, i + 1) for i in range(12)] + [(0, 20), (20, 21)]
+    df = spark.createDataFrame(edges, "from_id long, to_id long")
+    nodes = spark.createDataFrame([(i, 0 if i == 0 else None) for i in [*range(13), 20, 21, 30]], "url_id long, depth int")
+    first = graph.bfs(nodes, df.filter("from_id <> 20"), max_depth=5)
+    second = {r.url_id: r.depth for r in graph.bfs(first, df).collect()}
+    assert second == {**{i: i for i in range(13)}, 20: 1, 21: 2, 30: None}
+
+
+@pytest.mark.parametrize("block", [64, 128])
+def test_yield_over_blocks_of_targets(spark, block):
+    rng = random.Random(block)
+    layers = [[0], range(1, 21), range(21, 81), range(81, 400)]
+    edges = sorted({(rng.choice(above), n) for above, below in zip(layers, layers[1:]) for n in below for _ in range(3)})
+    nodes = sorted({x for e in edges for x in e})
+    found = spec.bfs(set(nodes), [0], edges)
+    targets = [n for n, d in found.items() if d is not None]
+    df = spark.createDataFrame(edges, "from_id long, to_id long")
+    depths = spark.createDataFrame(list(found.items()), "url_id long, depth int")
+    got = graph.path_yield(depths, df, depths, spark.createDataFrame([(t,) for t in [*targets, 10_000]], "url_id long"), block)
+    assert len(targets) > 2 * block and {r.url_id: pytest.approx(r["yield"]) for r in got.collect()} == spec.path_yield(nodes, edges, found, targets)
+    assert {r["yield"] for r in graph.path_yield(depths, df, depths, spark.createDataFrame([], "url_id long")).collect()} == {0.0}
+
+
+def test_trace_reports_go_down_from_the_target(spark):
+    edges = [(1, 2), (1, 3), (2, 4), (3, 4)]
+    depths = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 2)], "url_id long, depth int")
+    field = spark.createDataFrame([(1, "http://a/"), (2, "http://z/"), (3, "http://b/"), (4, "http://t/")], "id long, url string")
+    traced = graph.trace(spark.createDataFrame([(4,)], "url_id long"), spark.createDataFrame(edges, "from_id long, to_id long"), depths)
+    assert [(r.depth, r.url) for r in graph.trace_report(traced, field).collect()] == [(2, "http://t/"), (1, "http://b/"), (1, "http://z/"), (0, "http://a/")]
+
+
 def test_bfs_needs_a_root_and_can_be_bounded(spark):
     df = spark.createDataFrame([(1, 2), (2, 3)], "from_id long, to_id long")
     with pytest.raises(ValueError):

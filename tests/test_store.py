@@ -11,14 +11,21 @@ from gossamr.sources.options import Options
 from pyspark.sql import functions as F
 
 
-def test_pack_is_the_sequential_cut_also_over_blocks(spark):
-    rng = random.Random(1)
-    sizes = [rng.randint(0, 60) for _ in range(300)]
-    df = spark.createDataFrame(list(enumerate(sizes)), "url_id long, siz long")
-    for block in (1000, 37):
-        got = sorted((r.url_id, r.volume_id) for r in store.pack(df, 200, block=block).collect())
-        assert [v for _, v in got] == spec.volumes(sizes, 200)
+@pytest.mark.parametrize(("threshold", "most", "step"), [(200, 60, 1), (5000, 60, 1), (30, 60, 977), (0, 3, 1 << 40), (10, 0, 1)])
+def test_pack_is_the_sequential_cut(spark, threshold, most, step):
+    """Small and large volumes, volumes of one page, runs of empty pages, far ids; nulls count as empty."""
+    rng = random.Random(threshold)
+    sizes = [0 if rng.random() < 0.2 else rng.randint(0, most) for _ in range(1500)]
+    rows = [(i * step - 700, None if x == 0 and i % 2 else x) for i, x in enumerate(sizes)]
+    got = sorted((r.url_id, r.volume_id) for r in store.pack(spark.createDataFrame(rows, "url_id long, siz long"), threshold).collect())
+    assert [v for _, v in got] == spec.volumes(sizes, threshold)
+
+
+def test_pack_of_nothing_and_without_tasks_for_whole_groups(spark):
+    df = spark.createDataFrame([(i, 10) for i in range(5000)], "url_id long, siz long")
     assert store.pack(df.limit(0), 200).count() == 0
+    plan = store.pack(df, 200)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "SinglePartition" not in plan
 
 
 def test_purged_edge_sets_equal_one_at_a_time(spark):
