@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from gossamr.functions import urls
 from gossamr.operators import tables
+from gossamr.operators.scan import bounds, scanned
 from gossamr.session import materialize, sized
 from gossamr.sources.options import Options
 
@@ -151,9 +152,17 @@ def available(queue: DataFrame, held: DataFrame, now: int) -> DataFrame:
 
 
 def schedule(queue: DataFrame, held: DataFrame, now: int) -> DataFrame:
-    """The available queue with rank: the place among its host's URLs by priority, then id. Fair order: rank, host_id."""
-    w = Window.partitionBy("host_id").orderBy("priority", "url_id")
-    return available(queue, held, now).withColumn("rank", F.row_number().over(w))
+    """The available queue with rank: the place among its host's URLs by priority, then id. Fair order: rank, host_id.
+
+    A URL's rank is its place in its host and priority, counted by chunks of ids, and the number of its host's URLs of
+    smaller priorities: no task gets all URLs of a host.
+    """
+    rows = materialize(available(queue, held, now).withColumns({"_host": F.coalesce("host_id", F.lit(-1)), "_one": F.lit(1).cast("long")}), "schedule")
+    counts = rows.groupBy("_host", "priority").agg(F.count("*").alias("_n"))
+    before = scanned(counts, ["_host"], ["priority"], *bounds(rows, "priority"), sums=("_n",)).select("_host", "priority", F.col("sum__n").alias("_before"))
+    placed = scanned(rows, ["_host", "priority"], ["url_id"], *bounds(rows, "url_id"), sums=("_one",), bits=16)
+    rank = (F.col("_before") + F.col("sum__one") + 1).cast("int")
+    return placed.join(before, ["_host", "priority"]).select(*queue.columns, rank.alias("rank"))
 
 
 def releases(events: DataFrame) -> DataFrame:
@@ -177,7 +186,8 @@ def releases(events: DataFrame) -> DataFrame:
 
 def download_pop(queue: DataFrame, held: DataFrame, now: int, n: int) -> DataFrame:
     """The next n URLs in fair order. Only a host's first n can be among them, which Spark's group limit cuts early."""
-    return schedule(queue, held, now).filter(F.col("rank") <= n).orderBy("rank", "host_id").limit(n)
+    w = Window.partitionBy("host_id").orderBy("priority", "url_id")
+    return available(queue, held, now).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).orderBy("rank", "host_id").limit(n)
 
 
 def parse_pop(queue: DataFrame, n: int, locality: DataFrame | None = None, instance_id: int | None = None) -> tuple[DataFrame, DataFrame]:

@@ -184,9 +184,29 @@ def paydirt(field: DataFrame, depths: DataFrame, rx: str) -> DataFrame:
     return field.filter(F.col("url").rlike(rx)).select(F.col("id").alias("url_id")).join(depths.filter("depth is not null"), "url_id", "left_semi")
 
 
-def redirect_classes(redirect: DataFrame, extra: DataFrame | None = None) -> DataFrame:
-    """(component, size, id, has_body): the weakly connected classes of redirect. extra: url_id, has_body."""
-    found = components(redirect)
+def grown_classes(known: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, component) after pairs (from_id, to_id) have come to the classes known (node, component: the least of its nodes).
+
+    Classes known are single nodes for the steps over the new pairs; the classes that these join get the new label. A
+    pair within a class costs nothing more.
+    """
+    label = lambda side: known.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+    named = pairs.select("from_id", "to_id").filter("from_id is not null and to_id is not null").join(label("from_id"), "from_id", "left").join(label("to_id"), "to_id", "left")
+    named = materialize(named.select("from_id", "to_id", F.coalesce("_from_id", "from_id").alias("a"), F.coalesce("_to_id", "to_id").alias("b")), "classes-pairs")
+    joined = materialize(components(named, "a", "b", small=0), "classes-joined")
+    moved = joined.filter("node <> component").select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    old = known.join(sized(moved), "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    ends = named.select(F.col("from_id").alias("node")).unionByName(named.select(F.col("to_id").alias("node"))).distinct()
+    new = ends.join(known.select("node"), "node", "left_anti").join(joined, "node")
+    return old.unionByName(new.select("node", "component"))
+
+
+def redirect_classes(redirect: DataFrame, extra: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """(component, size, id, has_body): the weakly connected classes of redirect. extra: url_id, has_body.
+
+    known: classes (node, component) of the pairs that were there before, of which redirect then holds the new ones only.
+    """
+    found = components(redirect, small=0) if known is None else grown_classes(known, redirect)
     sizes = found.groupBy("component").agg(F.count("*").alias("size"))
     out = found.join(sizes, "component").select("component", "size", F.col("node").alias("id"))
     if extra is None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gossamr.operators import tables
 from gossamr.operators.scan import BITS, bounds, scanned
 from gossamr.sources import headers as headers_
-from gossamr.session import materialize
+from gossamr.session import bucketed, materialize, sized
 from gossamr.sources.options import Options
 
 
@@ -191,13 +191,36 @@ def purge(state: dict[str, DataFrame], ids: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-def purge_edge_sets(edge_sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """edge_sets without the ids (id) on either side: emptied sets go, rows that come to have the same children merge.
+def edge_set_postings(edge_sets: DataFrame) -> DataFrame:
+    """(member, row): which rows of edge_sets (by the hash of their sets) hold an id, on either side. From 5,000,000 rows
+    on it is bucketed by member, so that purges look ids up without moving it.
+    """
+    rows = edge_sets.select(F.explode(F.array_union("from_set", "to_set")).alias("member"), _row().alias("row"))
+    return bucketed(rows, "postings", "member")
+
+
+def _row() -> Column:
+    return F.xxhash64("to_set", "from_set")
+
+
+def purge_edge_sets(edge_sets: DataFrame, ids: DataFrame, postings: DataFrame | None = None) -> DataFrame:
+    """edge_sets (from_set, to_set; each to_set once) without the ids (id) on either side: emptied sets go, rows that come
+    to have the children of another one merge with it.
 
-    Works on exploded members, so the ids may be many: neither broadcast nor collected.
+    postings: edge_set_postings() of edge_sets, if they are kept. They tell which rows hold an id; only those are taken
+    apart, and only those whose children another one now has are merged. All others stay as they are, and move only if
+    the rows changed are too many to broadcast.
     """
-    gone = ids.select(F.col("id").alias("_id")).distinct()
-    rows = edge_sets.withColumn("_row", F.xxhash64("to_set", "from_set"))
-    keep = lambda side: rows.select("_row", F.explode(side).alias("_id")).join(gone, "_id", "left_anti").groupBy("_row").agg(F.array_sort(F.collect_set("_id")).alias(side))
-    left = keep("from_set").join(keep("to_set"), "_row")
-    return left.groupBy("to_set").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("from_set")))).alias("from_set")).select("from_set", "to_set")
+    gone = materialize(ids.select(F.col("id").alias("member")).distinct(), "purge-ids")
+    postings = edge_set_postings(edge_sets) if postings is None else postings
+    hit = materialize(postings.join(sized(gone), "member", "left_semi").select(F.col("row").alias("_row")).distinct(), "purge-hit")
+    rows = edge_sets.select("from_set", "to_set", _row().alias("_row"))
+    touched, others = rows.join(sized(hit), "_row", "left_semi"), rows.join(sized(hit), "_row", "left_anti")
+    gone = gone.withColumnRenamed("member", "_id")
+    keep = lambda side: touched.select("_row", F.explode(side).alias("_id")).join(gone, "_id", "left_anti").groupBy("_row").agg(F.array_sort(F.collect_set("_id")).alias(side))
+    merged = lambda df: df.groupBy("to_set").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("from_set")))).alias("from_set"))
+    left = materialize(merged(keep("from_set").join(keep("to_set"), "_row")), "purge-left")
+    have = sized(left.select("to_set"))
+    meets, calm = others.join(have, "to_set", "left_semi"), others.join(have, "to_set", "left_anti")
+    changed = merged(left.select("from_set", "to_set").unionByName(meets.select("from_set", "to_set")))
+    return calm.select("from_set", "to_set").unionByName(changed.select("from_set", "to_set"))

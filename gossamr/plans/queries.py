@@ -517,6 +517,14 @@ def redirect_classes(spark, d):
     return graph.redirect_classes(pairs, extra)
 
 
+@query(f"{CLASSES} SELECT component, count(*) OVER (PARTITION BY component) AS size, id FROM k")
+def redirect_classes_grown(spark, d):
+    """The classes of half the redirects, then those of all from them and the other half."""
+    pairs = fx.redirect(spark, d)
+    first = materialize(graph.grown_classes(spark.createDataFrame([], "node long, component long"), pairs.filter("from_id % 2 = 0")), "classes-first")
+    return graph.redirect_classes(pairs.filter("from_id % 2 = 1"), known=first).select("component", "size", "id")
+
+
 @query(f"{CLASSES} SELECT count(*) OVER (PARTITION BY component) AS size, component, id, CASE WHEN id >= 1000000 THEN '!' ELSE '' END || 'http://graph.example/' || id AS line FROM k")
 def class_report(spark, d):
     classes = materialize(redirect_classes(spark, d), "classes")
@@ -695,13 +703,26 @@ def purge_tables(spark, d):
     return parts[0]
 
 
-@query(f"WITH {SETS}, g AS (SELECT user_id * 100 + day(ts) AS id FROM events WHERE value > 300 UNION SELECT 3), k AS (SELECT from_id, list_sort(list(to_id)) AS to_set FROM ud WHERE to_id NOT IN (SELECT id FROM g) GROUP BY 1), f AS (SELECT from_id, to_set FROM k WHERE from_id NOT IN (SELECT id FROM g)) SELECT array_to_string(list_sort(list(from_id)), ',') AS from_set, array_to_string(to_set, ',') AS to_set FROM f GROUP BY to_set")
+PURGED = f"WITH {SETS}, g AS (SELECT user_id * 100 + day(ts) AS id FROM events WHERE value > 300 UNION SELECT 3), k AS (SELECT from_id, list_sort(list(to_id)) AS to_set FROM ud WHERE to_id NOT IN (SELECT id FROM g) GROUP BY 1), f AS (SELECT from_id, to_set FROM k WHERE from_id NOT IN (SELECT id FROM g)) SELECT array_to_string(list_sort(list(from_id)), ',') AS from_set, array_to_string(to_set, ',') AS to_set FROM f GROUP BY to_set"
+
+
+@query(PURGED)
 def purge_edge_sets(spark, d):
     ids = fx.table(spark, d, "events").filter("value > 300").select((F.col("user_id") * 100 + F.dayofmonth("ts")).cast("long").alias("id")).union(spark.sql("SELECT 3L"))
     rows = store.purge_edge_sets(params.squash(fx.user_days(spark, d)), ids)
     return rows.select(F.array_join(F.transform("from_set", lambda x: x.cast("string")), ",").alias("from_set"), F.array_join(F.transform("to_set", lambda x: x.cast("string")), ",").alias("to_set"))
 
 
+@query(PURGED)
+def purge_by_postings(spark, d):
+    """The same purge in two steps, the first one by postings that are kept for the table."""
+    ids = fx.table(spark, d, "events").filter("value > 300").select((F.col("user_id") * 100 + F.dayofmonth("ts")).cast("long").alias("id")).union(spark.sql("SELECT 3L"))
+    sets = materialize(params.squash(fx.user_days(spark, d)), "sets")
+    once = materialize(store.purge_edge_sets(sets, ids.filter("id % 2 = 0"), store.edge_set_postings(sets)), "sets-once")
+    rows = store.purge_edge_sets(once, ids.filter("id % 2 = 1"))
+    return rows.select(F.array_join(F.transform("from_set", lambda x: x.cast("string")), ",").alias("from_set"), F.array_join(F.transform("to_set", lambda x: x.cast("string")), ",").alias("to_set"))
+
+
 # Table changes.
 
 
@@ -826,3 +847,13 @@ def stream_releases(spark, d):
         stream = scheduler.release_stream(streams.pages_stream(spark, source, events.schema, 1))
         stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", scratch_path(spark, "stream-state")).trigger(availableNow=True).start(sink).awaitTermination()
     return spark.read.schema(scheduler.RELEASED).parquet(sink).filter("host_id > 0")
+
+
+@query(f"WITH {CLEAN}, {TOPS}, {ALLOWED} SELECT count(*) AS links, count(id) AS allowed, count(*) FILTER (WHERE regexp_matches(clean_url, '(?i)[.](?:jpe?g|pdf|png)$')) AS blacklisted FROM cl LEFT JOIN allowed ON hostname = host")
+def observed_counts(spark, d):
+    """Counts that were observed while classified links were written; nothing is read to count."""
+    from gossamr.streaming.activity import counted
+
+    rows = frontier.classify(fx.page_links(spark, d), fx.tops(spark, d, True))
+    _, seen = counted(rows, "observed", links=F.count(F.lit(1)), allowed=F.count("host_id"), blacklisted=F.count_if(F.col("skip_reason") == "blacklisted"))
+    return spark.createDataFrame([(seen["links"], seen["allowed"], seen["blacklisted"])], "links long, allowed long, blacklisted long")

@@ -151,3 +151,15 @@ def test_bucketed_edges_are_not_shuffled_again(spark):
     joined = edges.join(some, "from_id", "left_semi")
     assert joined.count() == 400
     assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_classes_grow_with_pairs(spark, seed):
+    """Pairs in four batches: new nodes, pairs within a class, pairs that join classes, loops, nulls."""
+    edges = [*_graph(seed, 60, 70), (5, 5), (99, 99)]
+    random.Random(seed).shuffle(edges)
+    known = spark.createDataFrame([], "node long, component long")
+    for k in range(4):
+        pairs = spark.createDataFrame([*edges[k::4], (None, 3)], "from_id long, to_id long")
+        known = spark.createDataFrame([tuple(r) for r in graph.grown_classes(known, pairs).collect()], "node long, component long")
+    assert {r.node: r.component for r in known.collect()} == spec.components(edges)

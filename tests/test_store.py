@@ -40,6 +40,17 @@ def test_purged_edge_sets_equal_one_at_a_time(spark):
         assert {tuple(r.to_set): r.from_set for r in got.collect()} == spec.purge_sets(sets, ids)
 
 
+def test_rows_without_a_purged_id_are_left_alone(spark):
+    """They are neither taken apart nor grouped: their arrays keep an order that grouping would not."""
+    rows = [([2, 1], [30, 29]), ([4, 3], [31, 30]), ([6], [32, 31, 30]), ([8, 7], [33])]
+    df = spark.createDataFrame(rows, schemas.TABLES["edge_sets"])
+    got = {tuple(r.to_set): r.from_set for r in store.purge_edge_sets(df, spark.createDataFrame([(32,), (1_000,)], "id long"), store.edge_set_postings(df)).collect()}
+    assert got == {(30, 29): [2, 1], (31, 30): [4, 3], (30, 31): [6], (33,): [8, 7]}
+    df = spark.createDataFrame([(sorted(a), sorted(b)) for a, b in rows], schemas.TABLES["edge_sets"])
+    got = {tuple(r.to_set): r.from_set for r in store.purge_edge_sets(df, spark.createDataFrame([(32,), (7,), (8,)], "id long")).collect()}
+    assert got == {(29, 30): [1, 2], (30, 31): [3, 4, 6]}
+
+
 def test_purge_of_volumes(spark):
     state = {"content": spark.createDataFrame([(1, 5), (2, 6), (3, 6)], "url_id long, volume_id long"), "volume_loc": spark.createDataFrame([(5, 1), (6, 1)], "volume_id long, instance_id long"), "nodes": spark.createDataFrame([(1, 0), (2, 1)], "url_id long, depth int")}
     out = store.purge(state, spark.createDataFrame([(1,)], "id long"))
