@@ -7,19 +7,17 @@ is left goes with the transaction's end. Commits, numbered over all streams, app
 changes become intervals by a lead over epochs, each interval an event that adds and one that takes away, and the store
 after an epoch is a running sum of events.
 
-No window holds a stream, a key or the log. `scanned` cuts every window into chunks of neighbouring positions: each is
-scanned by itself, its summary is a row for the same scan one level up, and what that says of earlier or later chunks is
-joined back. Levels go on until all is in one chunk, so no task gets more than a chunk of one group. Joins are hinted to
-sort and merge, as both sides grow with the log.
+No window holds a stream, a key or the log: `scanned` cuts every window into chunks of neighbouring positions, so that no
+task gets more than a chunk of one group. Joins are hinted to sort and merge, as both sides grow with the log.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gossamr.llm.common import CRC_SQL, crc_sql
+from gossamr.operators.scan import bounds, scanned
 from gossamr.session import materialize
 
 #: Two to this power are the positions of a chunk.
@@ -30,34 +28,6 @@ COMMIT, ABORT, SAVEPOINT, ROLLBACK, CHANGE = "commit", "abort", "savepoint", "ro
 RECORD = ["seq", "stream", "kind", "key", "value"]
 
 
-def scanned(rows: DataFrame, group: list[str], order: list[str], low: int, high: int, sums: tuple[str, ...] = (), mins: tuple[str, ...] = (), nexts: tuple[str, ...] = (), bits: int = BITS, level: int = 0) -> DataFrame:
-    """rows with sum_x, min_x and next_x for columns x: sum (0 for the first) and least of the group's earlier rows, and
-    the first of the later ones that is not null.
-
-    order: columns, the first of which is a whole number from low to high. group: columns without nulls, or none. Values
-    of nexts must sort as their rows do, as structs that begin with the order columns do. A column is in one list only.
-    """
-    at, chunk = order[0], f"_chunk{level}"
-    whole = high - low < 1 << bits
-    rows = rows.withColumn(chunk, F.lit(0).cast("long") if whole else F.shiftright(at, bits) - (low >> bits))
-    before = Window.partitionBy(*group, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*group, chunk).orderBy(*map(F.desc, order)).rowsBetween(Window.unboundedPreceding, -1)
-    local = {f"sum_{c}": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in sums} | {f"min_{c}": F.min(c).over(before) for c in mins} | {f"next_{c}": F.last(c, ignorenulls=True).over(after) for c in nexts}
-    out = rows.withColumns(local)
-    if whole:
-        return out.drop(chunk)
-    summary = rows.groupBy(*group, chunk).agg(*[F.sum(c).alias(c) for c in sums], *[F.min(c).alias(c) for c in (*mins, *nexts)])
-    above = scanned(summary, group, [chunk], 0, (high >> bits) - (low >> bits), sums=sums, mins=mins, nexts=nexts, bits=bits, level=level + 1)
-    above = above.select(*group, chunk, *[F.col(c).alias(f"_{c}") for c in local])
-    both = {c: F.col(c) + F.col(f"_{c}") if c.startswith("sum_") else F.least(c, f"_{c}") if c.startswith("min_") else F.coalesce(c, f"_{c}") for c in local}
-    return out.join(above.hint("merge"), [*group, chunk]).withColumns(both).select(*[c for c in rows.columns if c != chunk], *local)
-
-
-def _bounds(rows: DataFrame, column: str) -> tuple[int, int]:
-    low, high = rows.agg(F.min(column), F.max(column)).first()
-    return (low, high) if low is not None else (0, 0)
-
-
 def resolved(records: DataFrame, keep_savepoints: bool = True, bits: int = BITS) -> DataFrame:
     """The changes of records (seq, stream, kind, key, value; no null but in key and value) with undone (rollback, abort
     or null), by (seq of the record that undoes it; null: the log's end) and commit (seq and stream of the commit that
@@ -68,7 +38,7 @@ def resolved(records: DataFrame, keep_savepoints: bool = True, bits: int = BITS)
     Transactions end by commit, abort, or the log's end, which is an abort. Records of one position are read in the order
     of RECORD's columns; such as are equal in all of them are records of their own.
     """
-    low, high = _bounds(records, "seq")
+    low, high = bounds(records, "seq")
     place = F.struct("seq", "stream", "kind")
     ends = F.col("kind").isin(COMMIT, ABORT)
     rows = records.withColumns({"marker": F.when(F.col("kind") != CHANGE, place), "end": F.when(ends, place), "is_end": F.when(ends, 1).otherwise(0).cast("long")})
@@ -97,7 +67,7 @@ def resolved(records: DataFrame, keep_savepoints: bool = True, bits: int = BITS)
 def numbered_commits(records: DataFrame, every: int, bits: int = BITS) -> DataFrame:
     """(seq, stream, number, epoch) of the commits of records, numbered from 0 over all streams; `every` of them are an epoch."""
     commits = records.filter(F.col("kind") == COMMIT).select("seq", "stream", F.lit(1).cast("long").alias("one"))
-    commits = scanned(commits, [], ["seq", "stream"], *_bounds(records, "seq"), sums=("one",), bits=bits)
+    commits = scanned(commits, [], ["seq", "stream"], *bounds(records, "seq"), sums=("one",), bits=bits)
     return commits.select("seq", "stream", F.col("sum_one").alias("number"), (F.expr(f"sum_one div {every}") + 1).alias("epoch"))
 
 
@@ -110,7 +80,7 @@ def states(changes: DataFrame, commits: DataFrame, bits: int = BITS) -> DataFram
     numbers = commits.groupBy("seq", "stream").agg(F.min(F.struct("number", "epoch")).alias("c")).select(F.struct("seq", "stream").alias("commit"), "c.number", "c.epoch")
     last = changes.join(numbers.hint("merge"), "commit").groupBy("key", "epoch").agg(F.max(F.struct("number", "seq", "value")).alias("last"))
     epochs = materialize(commits.groupBy("epoch").agg(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total")), "log-epochs")
-    low, high = _bounds(epochs, "epoch")
+    low, high = bounds(epochs, "epoch")
     last = materialize(last.select("key", "epoch", "last.value", F.struct("epoch").alias("until")), "log-store")
     spans = scanned(last, ["key"], ["epoch"], low, high, nexts=("until",), bits=bits).filter("value is not null")
     events = F.array(F.struct(F.col("epoch").alias("epoch"), F.lit(1).cast("long").alias("n"), F.col("value").alias("total")), F.struct(F.col("next_until.epoch").alias("epoch"), F.lit(-1).cast("long").alias("n"), (-F.col("value")).alias("total")))

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gossamr.llm import log_replay
-from gossamr.llm.log_replay import document_log, op11_log_replay, replay, scanned
+from gossamr.llm.log_replay import document_log, op11_log_replay, replay
+from gossamr.operators import scan
+from gossamr.operators.scan import scanned
 
 SCHEMA = "seq long, stream string, kind string, key long, value long"
 
@@ -110,6 +112,7 @@ def test_no_task_gets_a_stream_or_the_log(spark, monkeypatch):
         return real(rows, group, order, low, high, *args, **options)
 
     monkeypatch.setattr(log_replay, "scanned", spying)
+    monkeypatch.setattr(scan, "scanned", spying)  # levels above
     records = [(i, "hot" if i % 3 else f"s{i % 7}", ["change", "change", "savepoint", "commit", "rollback", "change"][i % 6], 1 if i % 6 in (0, 1, 5) else None, i if i % 6 in (0, 1, 5) else None) for i in range(6000)]
     assert rows_of(replay(spark.createDataFrame(records, SCHEMA), 2, True, 6)) == brute(records, 2)
     assert max(seen) <= 64
