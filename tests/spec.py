@@ -1,27 +1,7 @@
 """Sequential specifications, independent of the engine, that its set forms are held against."""
 
 from collections import Counter, defaultdict
-from urllib.parse import parse_qs, quote_plus, urlencode, urlparse, urlunparse
-
-
-def netloc(p):
-    if p.username is None and p.password is None and (p.scheme, p.port) in (("http", 80), ("https", 443)):
-        return p.hostname
-    return p.netloc
-
-
-def encode(text):
-    return quote_plus(text, safe='/+%?&=$*()[]{},;:!|"').replace("%20", "+")
-
-
-def clean(url):
-    try:
-        p = urlparse(url.strip())
-        if not p.hostname or not p.scheme or (p.port or 0) < 0:
-            return None
-        return urlunparse((p.scheme, netloc(p), encode(p.path), p.params, encode(p.query), ""))
-    except ValueError:
-        return None
+from urllib.parse import parse_qs, urlencode, urlparse, urlunparse
 
 
 def param_set(query):

@@ -1,6 +1,6 @@
 import random
 import re
-from urllib.parse import urljoin, urlparse
+from urllib.parse import unquote_plus, urljoin, urlparse
 
 from pyspark.sql import functions as F
 
@@ -21,15 +21,52 @@ def _urls(n, seed):
     return out
 
 
-def test_clean_params_simplify_match_the_standard_library(spark):
-    given = [*_urls(1500, 5), "mailto:a@b.c", "/x", "", "  http://a.b/ ", "http://[::1", "http://h:bad/", "http://h:99999/"]
-    df = spark.createDataFrame([(u,) for u in given], "u string")
-    rows = df.select("u", urls.clean(F.col("u")).alias("c"), urls.param_set(urls.query(F.col("u"))).alias("p"), urls.simplify(urls.clean(F.col("u"))).alias("s")).collect()
-    for r in rows:
-        assert r.c == spec.clean(r.u), r.u
-        if r.c:
-            assert r.p == spec.param_set(urlparse(r.u.strip()).query), r.u
-            assert r.s == spec.simplify(r.c), r.u
+#: Raw URLs and their clean form, worked out by hand.
+CLEAN = [
+    ("http://Ex.com/a b", "http://Ex.com/a+b"),
+    ("http://a.b.C.org:80/x", "http://a.b.c.org/x"),
+    ("HTTPS://A.org:443/?", "https://a.org/"),
+    ("https://A.org:80/", "https://A.org:80/"),
+    ("https://U:p@H.de:443/a", "https://U:p@H.de:443/a"),
+    ("http://h.cz:8080/é", "http://h.cz:8080/%C3%A9"),
+    ("http://h/a%20b?x=%20y", "http://h/a+b?x=+y"),
+    ("http://h/a;b;c?d;e", "http://h/a;b;c?d;e"),
+    ("http://h/;p q", "http://h/;p q"),
+    ("http://h/x#f", "http://h/x"),
+    ("http://h/#", "http://h/"),
+    ("http://h", "http://h"),
+    ("  http://a.b/ ", "http://a.b/"),
+    ("http://h/'@<>^\\`", "http://h/%27%40%3C%3E%5E%5C%60"),
+    ("http://h/🎉?q=🎉", "http://h/%F0%9F%8E%89?q=%F0%9F%8E%89"),
+    ('http://h/a|b"c', 'http://h/a|b"c'),
+    ("http://h/%zz%", "http://h/%zz%"),
+    ("http://h/a+b~c_d.e-f", "http://h/a+b~c_d.e-f"),
+    ("http://h/%C3%A9%ff", "http://h/%C3%A9%ff"),
+    ("http://h/./../x//y", "http://h/./../x//y"),
+    ("mailto:a@b.c", None), ("/x", None), ("", None), ("#only", None), ("http://[::1", None), ("http://h:bad/", None), ("http://h:99999/", None),
+]
+
+
+def test_clean_urls_are_those_worked_out_by_hand(spark):
+    df = spark.createDataFrame([(raw,) for raw, _ in CLEAN], "u string")
+    got = {r.u: r.c for r in df.select("u", urls.clean(F.col("u")).alias("c")).collect()}
+    assert got == dict(CLEAN)
+
+
+def test_clean_keeps_what_a_url_means_and_is_idempotent(spark):
+    """Of any URL: the same decoded path and query, no fragment, plain characters only, and nothing more to clean."""
+    df = spark.createDataFrame([(u,) for u in _urls(1500, 5)], "u string").select("u", urls.clean(F.col("u")).alias("c"))
+    for r in df.withColumn("again", urls.clean(F.col("c"))).collect():
+        old, new = urlparse(r.u.strip()), urlparse(r.c)
+        assert (unquote_plus(new.path), new.params, unquote_plus(new.query), new.fragment) == (unquote_plus(old.path), old.params, unquote_plus(old.query), "")
+        assert (new.scheme, new.hostname) == (old.scheme, old.hostname) and r.again == r.c
+        assert re.fullmatch(r"""[!-~]*""", new.path + new.query) and not re.search(r"[<>^`'@\\]|%20", new.path + new.query)
+
+
+def test_params_and_simplified_urls_match_the_standard_library(spark):
+    df = spark.createDataFrame([(u,) for u in _urls(1500, 5)], "u string")
+    for r in df.select("u", urls.clean(F.col("u")).alias("c"), urls.param_set(urls.query(F.col("u"))).alias("p"), urls.simplify(urls.clean(F.col("u"))).alias("s")).collect():
+        assert r.p == spec.param_set(urlparse(r.u.strip()).query) and r.s == spec.simplify(r.c), r.u
 
 
 def test_simplify_is_idempotent(spark):
