@@ -857,3 +857,16 @@ def observed_counts(spark, d):
     rows = frontier.classify(fx.page_links(spark, d), fx.tops(spark, d, True))
     _, seen = counted(rows, "observed", links=F.count(F.lit(1)), allowed=F.count("host_id"), blacklisted=F.count_if(F.col("skip_reason") == "blacklisted"))
     return spark.createDataFrame([(seen["links"], seen["allowed"], seen["blacklisted"])], "links long, allowed long, blacklisted long")
+
+
+@query(f"WITH {CLEAN}, {FIELD}, most AS (SELECT clean_url, count(*) AS n FROM cl GROUP BY 1 ORDER BY n DESC, clean_url LIMIT 20) SELECT field.id, field.url FROM field JOIN most ON url = clean_url")
+def point_lookups(spark, d):
+    """The ids of the 20 URLs with most links, looked up in the table that is laid out for it."""
+    from gossamr.sources import lookup
+
+    path = scratch_path(spark, "lookup")
+    lookup.write_field(fx.field(spark, d).select("id", "url"), path)
+    found = fx.page_links(spark, d).groupBy(urls.clean(F.col("link")).alias("url")).agg(F.count("*").alias("n"))
+    most = [r.url for r in found.orderBy(F.desc("n"), "url").limit(20).collect()]
+    ids = [r.id for r in lookup.by_url(spark, path, most).collect()]
+    return lookup.by_id(spark, path, ids).select("id", "url")
