@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gossamr.operators import tables
 from gossamr.operators.scan import BITS, bounds, scanned
 from gossamr.sources import headers as headers_
+from gossamr.sources import volumes
 from gossamr.session import bucketed, materialize, sized
 from gossamr.sources.options import Options
 
@@ -145,9 +146,9 @@ def deletable(owned: DataFrame, content: DataFrame) -> DataFrame:
 
 def sync_candidates(directory: DataFrame, volume_loc: DataFrame, field: DataFrame, errors: DataFrame, locality: DataFrame, remote: int | None, in_flight: DataFrame | None = None) -> DataFrame:
     """(kind, id, steps): written volumes at the remote instance, then its loose pages without error, less those in flight (kind, id); both by id."""
-    volumes = volume_ownership(directory, volume_loc, remote).filter("is_local").select(F.lit("volume").alias("kind"), "id", F.lit("body,ownership,delete").alias("steps"))
+    packed = volume_ownership(directory, volume_loc, remote).filter("is_local").select(F.lit("volume").alias("kind"), "id", F.lit("body,ownership,delete").alias("steps"))
     pages = ownership(field, errors, locality, remote).filter("is_local").select(F.lit("page").alias("kind"), "id", F.lit("headers,body,ownership,delete").alias("steps"))
-    both = volumes.unionByName(pages)
+    both = packed.unionByName(pages)
     both = both if in_flight is None else both.join(in_flight, ["kind", "id"], "left_anti")
     return both.orderBy(F.desc("kind"), "id")
 
@@ -191,6 +192,18 @@ def purge(state: dict[str, DataFrame], ids: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def purge_all(state: dict[str, DataFrame], archives: DataFrame, ids: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """purge() of the tables and volumes.purge_volumes() of the archives (volume_id, archive) in one: both without the
+    URLs ids (id). Volumes left empty go from archives, directory and volume_loc.
+    """
+    left, emptied = volumes.purge_volumes(archives, state["content"], ids)
+    out = purge(state, ids)
+    for name, column in (("directory", "id"), ("volume_loc", "volume_id")):
+        if name in out:
+            out[name] = tables.without(out[name], column, emptied, "volume_id")
+    return out, left
+
+
 def edge_set_postings(edge_sets: DataFrame) -> DataFrame:
     """(member, row): which rows of edge_sets (by the hash of their sets) hold an id, on either side. From 5,000,000 rows
     on it is bucketed by member, so that purges look ids up without moving it.

@@ -1,3 +1,4 @@
+import io
 import random
 import zipfile
 
@@ -57,6 +58,30 @@ def test_purge_of_volumes(spark):
     assert [r.volume_id for r in out["volume_loc"].collect()] == [6] and out["content"].count() == 2 and out["nodes"].count() == 1
 
 
+def test_archives_are_zip_files_of_any_reader(spark):
+    """Members in order, empty and long ones, many volumes in a task; a reader of its own checks sizes and checksums."""
+    rng = random.Random(3)
+    rows = [(v, u, k, rng.randbytes(rng.choice([0, 10, 70_000])) + b"a" * rng.choice([0, 200_000])) for v in (3, 4, 9) for u in rng.sample(range(50), 8) for k in ("", "h")]
+    archives = volumes.zip_volumes(spark.createDataFrame([*rows, (11, 5, "", None)], "volume_id int, url_id long, kind string, body binary").repartition(3)).collect()
+    assert sorted(r.volume_id for r in archives) == [3, 4, 9, 11]
+    for r in archives:
+        with zipfile.ZipFile(io.BytesIO(r.archive)) as z:
+            own = sorted((u, k, b) for v, u, k, b in rows if v == r.volume_id) or [(5, "", b"")]
+            assert z.testzip() is None and [(i.filename, z.read(i)) for i in z.infolist()] == [(f"{u}{k}", b) for u, k, b in own]
+    df = spark.createDataFrame(archives)
+    assert sorted((r.volume_id, r.url_id, r.kind, bytes(r.body), r.siz) for r in volumes.members_of(df).collect() if r.volume_id < 11) == sorted((v, u, k, b, len(b)) for v, u, k, b in rows)
+    assert volumes.zip_volumes(spark.createDataFrame([], "volume_id long, url_id long, kind string, body binary")).count() == 0
+
+
+def test_purge_of_tables_and_archives_in_one_call(spark):
+    content = spark.createDataFrame([(1, 5), (2, 6), (3, 6)], "url_id long, volume_id long")
+    state = {"content": content, "directory": spark.createDataFrame([(5, 1), (6, 1), (7, None)], "id long, written long"), "volume_loc": spark.createDataFrame([(5, 1), (6, 1)], "volume_id long, instance_id long"), "field": spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, url string")}
+    archives = volumes.zip_volumes(content.selectExpr("volume_id", "url_id", "'' AS kind", "encode(concat('body ', url_id), 'utf-8') AS body"))
+    out, left = store.purge_all(state, archives, spark.createDataFrame([(1,), (3,)], "id long"))
+    assert [(r.volume_id, r.url_id, bytes(r.body)) for r in volumes.members_of(left).collect()] == [(6, 2, b"body 2")]
+    assert sorted(r.id for r in out["directory"].collect()) == [6, 7] and [r.volume_id for r in out["volume_loc"].collect()] == [6] and [r.id for r in out["field"].collect()] == [2]
+
+
 def test_ownership(spark):
     field = spark.createDataFrame([(i, None if i == 5 else 1) for i in range(1, 6)], "id long, checkd long")
     errors = spark.createDataFrame([(4,)], "url_id long")
