@@ -1,5 +1,6 @@
 import io
 import random
+import re
 import zipfile
 
 import pytest
@@ -26,7 +27,9 @@ def test_pack_of_nothing_and_without_tasks_for_whole_groups(spark):
     df = spark.createDataFrame([(i, 10) for i in range(5000)], "url_id long, siz long")
     assert store.pack(df.limit(0), 200).count() == 0
     plan = store.pack(df, 200)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Pandas" not in plan and "SinglePartition" not in plan
+    assert "Python" not in plan and "Pandas" not in plan
+    # one task has the top of a scan, whose rows are chunks: at most 1,024
+    assert all("Sort [_chunk" in plan[m.start() - 150 : m.start()] for m in re.finditer("SinglePartition", plan))
 
 
 def test_purged_edge_sets_equal_one_at_a_time(spark):
