@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import threading
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -80,6 +82,7 @@ def admission_rows(found: DataFrame, field: DataFrame, blacklist: list[str] | No
     known = field.select(F.col("url").alias("form"), F.lit(True).alias("_in")).distinct()
     rows = rows.join(known, "form", "left").withColumn("known", F.col("_in").isNotNull()).drop("_in")
     ship(found.sparkSession)
+    register_pickle_by_value(sys.modules[__name__])  # the driver's own worker, that asks for the state's schema, gets no files
     return rows.groupBy("form").transformWithStateInPandas(Admission(), ADMITTED, "Append", "None")
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -85,4 +87,5 @@ def release_stream(events: DataFrame, late: str = "0 seconds") -> DataFrame:
     rows = rows.select("host_id", F.col("second").cast("long").alias("second"), F.col("url_id").isNotNull().alias("is_url"), F.coalesce("url_id", F.lit(0)).cast("long").alias("url_id"), F.coalesce("priority", F.lit(0)).cast("long").alias("priority"), F.coalesce("until", F.lit(0)).cast("long").alias("until"))
     rows = rows.withColumn("at", F.timestamp_seconds("second")).withWatermark("at", late)
     ship(events.sparkSession)
+    register_pickle_by_value(sys.modules[__name__])  # the driver's own worker, that asks for the state's schema, gets no files
     return rows.groupBy("host_id").transformWithStateInPandas(Scheduler(), RELEASED, "Append", "EventTime")
