@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gossamr.session import discard, materialize, ship
+from gossamr.session import discard, materialize, ship, sized
 
 #: Edges up to which one task finds the components by itself: 16 bytes each.
 SMALL = 1_000_000
@@ -63,10 +63,10 @@ def components(edges: DataFrame, src: str = "from_id", dst: str = "to_id", small
     while mark[0]:
         both = flat.unionByName(flat.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.join(sized(least, 2 * mark[0]), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.col("v").alias("a"), "m").filter("a <> m").select(F.col("a").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        small = down.join(sized(least, 2 * mark[0]), "u").select(F.col("v").alias("a"), "m").filter("a <> m").select(F.col("a").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         before, old = mark, flat
         flat = materialize(small, "components")
         discard(old)

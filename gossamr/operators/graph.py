@@ -124,59 +124,73 @@ def path_yield(nodes: DataFrame, edges: DataFrame, depths: DataFrame, targets: D
     word = [F.expr(f"CASE WHEN id % {block} div 64 = {k} THEN shiftleft(1L, CAST(id % 64 AS INT)) ELSE 0L END").alias(w) for k, w in enumerate(bits)]
     own = own.select("url_id", "depth", F.expr(f"id div {block}").alias("block"), *word)
     own = materialize(own, "yield-targets")
-    deepest = own.agg(F.max("depth")).first()[0]
+    deepest, blocks = own.agg(F.max("depth"), F.max("block") + 1).first()
     if deepest is None:
         return nodes.select("url_id").distinct().withColumn("yield", F.lit(0.0))
     near = edges.select("from_id", "to_id").join(reached.select(F.col("url_id").alias("from_id"), F.col("depth").alias("_from")), "from_id")
     near = near.join(reached.select(F.col("url_id").alias("to_id"), F.col("depth").alias("_to")), "to_id").filter("_from = _to - 1 and _from > 0").select("from_id", "to_id", F.col("_to").alias("depth")).distinct()
     near = materialize(near, "yield-edges", "depth")
-    level, total = None, None
+    level, every = None, None
     for depth in range(deepest, 0, -1):
         rows = own.filter(F.col("depth") == depth).select("url_id", "block", *bits)
         if level is not None:
             up = level.join(near.filter(F.col("depth") == depth + 1).select(F.col("to_id").alias("url_id"), "from_id"), "url_id")
             rows = rows.unionByName(up.select(F.col("from_id").alias("url_id"), "block", *bits))
         level = materialize(rows.groupBy("url_id", "block").agg(*[F.bit_or(w).alias(w) for w in bits]), "yield-level")
-        mine = _worth(level, bits)
-        total = mine if total is None else total.unionByName(mine)
-    total = total.groupBy("url_id").agg(F.sum("share").alias("yield"))
+        mine = level.select("url_id", (F.lit(depth) * blocks + F.col("block")).alias("part"), *bits)
+        every = mine if every is None else every.unionByName(mine)
+    total = _worth(every, bits).groupBy("url_id").agg(F.sum("share").alias("yield"))
     return nodes.select("url_id").distinct().join(total, "url_id", "left").select("url_id", F.coalesce("yield", F.lit(0.0)).alias("yield"))
 
 
-def _worth(level: DataFrame, bits: list[str]) -> DataFrame:
-    """(url_id, share) of a level's rows of bits: the sum, over the bits set, of 1 by the number of the level's rows that have the bit."""
+#: Parts whose counts a task holds at a time.
+PARTS = 1024
+
+
+def _worth(rows: DataFrame, bits: list[str]) -> DataFrame:
+    """(url_id, share) of rows of bits: the sum, over the bits set, of 1 by the number of rows of the same part (a block on
+    a level) that have the bit. All levels are counted in one pass and shared out in another.
+    """
 
     def unpacked(batch: pa.RecordBatch) -> np.ndarray:
         packed = np.stack([batch.column(w).to_numpy(zero_copy_only=False).astype("<i8") for w in bits], axis=1)
         return np.unpackbits(packed.view(np.uint8), axis=1, bitorder="little")
 
+    def by_part(batch: pa.RecordBatch):
+        for at in range(0, batch.num_rows, 4096):
+            piece = batch.slice(at, 4096)
+            of = piece.column("part").to_numpy(zero_copy_only=False)
+            order = np.argsort(of, kind="stable")
+            edges_ = np.nonzero(np.diff(of[order]))[0] + 1
+            yield piece, unpacked(piece), [(int(of[i[0]]), i) for i in np.split(order, edges_)]
+
+    def told(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))], names=["part", "counts"])
+
     def count(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                rows, blocks = unpacked(part), part.column("block").to_numpy(zero_copy_only=False)
-                for b in np.unique(blocks):
-                    sums[int(b)] = sums.get(int(b), 0) + rows[blocks == b].sum(axis=0, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))], names=["block", "counts"])
+            for _, rows_, parts in by_part(batch):
+                for p, i in parts:
+                    if len(sums) >= PARTS and p not in sums:
+                        yield told(sums)
+                        sums.clear()
+                    sums[p] = sums.get(p, 0) + rows_[i].sum(axis=0, dtype=np.int64)
+        yield told(sums)
 
     def share(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                counts = part.column("counts")
-                rows, out = unpacked(part), np.zeros(part.num_rows)
-                blocks = part.column("block").to_numpy(zero_copy_only=False)
-                for b in np.unique(blocks):
-                    i = np.nonzero(blocks == b)[0]
-                    out[i] = rows[i] @ (1.0 / np.maximum(1, np.array(counts[int(i[0])].as_py())))
-                yield pa.RecordBatch.from_arrays([part.column("url_id"), pa.array(out)], names=["url_id", "share"])
-
-    ship(level.sparkSession)
-    parts = level.select("block", *bits).mapInArrow(count, "block long, counts array<long>")
+            for piece, rows_, parts in by_part(batch):
+                counts, out = piece.column("counts"), np.zeros(piece.num_rows)
+                for _, i in parts:
+                    out[i] = rows_[i] @ (1.0 / np.maximum(1, np.array(counts[int(i[0])].as_py())))
+                yield pa.RecordBatch.from_arrays([piece.column("url_id"), pa.array(out)], names=["url_id", "share"])
+
+    ship(rows.sparkSession)
     at = F.posexplode("counts").alias("bit", "n")
-    sums = parts.select("block", at).groupBy("block", "bit").agg(F.sum("n").alias("n")).groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("bit", "n"))), lambda x: x["n"]).alias("counts"))
-    return level.join(sized(materialize(sums, "yield-counts")), "block").select("url_id", "block", *bits, "counts").mapInArrow(share, "url_id long, share double")
+    sums = rows.select("part", *bits).mapInArrow(count, "part long, counts array<long>").select("part", at).groupBy("part", "bit").agg(F.sum("n").alias("n"))
+    sums = sums.groupBy("part").agg(F.transform(F.array_sort(F.collect_list(F.struct("bit", "n"))), lambda x: x["n"]).alias("counts"))
+    return rows.join(sized(materialize(sums, "yield-counts")), "part").select("url_id", "part", *bits, "counts").mapInArrow(share, "url_id long, share double")
 
 
 def paydirt(field: DataFrame, depths: DataFrame, rx: str) -> DataFrame:

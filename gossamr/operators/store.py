@@ -48,13 +48,17 @@ def gzip_wanted(size: Column, accepts: Column, options: Options = Options()) ->
     return (size >= options.compress_threshold) & (size <= options.no_compress_threshold) & F.coalesce(F.contains(accepts, F.lit("gzip")), F.lit(False))
 
 
+#: Pointers that make one of the next length.
+STEPS = 4
+
+
 def _closing(ends: DataFrame, threshold: int) -> DataFrame:
     """(end): of the running totals of sizes (end: positive, each once) those at which a volume is closed.
 
     A volume that begins after the total x is closed by the first total past x + threshold. That is a pointer from each
-    total to another one; which of them the chain from 0 goes through is found by doubling: pointers over 1, 2, 4, ...
-    volumes, each kept only for totals that the pointers before it lead to, which are fewer each time; then the chain is
-    filled in from the longest pointers to the shortest. So there are log(volumes) joins, of less and less rows.
+    total to another one; which of them the chain from 0 goes through is found from pointers over 1, 4, 16, ... volumes,
+    each kept only for totals that the pointers before it lead to, which are fewer each time; then the chain is filled in
+    from the longest pointers to the shortest. So there are log(volumes) joins, of less and less rows.
     """
     n, total = ends.agg(F.count("*"), F.max("end")).first()
     if not n:
@@ -66,14 +70,24 @@ def _closing(ends: DataFrame, threshold: int) -> DataFrame:
     pointers = scanned(asked.unionByName(there), [], ["at", "asks"], 0, total + threshold, nexts=("found",), bits=bits, above=BITS)
     pointers = materialize(pointers.filter("asks = 1 and next_found is not null").select(F.col("origin").alias("end"), F.col("next_found.at").alias("to")), "pack-pointers")
     lengths = []
-    while not pointers.filter("end = 0").isEmpty():
+    while True:
+        rows, from_root = pointers.agg(F.count("*"), F.count_if(F.col("end") == 0)).first()
+        if not from_root:
+            break
         lengths.append(pointers)
-        led = pointers.select(F.col("to").alias("end")).unionByName(root).distinct()
-        steps = pointers.join(led, "end", "left_semi")
-        pointers = materialize(steps.join(pointers.select(F.col("end").alias("to"), F.col("to").alias("further")), "to").select("end", F.col("further").alias("to")), "pack-pointers")
-    chain = root
+        led = pointers.select(F.col("to").alias("end")).unionByName(root)
+        ahead = sized(pointers.select(F.col("end").alias("to"), F.col("to").alias("further")), rows)
+        steps = pointers.join(sized(led, rows + 1), "end", "left_semi")
+        for _ in range(STEPS - 1):
+            steps = steps.join(ahead, "to").select("end", F.col("further").alias("to"))
+        pointers = materialize(steps, "pack-pointers")
+    chain, links = root, 1
     for pointers in reversed(lengths):
-        chain = materialize(chain.unionByName(chain.join(pointers, "end").select(F.col("to").alias("end"))), "pack-chain")
+        part, every = chain, chain
+        for _ in range(STEPS - 1):
+            part = pointers.join(sized(part, links), "end", "left_semi").select(F.col("to").alias("end"))
+            every = every.unionByName(part)
+        chain, links = materialize(every, "pack-chain"), STEPS * links
     return chain.filter("end > 0")
 
 
