@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gossamr.functions import urls
+from gossamr.session import materialize
 
 
 def squash(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -19,10 +20,53 @@ def squash(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     return children.groupBy(F.xxhash64("to_set").alias("_h"), "to_set").agg(F.array_sort(F.collect_list("from_id")).alias("from_set")).select("from_set", "to_set")
 
 
+def classes(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """(class_id, from_id): parents of squash() as rows, a class named by the least of them.
+
+    Parents are compared by how many children they have and two xors of hashes of them, 128 bits in all, which are summed
+    map-side: no array is made, so neither a page with most of the links nor a class of most of the pages is one row.
+    Null children do not count; parents without any are a class.
+    """
+    if nodes is not None:
+        edges = edges.join(nodes.select(F.col("url_id").alias("from_id")).distinct(), "from_id", "left_semi")
+    links = edges.select("from_id", "to_id").filter("from_id is not null").distinct()
+    some = F.col("to_id").isNotNull()
+    mixed = lambda *more: F.coalesce(F.bit_xor(F.when(some, F.xxhash64(*more, "to_id"))), F.lit(0).cast("long"))
+    digests = links.groupBy("from_id").agg(F.count("to_id").alias("_n"), mixed().alias("_x"), mixed(F.lit(1)).alias("_y"))
+    named = digests.groupBy("_n", "_x", "_y").agg(F.min("from_id").alias("class_id"))
+    return digests.join(named, ["_n", "_x", "_y"]).select("class_id", "from_id")
+
+
+def class_children(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """(class_id, to_id): the children that the parents of a class of classes() have, read off the one that names it."""
+    named = members.filter("from_id = class_id").select("class_id")
+    return edges.select(F.col("from_id").alias("class_id"), "to_id").filter("to_id is not null").join(named, "class_id", "left_semi").distinct()
+
+
+def purge_classes(members: DataFrame, children: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """classes() and class_children() without the ids (id) on either side: classes left without parents or children go,
+    those that come to have the same children are one, all are named by the least parent left.
+    """
+    gone = ids.select("id").distinct()
+    parents = members.join(gone, F.col("from_id") == F.col("id"), "left_anti")
+    kids = children.join(gone, F.col("to_id") == F.col("id"), "left_anti").join(parents.select("class_id").distinct(), "class_id", "left_semi")
+    kids = materialize(kids, "purge-children")
+    same = materialize(classes(kids.select(F.col("class_id").alias("from_id"), "to_id")).select(F.col("from_id").alias("class_id"), F.col("class_id").alias("_same")), "purge-same")
+    parents = materialize(parents.join(same, "class_id").select("_same", "from_id"), "purge-parents")
+    names = parents.groupBy("_same").agg(F.min("from_id").alias("class_id"))
+    left = parents.join(names, "_same").select("class_id", "from_id")
+    return left, kids.withColumnRenamed("class_id", "_same").join(names, "_same").select("class_id", "to_id")
+
+
 def split_by_head(edge_sets: DataFrame, field: DataFrame) -> DataFrame:
     """(group_id, head, url_id, url): members of classes of at least two parents, by URL head, in groups of at least two."""
-    members = edge_sets.filter(F.size("from_set") > 1).select(F.xxhash64("to_set").alias("_class"), F.explode("from_set").alias("url_id"))
-    named = members.join(field.select(F.col("id").alias("url_id"), "url"), "url_id").withColumn("head", urls.head(F.col("url"))).filter("head is not null")
+    members = edge_sets.filter(F.size("from_set") > 1).select(F.xxhash64("to_set").alias("class_id"), F.explode("from_set").alias("from_id"))
+    return head_groups(members, field)
+
+
+def head_groups(members: DataFrame, field: DataFrame) -> DataFrame:
+    """As split_by_head(), of the rows of classes()."""
+    named = members.select(F.col("class_id").alias("_class"), F.col("from_id").alias("url_id")).join(field.select(F.col("id").alias("url_id"), "url"), "url_id").withColumn("head", urls.head(F.col("url"))).filter("head is not null")
     named = named.withColumn("group_id", F.xxhash64("_class", "head"))
     many = named.groupBy("group_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("group_id")
     return named.join(many, "group_id", "left_semi").select("group_id", "head", "url_id", "url")

@@ -540,8 +540,23 @@ def edge_sets(spark, d):
     return rows.select(F.array_join(F.transform("from_set", lambda x: x.cast("string")), ",").alias("from_set"), F.array_join(F.transform("to_set", lambda x: x.cast("string")), ",").alias("to_set"))
 
 
+def _class_rows(members, children):
+    rows = members.select("class_id", F.lit("parent").alias("side"), F.col("from_id").alias("id"))
+    return rows.unionByName(children.select("class_id", F.lit("child").alias("side"), F.col("to_id").alias("id")))
+
+
+CLASS_ROWS = "SELECT list_min(from_set) AS class_id, 'parent' AS side, unnest(from_set) AS id FROM {0} UNION ALL SELECT list_min(from_set) AS class_id, 'child' AS side, CAST(unnest(to_set) AS BIGINT) AS id FROM {0}"
+
+
+@query(f"WITH {SETS} {CLASS_ROWS.format('es')}")
+def edge_classes(spark, d):
+    edges = fx.user_days(spark, d)
+    members = materialize(params.classes(edges), "classes")
+    return _class_rows(members, params.class_children(members, edges))
+
+
 def _groups(spark, d):
-    return params.split_by_head(params.squash(fx.user_days(spark, d)), fx.param_field(spark, d))
+    return params.head_groups(params.classes(fx.user_days(spark, d)), fx.param_field(spark, d))
 
 
 @query(f"WITH {GROUPS} SELECT head, url_id FROM grp")
@@ -703,7 +718,16 @@ def purge_tables(spark, d):
     return parts[0]
 
 
-PURGED = f"WITH {SETS}, g AS (SELECT user_id * 100 + day(ts) AS id FROM events WHERE value > 300 UNION SELECT 3), k AS (SELECT from_id, list_sort(list(to_id)) AS to_set FROM ud WHERE to_id NOT IN (SELECT id FROM g) GROUP BY 1), f AS (SELECT from_id, to_set FROM k WHERE from_id NOT IN (SELECT id FROM g)) SELECT array_to_string(list_sort(list(from_id)), ',') AS from_set, array_to_string(to_set, ',') AS to_set FROM f GROUP BY to_set"
+KEPT_SETS = f"{SETS}, g AS (SELECT user_id * 100 + day(ts) AS id FROM events WHERE value > 300 UNION SELECT 3), k AS (SELECT from_id, list_sort(list(to_id)) AS to_set FROM ud WHERE to_id NOT IN (SELECT id FROM g) GROUP BY 1), f AS (SELECT from_id, to_set FROM k WHERE from_id NOT IN (SELECT id FROM g)), ks AS (SELECT list_sort(list(from_id)) AS from_set, to_set FROM f GROUP BY to_set)"
+PURGED = f"WITH {KEPT_SETS} SELECT array_to_string(from_set, ',') AS from_set, array_to_string(to_set, ',') AS to_set FROM ks"
+
+
+@query(f"WITH {KEPT_SETS} {CLASS_ROWS.format('ks')}")
+def purge_classes(spark, d):
+    ids = fx.table(spark, d, "events").filter("value > 300").select((F.col("user_id") * 100 + F.dayofmonth("ts")).cast("long").alias("id")).union(spark.sql("SELECT 3L"))
+    edges = fx.user_days(spark, d)
+    members = materialize(params.classes(edges), "classes")
+    return _class_rows(*params.purge_classes(members, params.class_children(members, edges), ids))
 
 
 @query(PURGED)

@@ -135,6 +135,31 @@ def test_squash_and_scores(spark):
         assert {r.nameval: (r.agreement, r.irrelevancy) for r in f(groups).collect()} == want
 
 
+def test_classes_as_rows_are_squashed_sets_also_after_purges(spark):
+    rng = random.Random(7)
+    edges = [(i, c) for i in range(60) for c in rng.choice([[1], [1, 2], [2, 3], [1, 2, 3], [1, None], [None]])] + [(None, 1), (99, 1), (99, 1)]
+    gone = [2, 5, 17, 40, 0]
+    edges = spark.createDataFrame(edges, "from_id long, to_id long")
+
+    def named(pairs):
+        sets = {}
+        for parent in {p for p, _ in pairs}:
+            sets.setdefault(frozenset(c for p, c in pairs if p == parent and c is not None), set()).add(parent)
+        return {(min(v), p) for v in sets.values() for p in v}, {(min(v), c) for k, v in sets.items() for c in k}
+
+    pairs = [tuple(r) for r in edges.collect() if r.from_id is not None]
+    members = params.classes(edges)
+    children = params.class_children(members, edges)
+    assert ({tuple(r) for r in members.collect()}, {tuple(r) for r in children.collect()}) == named(pairs)
+    assert "collect" not in members._jdf.queryExecution().toString()
+    left = params.purge_classes(members, children, spark.createDataFrame([(x,) for x in gone], "id long"))
+    kept = [(p, c) for p, c in pairs if p not in gone and c not in gone and c is not None]
+    found = [[tuple(r) for r in x.collect()] for x in left]
+    assert (set(found[0]), set(found[1])) == named(kept) and all(len(x) == len(set(x)) for x in found)
+    none = params.classes(edges.limit(0))
+    assert none.count() == 0 and params.purge_classes(none, params.class_children(none, edges.limit(0)), spark.range(3))[0].count() == 0
+
+
 def test_redirect_classes_and_neighbors(spark):
     rows = graph.redirect_classes(spark.createDataFrame([(2, 1), (3, 2), (8, 9)], "from_id long, to_id long"), spark.createDataFrame([(1, True)], "url_id long, has_body boolean"))
     assert {tuple(r) for r in rows.collect()} == {(1, 3, 1, True), (1, 3, 2, False), (1, 3, 3, False), (8, 2, 8, False), (8, 2, 9, False)}
