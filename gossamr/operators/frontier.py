@@ -172,15 +172,22 @@ def releases(events: DataFrame) -> DataFrame:
     An event with a url_id queues it, at its second; one without holds its host until a second, that included. Holds that
     begin before the one before has ended make one stretch. A URL that comes in a stretch is released in the second
     after it, any other when it comes. Of one second holds come first.
+
+    Both windows are cut into chunks of seconds, so that no task holds all events of a host.
     """
-    order = Window.partitionBy("host_id").orderBy("second", F.col("url_id").isNotNull())
-    hold = F.when(F.col("url_id").isNull() & (F.col("until") >= F.col("second")), F.col("until"))
-    rows = events.filter("host_id is not null and second is not null and (url_id is not null or until is not null)").withColumn("_hold", hold)
-    rows = rows.withColumn("_before", F.max("_hold").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    begins = F.col("_hold").isNotNull() & (F.col("_before").isNull() | (F.col("_before") < F.col("second")))
-    rows = rows.withColumn("_stretch", F.sum(F.when(begins, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = rows.filter("_hold is not null").groupBy("host_id", "_stretch").agg(F.max("_hold").alias("_end"))
-    waiting = rows.filter("url_id is not null").join(ends, ["host_id", "_stretch"], "left")
+    events = events.filter("host_id is not null and second is not null")
+    holds = events.filter("url_id is null and until >= second").groupBy("host_id", F.col("second").cast("long").alias("second")).agg(F.max("until").cast("long").alias("_hold"))
+    holds = holds.withColumn("_least", -F.col("_hold"))
+    low, high = bounds(holds, "second")
+    holds = scanned(holds, ["host_id"], ["second"], low, high, mins=("_least",))
+    begins = F.when(F.coalesce(-F.col("min__least"), F.col("second") - 1) < F.col("second"), 1).otherwise(0).cast("long")
+    holds = holds.select("host_id", "second", F.lit(0).alias("_kind"), F.lit(None).cast(events.schema["url_id"].dataType).alias("url_id"), F.lit(None).cast(events.schema["priority"].dataType).alias("priority"), "_hold", begins.alias("_begins"))
+    urls_ = events.filter("url_id is not null").select("host_id", F.col("second").cast("long").alias("second"), F.lit(1).alias("_kind"), "url_id", "priority", F.lit(None).cast("long").alias("_hold"), F.lit(0).cast("long").alias("_begins"))
+    rows = materialize(holds.unionByName(urls_), "releases")
+    low, high = bounds(rows, "second")
+    rows = scanned(rows, ["host_id"], ["second", "_kind"], low, high, sums=("_begins",)).withColumn("_stretch", F.col("sum__begins") + F.col("_begins"))
+    ends = rows.filter("_kind = 0").groupBy("host_id", "_stretch").agg(F.max("_hold").alias("_end"))
+    waiting = rows.filter("_kind = 1").join(ends, ["host_id", "_stretch"], "left")
     return waiting.select("host_id", "url_id", "priority", F.when(F.col("_end") >= F.col("second"), F.col("_end") + 1).otherwise(F.col("second")).alias("released"))
 
 

@@ -51,6 +51,13 @@ def test_releases_equal_events_in_turn(spark, seed):
     assert sorted(map(tuple, frontier.releases(df).collect())) == one_by_one(events)
 
 
+def test_releases_over_many_chunks_of_seconds(spark):
+    events = [(h, 37 * (s - 1000), u, p, until and 37 * (s - 1000) + 40 * (until - s)) for h, s, u, p, until in made_up(random.Random(9), 400)]
+    df = spark.createDataFrame([*events, (1, 5, None, None, 2000), (1, 5, None, None, 1000)], SCHEMA).repartition(3)
+    held = sorted([*events, (1, 5, None, None, 2000)], key=lambda e: (e[1], e[2] is not None))
+    assert sorted(map(tuple, frontier.releases(df).collect())) == one_by_one(held)
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_stream_releases_what_a_batch_does(spark, tmp_path, seed):
     """Three batches of events, and one far later, whose watermark lets all timers end."""
