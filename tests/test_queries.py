@@ -33,3 +33,12 @@ def test_query_equals_its_sql(spark, data, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_orders_beyond_a_million_have_bodies(spark, tmp_path):
+    """Ids of 1,000,000 and more have a body on either side of a redirect, as the SQL has it."""
+    rows = spark.createDataFrame([(5, 1, 50.0, 0.1), (1_000_007, 1, 50.0, 0.1), (999_999, 3, 49.0, 0.09), (8, 8, 1.0, 0.1)], "l_orderkey long, l_partkey long, l_quantity double, l_discount double")
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {(r.component, r["size"], r.id, r.has_body) for r in QUERIES["redirect_classes"](spark, str(tmp_path)).collect()}
+    assert got == {(5, 3, 5, False), (5, 3, 1_000_001, True), (5, 3, 1_000_007, True), (999_999, 2, 999_999, False), (999_999, 2, 1_000_003, True)}
+    assert {(r.id, r.line[0]) for r in QUERIES["class_report"](spark, str(tmp_path)).collect()} == {(i, "!" if b else "h") for _, _, i, b in got}
