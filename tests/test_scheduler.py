@@ -71,3 +71,41 @@ def test_stream_releases_what_a_batch_does(spark, tmp_path, seed):
         scheduler.release_stream(source).writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
     got = sorted(map(tuple, spark.read.schema(scheduler.RELEASED).parquet(str(tmp_path / "out")).collect()))
     assert got == one_by_one([*events, (9, 1_000_000, -1, 0, None)])
+
+
+class Counting:
+    """A state variable that counts how often it is asked."""
+
+    def __init__(self, calls):
+        self.calls, self.value = calls, []
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append(name)
+            if name in ("update", "appendList"):
+                self.value = [args[0]] if name == "update" else self.value + args[0]
+            if name == "clear":
+                self.value = []
+            return {"exists": bool(self.value), "get": (self.value[0] if self is self.one else iter(self.value)) if self.value else iter([])}.get(name)
+
+        return call
+
+
+def test_state_is_asked_once_a_batch_not_once_an_event():
+    """Two batches of 2,000 events of one host, whose hold goes on from one to the other."""
+    import pandas as pd
+
+    calls = []
+    until, waiting = Counting(calls), Counting(calls)
+    until.one, waiting.one = until, until
+    handle = type("Handle", (), {"getValueState": lambda *_: until, "getListState": lambda *_: waiting, "getMapState": lambda *_: waiting, "registerTimer": lambda *_: None})()
+    work = scheduler.Scheduler()
+    work.init(handle)
+    out = []
+    for part in (0, 1):
+        rows = [(1000 + part, i > 0, part * 2000 + i, i % 3, 1500) for i in range(2000)]
+        for frame in work.handleInputRows((1, 0), iter([pd.DataFrame(rows, columns=["second", "is_url", "url_id", "priority", "until"])]), None):
+            out.append(frame)
+    assert sum(map(len, out)) == 0 and len(calls) < 20
+    last = pd.concat(work.handleInputRows((1, 0), iter([pd.DataFrame([(1501, True, 9999, 0, 0)], columns=["second", "is_url", "url_id", "priority", "until"])]), None))
+    assert len(last) == 3999 and set(last["released"]) == {1501} and not until.value and not waiting.value
