@@ -171,3 +171,13 @@ def test_healthchecks_are_due_at_intervals():
     from gossamr.operators.frontier import healthcheck_due
 
     assert [n for n in range(1, 40) if healthcheck_due(n, 20, 10)] == [20, 30] and not healthcheck_due(100, 20, 0)
+
+
+def test_postings_hash_a_row_once(spark, monkeypatch):
+    """The hash of a row's sets is below the step that makes a row for each member."""
+    monkeypatch.setattr(store, "bucketed", lambda rows, *_: rows)
+    sets = spark.createDataFrame([([1, 2], [3]), ([4], [2, 5])], "from_set array<long>, to_set array<long>")
+    found = store.edge_set_postings(sets)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("Generate") < plan.find("xxhash64")
+    assert sorted(r.member for r in found.collect()) == [1, 2, 2, 3, 4, 5] and found.select("row").distinct().count() == 2
