@@ -6,8 +6,6 @@ executor costs one level at most. The driver sees counts only.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from gossamr.functions import urls
 from gossamr.operators import tables
 from gossamr.operators.components import components
 from gossamr.operators.frontier import check_hosts
-from gossamr.session import bucketed, materialize, ship, sized
+from gossamr.session import bucketed, materialize, sized
 from gossamr.sources.options import Options
 
 
@@ -94,103 +92,86 @@ def parents(level_set: DataFrame, edges: DataFrame, depths: DataFrame) -> DataFr
     return near.select("target", F.col("from_id").alias("url_id"), "depth").distinct()
 
 
+def _near(edges: DataFrame, reached: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """(from_id, to_id, depth: of to_id), the distinct edges to nodes one step farther from the roots, and their numbers by depth."""
+    near = edges.select("from_id", "to_id").join(reached.select(F.col("url_id").alias("from_id"), F.col("depth").alias("_from")), "from_id")
+    near = near.join(reached.select(F.col("url_id").alias("to_id"), "depth"), "to_id").filter("_from = depth - 1").select("from_id", "to_id", "depth").distinct()
+    near = materialize(near, "near-edges", "depth")
+    return near, {r["depth"]: r["count"] for r in near.groupBy("depth").count().collect()}
+
+
+def _back(near: DataFrame, steps: dict[int, int], depth: int) -> DataFrame:
+    """(url_id, from_id): the edges of _near() that lead to nodes of a depth, for broadcast if they are few."""
+    return sized(near.filter(F.col("depth") == depth).select(F.col("to_id").alias("url_id"), "from_id"), steps.get(depth, 0))
+
+
 def trace(targets: DataFrame, edges: DataFrame, depths: DataFrame) -> DataFrame:
-    """(target, depth, url_id): all nodes on shortest paths from depth 0 to the reached targets (url_id), targets included."""
-    depths = materialize(depths.filter("depth is not null"), "trace-depths")
-    edges = bucketed(edges.select("from_id", "to_id"), "trace-edges", "to_id")
-    level = materialize(targets.join(depths, "url_id").select(F.col("url_id").alias("target"), "url_id", "depth").distinct(), "trace")
-    out = level
-    while not level.filter("depth > 0").isEmpty():
-        level = materialize(parents(level.filter("depth > 0"), edges, depths), "trace")
-        out = out.unionByName(level)
-    return out.select("target", "depth", "url_id")
+    """(target, depth, url_id): all nodes on shortest paths from depth 0 to the reached targets (url_id), targets included.
+
+    Edges that lead one step away from the roots are kept by depth, once; a level is then one join with those of its depth,
+    that are broadcast where they are few.
+    """
+    reached = materialize(depths.filter("depth is not null").select("url_id", "depth"), "trace-depths")
+    near, steps = _near(edges, reached)
+    start = materialize(targets.select("url_id").distinct().join(reached, "url_id").select(F.col("url_id").alias("target"), "url_id", "depth"), "trace-targets", "depth")
+    levels = [start]
+    above = None
+    for depth in range(start.agg(F.max("depth")).first()[0] or 0, 0, -1):
+        # what is at this depth: the targets there, and the nodes before those one step down, by how far up they are
+        here = start.filter(F.col("depth") == depth).select("target", "url_id")
+        here = here if above is None else here.unionByName(above.select("target", "url_id"))
+        up = here.join(_back(near, steps, depth), "url_id").select("target", F.col("from_id").alias("url_id"), F.lit(depth - 1).alias("depth")).distinct()
+        above = materialize(up, "trace")
+        levels.append(above)
+    out = levels[0].select("target", "depth", "url_id")
+    for level in levels[1:]:
+        out = out.unionByName(level.select("target", "depth", "url_id"))
+    return out
 
 
 #: Targets that share a row of bits.
-BLOCK = 1024
+BLOCK = 64
 
 
 def path_yield(nodes: DataFrame, edges: DataFrame, depths: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFrame:
     """(url_id, yield) of all nodes: for each target, 1 shared evenly by the nodes of each level of its paths above 0.
 
-    Targets are numbered and dealt to blocks; a node has a row of bits for each block of which it is on paths, those of
-    its children on the next level joined by or. How many nodes of a level have a bit are sums over rows of bits, and a
-    node's yield is what its bits are worth. No row of a target and a node is ever made.
+    Targets are numbered and dealt to blocks; a node has rows of 64 bits for the blocks of which it is on paths, and those of
+    its children on the next level are joined by or. How many nodes of a level have a bit are sums over these rows, and a
+    node's yield is what its bits are worth. There are never more rows than nodes on the targets' paths, and many fewer
+    where nodes are on the paths of most.
     """
-    words = block // 64
-    reached = materialize(depths.filter("depth is not null").select("url_id", "depth"), "yield-depths")
-    own = tables.numbered(targets.select("url_id").distinct().join(reached, "url_id").filter("depth > 0"), 0, "url_id")
-    bits = [f"w{k}" for k in range(words)]
+    near, steps = _near(edges, materialize(depths.filter("depth is not null").select("url_id", "depth"), "yield-depths"))
+    own = targets.select("url_id").distinct().join(depths.filter("depth > 0").select("url_id", "depth"), "url_id")
+    bits = [f"w{k}" for k in range(block // 64)]
     word = [F.expr(f"CASE WHEN id % {block} div 64 = {k} THEN shiftleft(1L, CAST(id % 64 AS INT)) ELSE 0L END").alias(w) for k, w in enumerate(bits)]
-    own = own.select("url_id", "depth", F.expr(f"id div {block}").alias("block"), *word)
-    own = materialize(own, "yield-targets")
-    deepest, blocks = own.agg(F.max("depth"), F.max("block") + 1).first()
+    own = materialize(tables.numbered(own, 0, "url_id").select("url_id", F.expr(f"id div {block}").alias("block"), *word, "depth"), "yield-targets", "depth")
+    deepest = own.agg(F.max("depth")).first()[0]
     if deepest is None:
         return nodes.select("url_id").distinct().withColumn("yield", F.lit(0.0))
-    near = edges.select("from_id", "to_id").join(reached.select(F.col("url_id").alias("from_id"), F.col("depth").alias("_from")), "from_id")
-    near = near.join(reached.select(F.col("url_id").alias("to_id"), F.col("depth").alias("_to")), "to_id").filter("_from = _to - 1 and _from > 0").select("from_id", "to_id", F.col("_to").alias("depth")).distinct()
-    near = materialize(near, "yield-edges", "depth")
     level, every = None, None
     for depth in range(deepest, 0, -1):
         rows = own.filter(F.col("depth") == depth).select("url_id", "block", *bits)
         if level is not None:
-            up = level.join(near.filter(F.col("depth") == depth + 1).select(F.col("to_id").alias("url_id"), "from_id"), "url_id")
-            rows = rows.unionByName(up.select(F.col("from_id").alias("url_id"), "block", *bits))
+            rows = rows.unionByName(level.join(_back(near, steps, depth + 1), "url_id").select(F.col("from_id").alias("url_id"), "block", *bits))
         level = materialize(rows.groupBy("url_id", "block").agg(*[F.bit_or(w).alias(w) for w in bits]), "yield-level")
-        mine = level.select("url_id", (F.lit(depth) * blocks + F.col("block")).alias("part"), *bits)
+        mine = level.withColumn("depth", F.lit(depth))
         every = mine if every is None else every.unionByName(mine)
-    total = _worth(every, bits).groupBy("url_id").agg(F.sum("share").alias("yield"))
+    # in rows of one word each, so that 64 counts make a part
+    word = F.explode(F.filter(F.array(*[F.struct(F.lit(k).alias("word"), F.col(w).alias("bits")) for k, w in enumerate(bits)]), lambda x: x["bits"] != 0)).alias("w")
+    total = _worth(every.select("url_id", "block", "depth", word).select("url_id", "block", "depth", "w.*")).groupBy("url_id").agg(F.sum("share").alias("yield"))
     return nodes.select("url_id").distinct().join(total, "url_id", "left").select("url_id", F.coalesce("yield", F.lit(0.0)).alias("yield"))
 
 
-#: Parts whose counts a task holds at a time.
-PARTS = 1024
-
-
-def _worth(rows: DataFrame, bits: list[str]) -> DataFrame:
-    """(url_id, share) of rows of bits: the sum, over the bits set, of 1 by the number of rows of the same part (a block on
-    a level) that have the bit. All levels are counted in one pass and shared out in another.
+def _worth(rows: DataFrame) -> DataFrame:
+    """(url_id, share) of rows of bits (url_id, block, word, depth, bits): the sum, over the bits set, of 1 by the number of
+    rows of the same block, word and level that have the bit.
     """
-
-    def unpacked(batch: pa.RecordBatch) -> np.ndarray:
-        packed = np.stack([batch.column(w).to_numpy(zero_copy_only=False).astype("<i8") for w in bits], axis=1)
-        return np.unpackbits(packed.view(np.uint8), axis=1, bitorder="little")
-
-    def by_part(batch: pa.RecordBatch):
-        for at in range(0, batch.num_rows, 4096):
-            piece = batch.slice(at, 4096)
-            of = piece.column("part").to_numpy(zero_copy_only=False)
-            order = np.argsort(of, kind="stable")
-            edges_ = np.nonzero(np.diff(of[order]))[0] + 1
-            yield piece, unpacked(piece), [(int(of[i[0]]), i) for i in np.split(order, edges_)]
-
-    def told(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))], names=["part", "counts"])
-
-    def count(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for _, rows_, parts in by_part(batch):
-                for p, i in parts:
-                    if len(sums) >= PARTS and p not in sums:
-                        yield told(sums)
-                        sums.clear()
-                    sums[p] = sums.get(p, 0) + rows_[i].sum(axis=0, dtype=np.int64)
-        yield told(sums)
-
-    def share(batches):
-        for batch in batches:
-            for piece, rows_, parts in by_part(batch):
-                counts, out = piece.column("counts"), np.zeros(piece.num_rows)
-                for _, i in parts:
-                    out[i] = rows_[i] @ (1.0 / np.maximum(1, np.array(counts[int(i[0])].as_py())))
-                yield pa.RecordBatch.from_arrays([piece.column("url_id"), pa.array(out)], names=["url_id", "share"])
-
-    ship(rows.sparkSession)
-    at = F.posexplode("counts").alias("bit", "n")
-    sums = rows.select("part", *bits).mapInArrow(count, "part long, counts array<long>").select("part", at).groupBy("part", "bit").agg(F.sum("n").alias("n"))
-    sums = sums.groupBy("part").agg(F.transform(F.array_sort(F.collect_list(F.struct("bit", "n"))), lambda x: x["n"]).alias("counts"))
-    return rows.join(sized(materialize(sums, "yield-counts")), "part").select("url_id", "part", *bits, "counts").mapInArrow(share, "url_id long, share double")
+    part = ["block", "word", "depth"]
+    counts = rows.groupBy(*part).agg(*[F.sum(F.expr(f"shiftrightunsigned(bits, {i}) & 1")).alias(f"n{i}") for i in range(64)])
+    worth = counts.select(*part, F.array(*[1 / F.greatest(F.lit(1), f"n{i}") for i in range(64)]).alias("worth"))
+    share = "aggregate(sequence(0, 63), 0D, (sum, i) -> IF(shiftrightunsigned(bits, i) & 1 = 1, sum + worth[i], sum))"
+    return rows.join(worth, part).select("url_id", F.expr(share).alias("share"))
 
 
 def paydirt(field: DataFrame, depths: DataFrame, rx: str) -> DataFrame:

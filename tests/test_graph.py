@@ -188,3 +188,25 @@ def test_classes_grow_with_pairs(spark, seed):
         pairs = spark.createDataFrame([*edges[k::4], (None, 3)], "from_id long, to_id long")
         known = spark.createDataFrame([tuple(r) for r in graph.grown_classes(known, pairs).collect()], "node long, component long")
     assert {r.node: r.component for r in known.collect()} == spec.components(edges)
+
+
+def test_yield_is_summed_natively_from_edges_kept_once(spark, monkeypatch):
+    """No row is sent to Python with the counts of its block, and edges meet depths once for all levels."""
+    named, keep = [], graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, name, *by: named.append(name) or keep(df, name, *by))
+    edges = spark.createDataFrame([(0, 1), (0, 2), (1, 3), (2, 3), (3, 4), (2, 4)], "from_id long, to_id long")
+    depths = spark.createDataFrame([(0, 0), (1, 1), (2, 1), (3, 2), (4, 2)], "url_id long, depth int")
+    targets = spark.createDataFrame([(3,), (4,)], "url_id long")
+    got = graph.path_yield(depths, edges, depths, targets)
+    assert {r.url_id: r["yield"] for r in got.collect()} == {0: 0.0, 1: 0.5, 2: 1.5, 3: 1.0, 4: 1.0}
+    assert "InArrow" not in got._jdf.queryExecution().optimizedPlan().toString() and named.count("near-edges") == 1
+    named.clear()
+    assert {tuple(r) for r in graph.trace(targets, edges, depths).collect()} == {(3, 2, 3), (3, 1, 1), (3, 1, 2), (3, 0, 0), (4, 2, 4), (4, 1, 2), (4, 0, 0)}
+    assert named.count("near-edges") == 1
+
+
+def test_layered_edges_are_read_not_made_again(spark, data):
+    from gossamr.plans import fixtures
+
+    nodes, edges = fixtures.layered(spark, data)
+    assert all("layered-edges" in x for df in (nodes, edges) for x in df.inputFiles()) and edges.inputFiles()
