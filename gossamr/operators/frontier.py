@@ -241,7 +241,7 @@ def seed(seeds: DataFrame, state: dict[str, DataFrame], protocols: tuple[str, ..
     """
     out, found = dict(state), materialize(seed_hosts(seeds, protocols), "seeds")
     hosts = found.select(urls.canonical_host(F.col("hostname"), match_domain).alias("hostname")).filter("hostname is not null").distinct()
-    new_hosts = tables.numbered(hosts.join(state["tops"].select("hostname"), "hostname", "left_anti"), tables.last_id(state["tops"]) + 1, "hostname")
+    new_hosts = materialize(tables.numbered(hosts.join(state["tops"].select("hostname"), "hostname", "left_anti"), tables.last_id(state["tops"]) + 1, "hostname"), "seed-hosts")
     out["tops"] = state["tops"].unionByName(new_hosts.select("id", "hostname"))
     if instance:
         instances = state["instances"]
@@ -251,7 +251,7 @@ def seed(seeds: DataFrame, state: dict[str, DataFrame], protocols: tuple[str, ..
         mine = out["tops"].join(hosts, "hostname").select(F.col("id").alias("host_id"), F.lit(tables.instance_id(instances, instance)).cast("long").alias("instance_id"))
         out["host_inst"] = tables.insert_new(state["host_inst"], mine, "host_id", "instance_id")
     fresh = found.select("url").filter("url is not null").distinct().join(state["field"].select("url"), "url", "left_anti")
-    fresh = tables.numbered(fresh, tables.last_id(state["field"]) + 1, "url")
+    fresh = materialize(tables.numbered(fresh, tables.last_id(state["field"]) + 1, "url"), "seed-urls")
     out["field"] = state["field"].unionByName(fresh.select("id", "url"), allowMissingColumns=True)
     out["nodes"] = state["nodes"].unionByName(fresh.select(F.col("id").alias("url_id"), F.lit(0).alias("depth")), allowMissingColumns=True)
     out["download_queue"] = seed_queue(out["field"], out["tops"], state["download_queue"], match_domain)

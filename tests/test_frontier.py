@@ -81,3 +81,12 @@ def test_healthcheck_can_be_off(spark):
     assert frontier.healthcheck(field, errors, 5, 5).first().asDict() == {"err_count": 5, "failed": True}
     assert frontier.healthcheck(field, errors, 5, 0).first().failed is False
     assert frontier.healthcheck(field, errors, 0, 5).first().err_count == 0
+
+
+def test_seeding_writes_its_new_rows_once(spark):
+    """New hosts and URLs are read by several tables of the state, and numbered once."""
+    empty = lambda schema: spark.createDataFrame([], schema)
+    state = {"tops": empty("id long, hostname string"), "field": empty("id long, url string, checkd int"), "nodes": empty("url_id long, depth int"), "download_queue": empty("url_id long, priority long, host_id long")}
+    out = frontier.seed(spark.createDataFrame([("http://a.org/x",), ("http://b.org/",)], "seed string"), state)
+    assert any("seed-urls" in x for x in out["field"].inputFiles()) and any("seed-hosts" in x for x in out["tops"].inputFiles())
+    assert {r.url for r in out["field"].collect()} == {"http://a.org/x", "http://b.org/"} and out["download_queue"].count() == 2
