@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from gossamr.llm import licenses
 
@@ -69,3 +72,33 @@ def test_notices_inside_long_lines(spark, model):
     rows += [(1000, " ".join([*prose[:200], notices[0][0], *prose[:150], notices[1][0], *prose[:90]])), (1001, " ".join([*prose[:200], "the license plate of the old car was hard to read", *prose[:200]]))]
     got = {(r.doc_id, r.family) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert got == want | {(1000, "mit"), (1000, "apache")}
+
+
+def test_every_text_calibrates_the_cutoff(spark):
+    """Cutoff and number of negatives are those of all distinct windows of all texts, found with Spark alone; copies change nothing."""
+    rng, cues = random.Random(3), " ".join(t for texts in licenses.TEMPLATES.values() for t in texts).split()
+    line = lambda: " ".join([*rng.choices(licenses.FILLER, k=rng.randint(0, 30)), *rng.choices(cues, k=rng.randint(0, 9)), *rng.choices(licenses.FILLER, k=rng.randint(0, 30))])
+    texts = ["\n".join(line() for _ in range(rng.randint(1, 3))) for _ in range(700)]
+    texts += [t for t in licenses.TEMPLATES["mit"]] + [None, "", "\n \n", "license", "of the of the of the of the", "\u212aite naïve 🎉 LICENSE, 1.0.\nLicensed under\ncc by xx xx xx xx", *texts[:50]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    own = licenses.LicenseModel(spark, docs, false_rate=0.0004)
+
+    rows = spark.createDataFrame([(t, float(own.names.index(f)), held) for t, f, held in licenses.training_rows()], "text string, label double, held boolean").coalesce(1)
+    rows = licenses.with_grams(rows, "text").withColumn("_grams", F.concat("_words", "_pairs"))
+    counting, fitted = licenses.LicenseModel._fit(rows.filter("not held"))
+    windows = licenses.windows(licenses.lines(docs)).select("_words", "_pairs").filter("size(_words) > 0").dropDuplicates(["_words"])
+    sure = licenses.confirmed(windows.withColumn("family", F.explode(F.array(*map(F.lit, licenses.TEMPLATES))))).filter("overlap >= 0.5").select("_words")
+    plain = windows.join(sure, "_words", "left_anti").select(F.concat("_words", "_pairs").alias("_grams"))
+    plain = plain.unionByName(rows.filter("held and label = 0").select("_grams"))
+    raws = [r._raw.toArray().tolist() for r in fitted.transform(counting.transform(plain)).select("_raw").collect()]
+    scores = sorted((max(own._softmax(x, own.temperature)) for x in raws if max(x) > x[0]), reverse=True)
+    n = int(0.0004 * (windows.count() + rows.filter("held and label = 0").count()))
+    assert len(scores) > n and own.cutoff == pytest.approx(scores[n], abs=2e-9)
+    assert own.judged == windows.count() + rows.filter("held and label = 0").count() and sum(p >= own.cutoff for p in scores) <= n
+
+
+def test_nth_largest(spark):
+    rng = random.Random(5)
+    values = [rng.choice([0, 1, 999, 1000, 10**6, 10**9, rng.randrange(10**9), rng.randrange(2000)]) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in values], "score long").repartition(3)
+    assert [licenses.nth_largest(df, n) for n in (0, 7, 250, 499)] == [sorted(values, reverse=True)[n] for n in (0, 7, 250, 499)]
