@@ -9,7 +9,8 @@ Temperature and cutoff come from a model that has not seen some templates of eac
 the temperature from how it judges those, the cutoff so that at most a share of false_rate of what is judged is taken for a licence
 falsely. Judged are the negatives not seen and every distinct window of every text of the corpus, none is sampled; false are those
 negatives and windows that no template confirms and whose likeliest family reaches the cutoff. The model in use is then
-fitted to all rows.
+fitted to all rows. One pass scores the windows with both models where they are made; equal ones are found by hashes of
+their words, of 64 bits to count all and of 128 bits for the false ones, so no words are shuffled.
 
 Every paragraph of every text is judged by the model. As it is linear, what a paragraph's features can add at most to any
 family's lead over unknown is one sum over its words, and where that sum cannot make a family likely, the paragraph is
@@ -125,24 +126,34 @@ class LicenseModel:
         self.accuracy = sum(x == y for x, y in best) / len(best)
         self._bound()
         wrong = spark.createDataFrame([(int(max(self._softmax(raw, self.temperature)) * UNITS),) for (raw, y), (x, _) in zip(known, best, strict=True) if y == 0 and x > 0], "score long").coalesce(1)
-        self.judged, self.likely = sum(y == 0 for _, y in known), None
+        self.judged, self.taken = sum(y == 0 for _, y in known), None
         if corpus is not None:
-            self.likely = materialize(windows(lines(corpus), self), "license-windows")  # scan() reads them again
             self.judged += windows(lines(corpus), keys=True).distinct().count()
-            wrong = materialize(wrong.unionByName(self._false(self.likely)), "license-scores")
+            self.taken = materialize(self._taken(windows(lines(corpus), self)), "license-windows")  # scan() reads them again
+            false = self.taken.filter("score IS NOT NULL").groupBy("_key", "_other").agg(F.max("score").alias("score"))
+            wrong = materialize(wrong.unionByName(false.select("score")), "license-scores")
         # the likeliest of all classes has at least the probability of chance, so that as a cutoff takes nothing away
         n = int(false_rate * self.judged)
         self.cutoff = (nth_largest(wrong, n) + 1) / UNITS if wrong.count() > n else 1 / len(self.names)
         if corpus is not None:
             discard(wrong)
 
-    def _false(self, paragraphs: DataFrame) -> DataFrame:
-        """(score) of each distinct window that the model that has not seen all rows takes for a family and no template confirms."""
-        rows = self._raw(paragraphs.select("_words", "_pairs").dropDuplicates(["_words"]).withColumn("_grams", F.concat("_words", "_pairs")), self.held).withColumn("_top", F.array_max("raw"))
-        rows = rows.filter(F.col("_top") > F.get("raw", F.lit(0)))
-        score = F.floor(UNITS / F.expr(f"aggregate(raw, 0D, (a, x) -> a + exp((x - _top) / {self.temperature}D))")).cast("long")
-        rows = rows.select("_words", "_pairs", score.alias("score"), F.explode(F.array(*map(F.lit, TEMPLATES))).alias("family"))
-        return confirmed(rows).groupBy("_words").agg(F.max("score").alias("score"), F.max("overlap").alias("overlap")).filter(F.col("overlap") < LEAST).select("score")
+    def _taken(self, paragraphs: DataFrame) -> DataFrame:
+        """Of paragraphs (doc_id, text_key, line, _words, _pairs) those that count: with family, probability and overlap those
+        that the model in use takes for a family and a template of it confirms, with score (else null) those that the model
+        that has not seen all rows takes for a family and no template confirms. _key and _other tell their words apart.
+
+        Each is scored where it is made and words stay there; what goes on has the same few bytes for each.
+        """
+        rows = self._likeliest(self._likeliest(paragraphs, "_held", self.held), "_own").filter((F.col("_held.best") > 0) | (F.col("_own.best") > 0))
+        rows = rows.crossJoin(F.broadcast(template_pairs(paragraphs.sparkSession).agg(F.collect_list("_pairs").alias("_templates"))))
+        score = F.when((F.col("_held.best") > 0) & (shared() < LEAST), F.floor(UNITS / F.col("_held.total")).cast("long"))
+        rows = rows.select("doc_id", "text_key", "line", F.xxhash64("_words").alias("_key"), F.xxhash64(F.lit(UNKNOWN), "_words").alias("_other"), score.alias("score"), self._name("_own").alias("family"), (1 / F.col("_own.total")).alias("probability"), "_pairs")
+        return confirmed(rows).drop("_pairs").filter((F.col("family") != UNKNOWN) | F.col("score").isNotNull())
+
+    def granted(self) -> DataFrame:
+        """(doc_id, text_key, line, family, probability, overlap) of the windows of the corpus that grant a licence."""
+        return self.taken.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= self.cutoff)).select("doc_id", "text_key", "line", "family", "probability", "overlap")
 
     @staticmethod
     def _fit(rows: DataFrame):
@@ -190,15 +201,23 @@ class LicenseModel:
 
     def predict(self, paragraphs: DataFrame) -> DataFrame:
         """paragraphs (_words, _pairs and others) with family and probability; family is unknown below the cutoff."""
-        scored = self._raw(paragraphs.withColumn("_grams", F.concat("_words", "_pairs"))).withColumn("_top", F.array_max("raw"))
-        scored = scored.withColumn("_e", F.expr(f"transform(raw, x -> exp((x - _top) / {self.temperature}D))"))
-        scored = scored.withColumn("_p", F.expr("transform(_e, x -> x / aggregate(_e, 0D, (a, y) -> a + y))"))
-        scored = scored.withColumn("_best", F.expr("array_position(_p, array_max(_p)) - 1").cast("int"))
-        names = F.array(*map(F.lit, self.names))
-        family = F.when((F.col("_best") > 0) & (F.array_max("_p") >= self.cutoff), F.get(names, F.col("_best"))).otherwise(UNKNOWN)
-        # exploded, so that filters by family are not pushed below and the model is not applied a second time for them
-        scored = scored.select(*paragraphs.columns, F.explode(F.array(F.struct(family.alias("family"), F.array_max("_p").alias("probability")))).alias("_r"))
-        return scored.select(*[c for c in paragraphs.columns if c not in ("family", "probability")], "_r.family", "_r.probability")
+        probability = 1 / F.col("_own.total")
+        family = F.when(probability >= self.cutoff, self._name("_own")).otherwise(UNKNOWN)
+        return self._likeliest(paragraphs, "_own").select(*[c for c in paragraphs.columns if c not in ("family", "probability")], family.alias("family"), probability.alias("probability"))
+
+    def _name(self, at: str) -> Column:
+        """The name of the class that a column of _likeliest() holds."""
+        return F.get(F.array(*map(F.lit, self.names)), F.col(at).best)
+
+    def _likeliest(self, paragraphs: DataFrame, name: str, fitted: tuple | None = None) -> DataFrame:
+        """paragraphs (_words, _pairs and others) with a column of best, the number of the likeliest class, and total, by which
+        1 is divided for its probability.
+        """
+        rows = self._raw(paragraphs.withColumn("_grams", F.concat("_words", "_pairs")), fitted).withColumn("_top", F.array_max("raw"))
+        best = F.expr("array_position(raw, _top) - 1").cast("int").alias("best")
+        total = F.expr(f"aggregate(raw, 0D, (a, x) -> a + exp((x - _top) / {self.temperature}D))").alias("total")
+        # exploded, so that filters are not pushed below and the model is not applied a second time for them
+        return rows.select(*paragraphs.columns, F.explode(F.array(F.struct(best, total))).alias(name))
 
 
 def template_pairs(spark: SparkSession) -> DataFrame:
@@ -220,14 +239,18 @@ def nth_largest(scores: DataFrame, n: int) -> int:
     return r.at
 
 
+def shared() -> Column:
+    """The largest share of the pairs of one of _templates or, if fewer, of _pairs that both hold; 0 without templates."""
+    share = "array_max(transform(_templates, t -> size(array_intersect(t, _pairs)) / cast(greatest(1, least(size(array_distinct(t)), size(array_distinct(_pairs)))) as double)))"
+    return F.coalesce(F.expr(share), F.lit(0.0))
+
+
 def confirmed(predicted: DataFrame, least: float = LEAST) -> DataFrame:
     """predicted (family, _pairs and others) with overlap: the largest share of a template's or, if fewer, of the
     paragraph's pairs that both hold, over the family's templates; families under `least` become unknown.
     """
     table = template_pairs(predicted.sparkSession).groupBy("family").agg(F.collect_list("_pairs").alias("_templates"))
-    joined = predicted.join(F.broadcast(table), "family", "left")
-    share = "array_max(transform(_templates, t -> size(array_intersect(t, _pairs)) / cast(greatest(1, least(size(array_distinct(t)), size(array_distinct(_pairs)))) as double)))"
-    joined = joined.withColumn("overlap", F.coalesce(F.expr(share), F.lit(0.0)))
+    joined = predicted.join(F.broadcast(table), "family", "left").withColumn("overlap", shared())
     return joined.withColumn("family", F.when(F.col("overlap") >= least, F.col("family")).otherwise(UNKNOWN)).drop("_templates")
 
 
@@ -258,12 +281,10 @@ def scan(docs: DataFrame, model: LicenseModel | None = None) -> DataFrame:
     several texts has those of each. An empty table gives an empty one. Other columns are left out.
     """
     if model is None:
-        model = LicenseModel(docs.sparkSession, docs)
-        may = model.likely
+        found = LicenseModel(docs.sparkSession, docs).granted()
     else:
-        may = windows(lines(docs), model)
-    likely = model.predict(may).filter(F.col("family") != UNKNOWN)
-    found = confirmed(likely).filter(F.col("family") != UNKNOWN)
+        likely = model.predict(windows(lines(docs), model)).filter(F.col("family") != UNKNOWN)
+        found = confirmed(likely).filter(F.col("family") != UNKNOWN)
     best = found.groupBy("doc_id", "text_key", "line", "family").agg(F.max(F.struct("probability", "overlap")).alias("_m"))
     return best.select("doc_id", "text_key", "line", "family", "_m.probability", "_m.overlap")
 

@@ -102,3 +102,30 @@ def test_nth_largest(spark):
     values = [rng.choice([0, 1, 999, 1000, 10**6, 10**9, rng.randrange(10**9), rng.randrange(2000)]) for _ in range(500)]
     df = spark.createDataFrame([(x,) for x in values], "score long").repartition(3)
     assert [licenses.nth_largest(df, n) for n in (0, 7, 250, 499)] == [sorted(values, reverse=True)[n] for n in (0, 7, 250, 499)]
+
+
+def shuffled(spark) -> int:
+    """Bytes that the session's tasks have written for shuffles so far."""
+    context = spark._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    executors = context.statusStore().executorList(True)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_calibration_shuffles_no_words(spark):
+    """What calibrates goes between tasks as a few bytes for each window, though most windows are likely ones, and leaves the licences as they are."""
+    rng, cues = random.Random(11), " ".join(t for texts in licenses.TEMPLATES.values() for t in texts).split()
+    line = lambda: " ".join([*rng.choices(cues, k=rng.randint(9, 60)), *rng.choice(licenses.TEMPLATES[rng.choice(list(licenses.TEMPLATES))]).split()[rng.randint(0, 4):]])
+    docs = spark.createDataFrame([(i // 2, "\n".join(line() for _ in range(rng.randint(1, 4)))) for i in range(2000)] + [(7, None), (8, "")], "doc_id long, text string")
+    before = shuffled(spark)
+    licenses.LicenseModel(spark, docs.limit(0))
+    start = shuffled(spark)
+    own = licenses.LicenseModel(spark, docs, false_rate=0.0004)
+    likely = licenses.windows(licenses.lines(docs), own)
+    spent = shuffled(spark) - start - (start - before)
+    assert likely.count() > 0.5 * own.judged > 5_000
+    assert spent < 40 * own.judged
+
+    own.cutoff, rows = 0.5, lambda df: sorted((r.doc_id, r.text_key, r.line, r.family, r.probability, r.overlap) for r in df.collect())
+    want = rows(licenses.confirmed(own.predict(likely)).filter("family <> 'unknown'"))
+    assert rows(own.granted()) == want and len(want) > 1_000
